@@ -112,17 +112,11 @@ class Packer:
             picked = fullest({n: c for n, c in counts.items() if c}, self.capacity - longest)
             picked[longest] = picked.get(longest, 0) + 1
             gap = self.capacity - sum(n * c for n, c in picked.items())
-            for _ in range(min(len(self.waiting[n]) // c for n, c in picked.items())):
-                if gap and self.held < self.capacity:
-                    break
+            times = 1 if gap else min(len(self.waiting[n]) // c for n, c in picked.items())  # a cut changes the counts
+            for _ in range(times):
                 pieces = [self._take(n) for n, c in picked.items() for _ in range(c)]
-                if gap:  # every piece still waiting is longer than the gap, else it would have been picked
-                    longer = [n for n in self.waiting if n > gap]
-                    if not longer:
-                        for p in pieces:
-                            self._wait(p)
-                        break
-                    head, tail = self._cut(self._take(max(longer)), gap)
+                if gap:  # each piece still waiting is longer than the gap, else it would have been picked
+                    head, tail = self._cut(self._take(max(self.waiting)), gap)
                     pieces.append(head)
                     self._wait(tail)
                 self._sequence(pieces)
