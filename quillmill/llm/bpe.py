@@ -26,7 +26,7 @@ import os
 import re
 import struct
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -37,10 +37,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from quillmill.llm.arrow_text import text_slices
+
 #: Entries after which the memo is emptied; one takes about 200 bytes.
 WORD_MEMO = 1_000_000
-#: Bytes of text handled at once, so memory does not follow the batch size.
-SLICE_BYTES = 12_000_000
 
 END = "</w>"
 _END_SHIFT = 0x2000  # a word's last symbol is moved out of the range of the others
@@ -314,31 +314,6 @@ def offset_decoder(path: str) -> OffsetDecoder:
     return OffsetDecoder(path)
 
 
-def slices(lengths: Iterable[int], most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of at most `most` bytes together, a longer row alone."""
-    begin = total = 0
-    end = 0
-    for end, n in enumerate(lengths):
-        if total and total + n > most:
-            yield begin, end
-            begin, total = end, 0
-        total += n
-    if total or begin == 0:
-        yield begin, end + 1
-
-
-def text_slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array]]:
-    """(ids, texts) of a batch of two columns, in slices of bounded size."""
-    if not batch.num_rows:
-        return
-    lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
-    bounds = [*slices(lengths)]
-    if bounds[-1][1] < batch.num_rows:
-        bounds.append((bounds[-1][1], batch.num_rows))
-    for a, b in bounds:
-        yield batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a)
-
-
 def encode_documents(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document's ids and their decoding.
 

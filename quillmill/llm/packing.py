@@ -27,7 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.bpe import text_encoder, text_slices
+from quillmill.llm.arrow_text import text_slices
+from quillmill.llm.bpe import text_encoder
 
 #: Ids (4 bytes each) that wait in a task before its buffer is packed.
 BUFFER_IDS = 4_000_000

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.llm.bpe import encode_documents
+from quillmill.llm.chat import expand_targets, read_loss, read_turns
+from quillmill.llm.licences import scan_licences
 from quillmill.llm.packing import pack_documents
 
 TOKENIZER = "word_bpe_49k.json"
@@ -23,14 +25,64 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+#: A conversation whose texts hold control strings of such templates.
+CHAT_PROBE = r"\### Assistant: </turn> ok"
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = spark.sql("SELECT -7L AS conv_id, turn, role, ? AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)", args=[CHAT_PROBE])
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    examples = expand_targets(turns)
+    read = examples.select("conv_id", "example", F.length("text").alias("chars"), read_loss(examples).alias("loss"), F.when(F.col("last"), read_turns(F.col("text"))).alias("turns"))
+    told = read.select(
+        "conv_id", "chars", F.struct("example", "loss").alias("loss"), F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "").cast("binary"), 256).alias("turns_sha256"),
+    )
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list("loss")), lambda x: x.loss), "")
+    return told.groupBy("conv_id").agg(
+        F.max(F.when(F.col("n_turns") >= 0, F.col("n_turns"))).alias("n_turns"), F.max("turns_sha256").alias("turns_sha256"),
+        F.length(joined).cast("long").alias("loss_chars"), F.sha2(joined.cast("binary"), 256).alias("loss_sha256"), F.sum("chars").cast("long").alias("formatted_chars"),
+    )
+
+
+OP3_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, x, CASE x WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok' FROM range(2) r(x)),
+w AS (
+  SELECT *, 14 + length(role) + length(text)
+    + length(role || text) - length(translate(role || text, '\#<:', '')) AS chars,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+    count(*) OVER (PARTITION BY conv_id) AS of FROM t),
+p AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY n) AS until FROM w)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(until) FILTER (WHERE role = 'assistant' OR n = of)::BIGINT AS formatted_chars
+FROM p GROUP BY conv_id
+"""
+
+
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = scan_licences(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s.kind == "base")
+    names = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s.label))), ",")
+    return scanned.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(F.transform(base, lambda s: s.first_word)).alias("first_word"), F.array_max(F.transform(base, lambda s: s.first_word)).alias("last_word"),
+        names(base).alias("base_labels"), names(F.col("spans")).alias("labels"), "score", "permissive",
+    )
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op10_bpe": op10_bpe}
+    return {"op1_packing": op1_packing, "op3_chat": op3_chat, "op4_licences": op4_licences, "op10_bpe": op10_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_chat": OP3_SQL}
