@@ -40,7 +40,8 @@ from tokenizers import Tokenizer
 from quillmill.llm.arrow_text import text_slices
 
 #: Entries after which the memo is emptied; one takes about 200 bytes.
-WORD_MEMO = 1_000_000
+WORD_MEMO = 600_000
+PAIR_MEMO = 300_000
 
 END = "</w>"
 _END_SHIFT = 0x2000  # a word's last symbol is moved out of the range of the others
@@ -158,7 +159,7 @@ class BacktrackingEncoder:
         return out
 
     def words(self, words: list[str]) -> list[list[int]]:
-        if len(self.fits) > 1_000_000:
+        if len(self.fits) > PAIR_MEMO:
             self.fits.clear()
         return [self.word(w) for w in words]
 
@@ -289,8 +290,9 @@ class OffsetDecoder:
         begin = self.starts[ids]
         size = self.starts[ids.astype(np.int64) + 1] - begin
         ends = np.cumsum(size)
-        source = np.repeat(begin - (ends - size), size)
-        source += np.arange(ends[-1])
+        # 32-bit places: a slice of texts decodes to far less than 2 GB
+        source = np.repeat((begin - (ends - size)).astype(np.int32), size)
+        source += np.arange(ends[-1], dtype=np.int32)
         flat = self.blob[source].tobytes()
         out, at, done = [], 0, 0
         for p in packed:
