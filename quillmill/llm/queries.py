@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.llm.bpe import encode_documents
 from quillmill.llm.chat import expand_targets, read_loss, read_turns
 from quillmill.llm.licences import scan_licences
 from quillmill.llm.packing import pack_documents
+from quillmill.llm.privacy import find_private
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -75,13 +76,25 @@ def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _equal_to(value: str) -> Callable[[Column], Column]:
+    return lambda x: x == value
+
+
+def op6_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_private(_table(spark, sf_dir, "documents"))
+    kinds = ("email", "ip", "card", "phone")
+    base = F.filter("spans", lambda s: s.kind.isin(*kinds))
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.stop.cast("string"))), ",")
+    return found.select("doc_id", *(F.size(F.filter(F.transform("spans", lambda s: s.kind), _equal_to(k))).cast("long").alias(f"n_{k}") for k in kinds), F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op3_chat": op3_chat, "op4_licences": op4_licences, "op10_bpe": op10_bpe}
+    return {"op1_packing": op1_packing, "op3_chat": op3_chat, "op4_licences": op4_licences, "op6_privacy": op6_privacy, "op10_bpe": op10_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
