@@ -13,6 +13,7 @@ from quillmill.llm.chat import expand_targets, read_loss, read_turns
 from quillmill.llm.licences import scan_licences
 from quillmill.llm.packing import pack_documents
 from quillmill.llm.privacy import find_private
+from quillmill.llm.vectors import exact_top_k, near_duplicates
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -88,14 +89,51 @@ def op6_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(F.size(F.filter(F.transform("spans", lambda s: s.kind), _equal_to(k))).cast("long").alias(f"n_{k}") for k in kinds), F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+OP8_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+OP9_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, least(a, min(b)) AS component_id FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+  coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id
+"""
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op3_chat": op3_chat, "op4_licences": op4_licences, "op6_privacy": op6_privacy, "op10_bpe": op10_bpe}
+    return {"op1_packing": op1_packing, "op3_chat": op3_chat, "op4_licences": op4_licences, "op6_privacy": op6_privacy, "op8_top_k": op8_top_k, "op9_vector_dedup": op9_vector_dedup, "op10_bpe": op10_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat": OP3_SQL}
+    return {"op3_chat": OP3_SQL, "op8_top_k": OP8_SQL, "op9_vector_dedup": OP9_SQL}
