@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from quillmill.llm.bpe import encode_documents
 from quillmill.llm.chat import expand_targets, read_loss, read_turns
+from quillmill.llm.labelled import fold
 from quillmill.llm.licences import scan_licences
 from quillmill.llm.packing import pack_documents
 from quillmill.llm.privacy import find_private
+from quillmill.llm.quality import fit_quality, score_quality
+from quillmill.llm.toxicity import fit_toxicity, score_toxicity
 from quillmill.llm.vectors import exact_top_k, near_duplicates
 
 TOKENIZER = "word_bpe_49k.json"
@@ -77,6 +80,20 @@ def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    grammar = fit_toxicity(docs, _table(spark, sf_dir, "labels"), folds=5, held_out=0)
+    scored = score_toxicity(docs, grammar)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = fit_quality(docs, _table(spark, sf_dir, "labels"), folds=4, held_out=2)
+    scored = score_quality(docs, model)
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def _equal_to(value: str) -> Callable[[Column], Column]:
     return lambda x: x == value
 
@@ -132,7 +149,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op3_chat": op3_chat, "op4_licences": op4_licences, "op6_privacy": op6_privacy, "op8_top_k": op8_top_k, "op9_vector_dedup": op9_vector_dedup, "op10_bpe": op10_bpe}
+    return {"op1_packing": op1_packing, "op3_chat": op3_chat, "op4_licences": op4_licences, "op5_toxicity": op5_toxicity, "op6_privacy": op6_privacy, "op7_quality": op7_quality, "op8_top_k": op8_top_k, "op9_vector_dedup": op9_vector_dedup, "op10_bpe": op10_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
