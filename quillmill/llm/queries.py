@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quillmill.llm.bpe import encode_documents
 from quillmill.llm.chat import expand_targets, read_loss, read_turns
+from quillmill.llm.jaccard import similarity_classes
 from quillmill.llm.labelled import fold
 from quillmill.llm.licences import scan_licences
 from quillmill.llm.packing import pack_documents
@@ -30,6 +31,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_classes(_table(spark, sf_dir, "documents"), n=5, percent=75)
+
+
 #: A conversation whose texts hold control strings of such templates.
 CHAT_PROBE = r"\### Assistant: </turn> ok"
 
@@ -149,7 +154,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op3_chat": op3_chat, "op4_licences": op4_licences, "op5_toxicity": op5_toxicity, "op6_privacy": op6_privacy, "op7_quality": op7_quality, "op8_top_k": op8_top_k, "op9_vector_dedup": op9_vector_dedup, "op10_bpe": op10_bpe}
+    return {"op1_packing": op1_packing, "op2_jaccard": op2_jaccard, "op3_chat": op3_chat, "op4_licences": op4_licences, "op5_toxicity": op5_toxicity, "op6_privacy": op6_privacy, "op7_quality": op7_quality, "op8_top_k": op8_top_k, "op9_vector_dedup": op9_vector_dedup, "op10_bpe": op10_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
