@@ -426,3 +426,18 @@ def similarity_classes(docs: DataFrame, *, n: int = 5, percent: int = 75, id_col
     classed = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = classed.where("root is not null").groupBy("root").agg(F.min("id").alias("least"))
     return classed.join(smallest, "root", "left").select(F.col("id").alias(id_col), "n_shingles", F.coalesce("least", "id").alias("component_id"))
+
+
+def keep_one_of_each_class(docs: DataFrame, *, n: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs whose id is the smallest of its class, all their columns.
+
+    Of rows with the same id one stays.  Rows with a null id, which no class can
+    be named after, stay.
+    """
+    classes = durable(similarity_classes(docs, n=n, percent=percent, id_col=id_col, text_col=text_col))
+    gone = classes.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    if classes.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
+        return kept
+    nulls = kept.where(F.col(id_col).isNull())
+    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(nulls)
