@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,10 +39,19 @@ def slug_tokens(slug: Column, least: int = 3) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(slug), "-"), lambda t: F.length(t) >= least))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once a row, however often use reads it, also in lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def ngrams(words: Column, n: int = 5) -> Column:
     """The distinct word n-grams; fewer words than n give none."""
-    grams = F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.when(F.size(words) >= n, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+
+    def cut(w: Column) -> Column:
+        grams = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.when(F.size(w) >= n, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+
+    return bound(words, cut)
 
 
 def appears_in(word: Column, texts: Column) -> Column:

@@ -39,7 +39,7 @@ def document_frequency(docs: DataFrame, text: str, least: int = 6, stop: list[st
 
 def bigrams(words: Column) -> Column:
     """Non-overlapping pairs of neighbours."""
-    return F.transform(F.sequence(F.lit(1), F.floor(F.size(words) / 2).cast("int")), lambda i: F.concat_ws(" ", F.element_at(words, i * 2 - 1), F.element_at(words, i * 2)))
+    return T.bound(words, lambda w: F.transform(F.sequence(F.lit(1), F.floor(F.size(w) / 2).cast("int")), lambda i: F.concat_ws(" ", F.element_at(w, i * 2 - 1), F.element_at(w, i * 2))))
 
 
 def mined_pairs(texts: DataFrame, text: str, patterns: dict[str, str] = R.PAIR_PATTERNS, least: int = 3) -> DataFrame:

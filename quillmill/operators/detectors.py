@@ -77,7 +77,8 @@ SCANNERS: list[tuple[str, float, Callable[[Column, Column], Column]]] = [("unive
 def first_signature(stem: Column, text: Column) -> Column:
     """struct(signature, confidence, reason) of the first scanner that finds something."""
     kind = "struct<signature:string,confidence:double,reason:string>"
-    return F.coalesce(*(F.when(scan(stem, text).isNotNull(), F.struct(F.lit(name).alias("signature"), F.lit(c).alias("confidence"), scan(stem, text).alias("reason"))) for name, c, scan in SCANNERS), F.lit(None).cast(kind))
+    found = lambda name, c: lambda reason: F.when(reason.isNotNull(), F.struct(F.lit(name).alias("signature"), F.lit(c).alias("confidence"), reason.alias("reason")))
+    return F.coalesce(*(T.bound(scan(stem, text), found(name, c)) for name, c, scan in SCANNERS), F.lit(None).cast(kind))
 
 
 def english_gap() -> Column:
@@ -86,9 +87,11 @@ def english_gap() -> Column:
     threshold = by_tier(R.OVERRIDE_THRESHOLD, 0.75)
 
     def one(o: Column) -> Column:
-        s = first_signature(F.col("question_stem"), o.text)
-        strong = (s.signature != "stage_timing") & (s.confidence >= threshold)
-        return signal("english_gap_scanner", o.letter, s.isNotNull(), s.confidence, s.signature, F.when(strong, "override_to").otherwise("advisory"), F.when(strong, "english_gap"), s.reason)
+        def told(s: Column) -> Column:
+            strong = (s.signature != "stage_timing") & (s.confidence >= threshold)
+            return signal("english_gap_scanner", o.letter, s.isNotNull(), s.confidence, s.signature, F.when(strong, "override_to").otherwise("advisory"), F.when(strong, "english_gap"), s.reason)
+
+        return T.bound(first_signature(F.col("question_stem"), o.text), told)
 
     return F.transform(wrong, one)
 
@@ -117,8 +120,8 @@ def schema_labeling(brief_pairs: list[tuple[str, str]] = ()) -> Column:
     wrong = F.filter("options", lambda o: ~F.coalesce(o.is_correct, F.lit(False)))
 
     def one(o: Column) -> Column:
-        s = label_pair(F.col("question_stem"), o.text, brief_pairs)
-        return signal("schema_labeling", o.letter, s.isNotNull() & ~s.blocked, s.confidence, F.lit("schema_labeling"), "override_to", "content_gap", s.pair)
+        found = label_pair(F.col("question_stem"), o.text, brief_pairs)
+        return T.bound(found, lambda s: signal("schema_labeling", o.letter, s.isNotNull() & ~s.blocked, s.confidence, "schema_labeling", "override_to", "content_gap", s.pair))
 
     return F.transform(wrong, one)
 

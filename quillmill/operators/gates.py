@@ -163,10 +163,10 @@ PIPELINE = [
 def run_gates(questions: DataFrame, gates: list = PIPELINE) -> DataFrame:
     """Adds `failures`: (gate, reason) in order, cut after the first failing prerequisite."""
     checked = questions.withColumns({f"__{name}": build() for name, build, _ in gates})
-    failures, stopped = F.array().cast("array<struct<gate:string,reason:string>>"), F.lit(False)
+    found, stopped = [], F.lit(False)
     for name, _, first in gates:
         ok = F.col(f"__{name}.ok")
-        failures = F.when(stopped | ok, failures).otherwise(F.concat(failures, F.array(F.struct(F.lit(name).alias("gate"), F.col(f"__{name}.reason").alias("reason")))))
+        found.append(F.when(~ok & ~stopped, F.struct(F.lit(name).alias("gate"), F.col(f"__{name}.reason").alias("reason"))))
         if first:
             stopped = stopped | ~ok
-    return checked.withColumn("failures", failures).drop(*(f"__{name}" for name, _, _ in gates))
+    return checked.withColumn("failures", F.filter(F.array(*found), lambda f: f.isNotNull())).drop(*(f"__{name}" for name, _, _ in gates))

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quillmill.plans import items, relational
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return relational.QUERIES | items.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return relational.ORACLES | items.ORACLES
