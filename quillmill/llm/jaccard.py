@@ -5,9 +5,11 @@ are one node.  Two nodes link when |A n B| / |A u B| >= threshold.  The join
 finds every link's component, but never lists the pairs of a group.
 
 1. Frequencies.  Every task sends its hashes, sorted and delta-coded, to hash
-   ranges; a range counts them all and marks the frequent ones in a bit map of
-   fixed size.  All tasks order each set by (frequent, hash); an error in the map
-   (two hashes in one cell) changes that order for everyone alike and loses
+   ranges; a range counts them all and marks in two bit maps which elements are
+   repeated (in two sets or more) and which are frequent.  A set of which less
+   than the threshold is repeated can link with nothing and takes no further part.
+   All tasks order each set by (single, repeated, frequent; hash); an error in
+   a map (two hashes in one cell) changes that order for everyone alike and loses
    nothing.
 2. Small sets enumerate fixed-size subsets: two sets that link share at least
    two of the first n - ceil(t n) + 2 elements of each, so each pair of those
@@ -15,14 +17,15 @@ finds every link's component, but never lists the pairs of a group.
    inverted lists.  The size that separates the two is where enumeration begins to
    cost more than scanning lists of the measured mean length.  Small sets that
    can link with large ones are in the lists as well.
-3. A list gives the pairs that size and position allow.  A list that is long
-   although frequent elements come last gives only a star around the member
-   that has the element earliest; once links are known, the pairs of such a list
-   that are not in one component yet are all checked.
-4. Candidates are verified on the whole sets.
+3. A list gives the pairs that size and position allow.  A list of more than a
+   few members gives only a star around the member that has the element earliest;
+   once links are known, the pairs of such a list that are not in one component
+   yet are all checked.
+4. Candidates are verified by their whole sizes and all repeated elements.
 
-Nothing that grows with the input is broadcast or collected: the bit maps have
-a fixed size, whatever the corpus.
+Nothing else that grows with the input is broadcast or collected: the bit maps
+follow the input up to 2 ** MAP_BITS bits; beyond that they fill up, which costs
+work and not results.
 
 Defined results: null and empty texts, and texts without words, have an empty
 set and link with nothing; with fewer words than n the whole sequence is the
@@ -40,6 +43,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,10 +51,12 @@ from quillmill.llm.arrow_text import text_slices
 from quillmill.llm.components import connected_components
 from quillmill.llm.durable import durable
 
-#: Bits of the map of frequent elements and of the map of candidates (8 MB each).
-MAP_BITS = 26
-#: Elements in more sets than this are frequent; longer lists give stars.
+#: The largest bit maps have this power of two of bits (128 MB each).
+MAP_BITS = 30
+#: Elements in more sets than this are frequent.
 FREQUENT = 24
+#: Longer lists give stars.
+STAR = 3
 #: Hashes that a task gathers before it sends them.
 GATHERED = 3_000_000
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
@@ -161,9 +167,29 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
 
-def frequent_map(texts: DataFrame, n: int, ranges: Ranges) -> tuple[np.ndarray, float]:
-    """The bit map of frequent elements, and the mean number of other sets that
-    hold an element of a set, over the elements that are not frequent."""
+class Maps:
+    """Two bit maps over the leading bits of hashes."""
+
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.repeated = np.zeros((1 << bits) // 8, np.uint8)
+        self.frequent = np.zeros((1 << bits) // 8, np.uint8)
+
+    @staticmethod
+    def has(marks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        cell = hashes >> np.uint64(64 - (len(marks) * 8).bit_length() + 1)
+        return (marks[(cell >> np.uint64(3)).astype(np.int64)] >> (7 - (cell & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+
+
+def map_bits(texts: DataFrame) -> int:
+    """Bits for about one cell per word of the input, within the bound."""
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    return min(MAP_BITS, max(20, math.ceil(math.log2(chars / 6 + 1))))
+
+
+def frequency_maps(texts: DataFrame, n: int, ranges: Ranges) -> tuple[Maps, float]:
+    """The maps, and the mean number of other sets that hold an element of a set,
+    over the elements that are not frequent."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, seen = [], 0, set()
@@ -185,31 +211,33 @@ def frequent_map(texts: DataFrame, n: int, ranges: Ranges) -> tuple[np.ndarray,
         if held:
             yield sent()
 
-    slice_bits = 1 << (MAP_BITS - ranges.bits)
+    maps = Maps(map_bits(texts))
+    slice_bits = maps.bits - ranges.bits
+
+    def marked(places: np.ndarray) -> bytes | None:
+        if not len(places):
+            return None
+        marks = np.zeros(1 << slice_bits, np.uint8)
+        marks[places >> np.uint32(32 - slice_bits)] = 1
+        return np.packbits(marks).tobytes()
 
     def count(group: pd.DataFrame) -> pd.DataFrame:
         every = np.sort(np.concatenate([_undeltas(b) for b in group["blob"]]))
         edges = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
         times = np.diff(np.append(edges, len(every)))
-        hot = every[edges[times > FREQUENT]]
-        marks = np.zeros(slice_bits, np.uint8)
-        marks[hot >> np.uint32(32 - (MAP_BITS - ranges.bits))] = 1
         rest = times[times <= FREQUENT].astype(np.float64)
-        return pd.DataFrame({"r": [group["r"].iloc[0]], "marks": [np.packbits(marks).tobytes() if len(hot) else None], "total": [rest.sum()], "squares": [(rest**2).sum()]})
-
-    counted = texts.mapInArrow(gather, "r int, blob binary").groupBy("r").applyInPandas(count, "r int, marks binary, total double, squares double").collect()
-    marks = np.zeros((1 << MAP_BITS) // 8, np.uint8)
-    for row in counted:
-        if row["marks"] is not None:
-            part = np.frombuffer(row["marks"], np.uint8)
-            marks[row["r"] * len(part) : (row["r"] + 1) * len(part)] = part
-    total = sum(row["total"] for row in counted)
-    return marks, (sum(row["squares"] for row in counted) / total - 1) if total else 0.0
-
+        return pd.DataFrame({"r": [group["r"].iloc[0]], "repeated": [marked(every[edges[times > 1]])], "frequent": [marked(every[edges[times > FREQUENT]])], "total": [rest.sum()], "squares": [(rest**2).sum()]})
 
-def in_map(marks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    cell = hashes >> np.uint64(64 - MAP_BITS)
-    return (marks[(cell >> np.uint64(3)).astype(np.int64)] >> (7 - (cell & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+    counted = texts.mapInArrow(gather, "r int, blob binary").groupBy("r").applyInPandas(count, "r int, repeated binary, frequent binary, total double, squares double")
+    total = squares = 0.0
+    for row in counted.toLocalIterator():  # slices of maps of bounded size
+        for name in ("repeated", "frequent"):
+            if row[name] is not None:
+                part = np.frombuffer(row[name], np.uint8)
+                getattr(maps, name)[row["r"] * len(part) : (row["r"] + 1) * len(part)] = part
+        total += row["total"]
+        squares += row["squares"]
+    return maps, (squares / total - 1) if total else 0.0
 
 
 def boundary(mean_list: float, percent: int) -> int:
@@ -226,24 +254,30 @@ def boundary(mean_list: float, percent: int) -> int:
         n += 1
 
 
-def _keys(s: np.ndarray, marks: np.ndarray, percent: int, small: int) -> tuple[np.ndarray, np.ndarray]:
+def _keys(s: np.ndarray, maps: Maps, percent: int, small: int) -> tuple[np.ndarray, np.ndarray]:
     """A set's keys and the position of each (0 for pairs, which positions do not prune)."""
     n = len(s)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
     if n < 3:  # only equal sets link, and those are one node
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
-    hot = in_map(marks, s)
+        return none
+    again = maps.has(maps.repeated, s)
+    single = n - int(np.count_nonzero(again))
+    if n - single < required(n, percent):
+        return none
+    s = s[again]  # single elements come first, but nobody else has them
+    hot = maps.has(maps.frequent, s)
     ordered = np.concatenate([s[~hot], s[hot]])
     lead = n - required(n, percent) + 1
     keys, at = [], []
     if n <= small:
-        first = ordered[: lead + 1]
+        first = ordered[: max(0, lead + 1 - single)]
         i, j = np.triu_indices(len(first), 1)
         keys.append(mixed(first[i] * _ODD[1] ^ mixed(first[j] + _ODD[2])))
         at.append(np.zeros(len(i), np.uint32))
     if n * 100 >= percent * (small + 1):
-        keys.append(ordered[:lead])
-        at.append(np.arange(lead, dtype=np.uint32))
-    return np.concatenate(keys), np.concatenate(at)
+        keys.append(ordered[: max(0, lead - single)])
+        at.append(np.arange(single, max(single, lead), dtype=np.uint32)[: len(keys[-1])])
+    return (np.concatenate(keys), np.concatenate(at)) if keys else none
 
 
 def list_pairs(node: np.ndarray, size: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -255,10 +289,9 @@ def list_pairs(node: np.ndarray, size: np.ndarray, at: np.ndarray, percent: int)
     return np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
 
 
-def candidates(texts: DataFrame, n: int, percent: int, marks: np.ndarray, small: int, ranges: Ranges) -> DataFrame:
+def candidates(texts: DataFrame, n: int, percent: int, maps: Broadcast, small: int, ranges: Ranges) -> DataFrame:
     """list (null: a pair), a, b, size, at.  Pairs a < b to verify; members a of
     long lists, whose pairs are only partly among them."""
-    shared = texts.sparkSession.sparkContext.broadcast(marks)  # fixed size
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -278,8 +311,9 @@ def candidates(texts: DataFrame, n: int, percent: int, marks: np.ndarray, small:
                 if len(s) < 3 or (f := fingerprint(s)) in seen:
                     continue
                 seen.add(f)
-                key, at = _keys(s, shared.value, percent, small)
-                held.append((key, np.full(len(key), f, np.int64), np.full(len(key), len(s), np.uint32), at))
+                key, at = _keys(s, maps.value, percent, small)
+                if len(key):
+                    held.append((key, np.full(len(key), f, np.int64), np.full(len(key), len(s), np.uint32), at))
                 size += len(key)
             if size > GATHERED // 3:
                 yield sent()
@@ -302,7 +336,7 @@ def candidates(texts: DataFrame, n: int, percent: int, marks: np.ndarray, small:
         long_rows = []
         for k in np.flatnonzero(counts > 1):
             own = slice(edges[k], edges[k] + counts[k])
-            if counts[k] <= FREQUENT:
+            if counts[k] <= STAR:
                 a, b = list_pairs(node[own], size[own], at[own], percent)
             else:
                 hub = int(np.lexsort((node[own], at[own]))[0])
@@ -322,9 +356,9 @@ def candidates(texts: DataFrame, n: int, percent: int, marks: np.ndarray, small:
     return blobs.groupBy("r").applyInPandas(match, "list bigint, a bigint, b bigint, size bigint, at bigint")
 
 
-def node_map(nodes: DataFrame) -> np.ndarray:
+def node_map(nodes: DataFrame, bits: int) -> np.ndarray:
     """A bit map of the cells of the nodes in column a."""
-    cell = F.shiftrightunsigned("a", 64 - MAP_BITS)
+    cell = F.shiftrightunsigned("a", 64 - bits)
     step = 18  # 32 KB a row
 
     def mark(group: pd.DataFrame) -> pd.DataFrame:
@@ -333,29 +367,30 @@ def node_map(nodes: DataFrame) -> np.ndarray:
         return pd.DataFrame({"high": [group["high"].iloc[0]], "marks": [np.packbits(marks).tobytes()]})
 
     cells = nodes.select(cell.alias("c")).distinct().select(F.shiftright("c", step).alias("high"), F.col("c").bitwiseAND((1 << step) - 1).alias("low"))
-    out = np.zeros((1 << MAP_BITS) // 8, np.uint8)
-    for row in cells.groupBy("high").applyInPandas(mark, "high bigint, marks binary").collect():
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for row in cells.groupBy("high").applyInPandas(mark, "high bigint, marks binary").toLocalIterator():
         part = np.frombuffer(row["marks"], np.uint8)
         out[row["high"] * len(part) : (row["high"] + 1) * len(part)] = part
     return out
 
 
-def node_sets(texts: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
-    """node, elements binary: the whole sets of (at least) the wanted nodes."""
-    shared = texts.sparkSession.sparkContext.broadcast(node_map(wanted))  # fixed size
+def node_sets(texts: DataFrame, n: int, wanted: DataFrame, maps: Broadcast) -> DataFrame:
+    """node, size, elements binary: the repeated elements of (at least) the wanted nodes.
+    The others are in no other set, so they add to no intersection."""
+    shared = texts.sparkSession.sparkContext.broadcast(node_map(wanted, min(26, maps.value.bits)))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, sets in _sets(batches, n):
             rows = []
             for s in sets:
-                if len(s) > 2 and (f := fingerprint(s)) not in seen and in_map(shared.value, np.array([f], np.int64).view(np.uint64))[0]:
+                if len(s) > 2 and (f := fingerprint(s)) not in seen and Maps.has(shared.value, np.array([f], np.int64).view(np.uint64))[0]:
                     seen.add(f)
-                    rows.append((f, s.tobytes()))
+                    rows.append((f, len(s), s[Maps.has(maps.value.repeated, s)].tobytes()))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in rows], pa.int64()), pa.array([b for _, b in rows], pa.binary())], ["node", "elements"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["node", "size", "elements"])
 
-    return texts.mapInArrow(send, "node bigint, elements binary").groupBy("node").agg(F.first("elements").alias("elements"))
+    return texts.mapInArrow(send, "node bigint, size bigint, elements binary").groupBy("node").agg(F.first("size").alias("size"), F.first("elements").alias("elements"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -364,16 +399,15 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([x, y]), kind="stable")
+            for x, y, total in zip(batch.column(2), batch.column(3), batch.column(4).to_pylist(), strict=True):
+                both = np.sort(np.concatenate([np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)]), kind="stable")
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+                keep.append(100 * shared >= percent * (total - shared))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    first = pairs.join(sets.select(F.col("node").alias("b"), F.col("elements").alias("eb")), "b")
-    both = first.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("ea")), "a")
-    return both.select("a", "b", "ea", "eb").mapInArrow(check, "a bigint, b bigint")
+    first = pairs.join(sets.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("elements").alias("eb")), "b")
+    both = first.join(sets.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("elements").alias("ea")), "a")
+    return both.select("a", "b", "ea", "eb", (F.col("na") + F.col("nb")).alias("total")).mapInArrow(check, "a bigint, b bigint")
 
 
 def members(texts: DataFrame, id_type: str, n: int) -> DataFrame:
@@ -389,13 +423,14 @@ def members(texts: DataFrame, id_type: str, n: int) -> DataFrame:
 def link_components(texts: DataFrame, n: int, percent: int) -> DataFrame:
     """node, root over all nodes that have a link."""
     ranges = _ranges(texts)
-    marks, mean_list = frequent_map(texts, n, ranges)
-    found = durable(candidates(texts, n, percent, marks, boundary(mean_list, percent), ranges))
+    found_maps, mean_list = frequency_maps(texts, n, ranges)
+    maps = texts.sparkSession.sparkContext.broadcast(found_maps)  # at most 2 ** MAP_BITS bits each
+    found = durable(candidates(texts, n, percent, maps, boundary(mean_list, percent), ranges))
     pairs = found.where("list is null").select("a", "b").distinct()
     long_lists = found.where("list is not null").select("list", "a", "size", "at")
     # One node may recur in very many pairs (a hub): it goes into column a.
     often = pairs.select("a").union(pairs.select("b")).groupBy("a").count()
-    sets = durable(node_sets(texts, n, often.select("a").union(long_lists.select("a").distinct())))
+    sets = node_sets(texts, n, often.select("a"), maps)
     times = lambda c: often.select(F.col("a").alias(c), F.col("count").alias(f"n_{c}"))
     turned = pairs.join(times("a"), "a").join(times("b"), "b").select(F.when(F.col("n_a") >= F.col("n_b"), F.col("a")).otherwise(F.col("b")).alias("a"), F.when(F.col("n_a") >= F.col("n_b"), F.col("b")).otherwise(F.col("a")).alias("b"))
     links = durable(verified(turned, sets, percent))
@@ -410,8 +445,10 @@ def link_components(texts: DataFrame, n: int, percent: int) -> DataFrame:
             open_rows.join(other, "list").where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & (F.least(F.col("size") - F.col("at"), F.col("size_b") - F.col("at_b")) >= need))
             .select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
         )
-        more = durable(verified(rest, sets, percent))
-        if not more.isEmpty():
+        rest = durable(rest)
+        if not rest.isEmpty():
+            ends = rest.select("a").union(rest.select("b"))
+            more = durable(verified(rest, node_sets(texts, n, ends, maps), percent))
             roots = connected_components(links.union(more))
     return roots
 
