@@ -110,7 +110,8 @@ def label_pair(stem: Column, text: Column, brief_pairs: list[tuple[str, str]] =
     for pairs, confidence, flag in tiers:
         for a, b in pairs:
             near = rf"{flag}\b\Q{a}\E\b(?s:.){{0,200}}\b\Q{b}\E\b|\b\Q{b}\E\b(?s:.){{0,200}}\b\Q{a}\E\b"
-            hit = stem.rlike(near) & (text.rlike(rf"{flag}\b\Q{a}\E\b") | text.rlike(rf"{flag}\b\Q{b}\E\b"))
+            both = F.contains(F.lower(stem), F.lit(a.lower())) & F.contains(F.lower(stem), F.lit(b.lower()))  # cheaper than the pattern
+            hit = both & stem.rlike(near) & (text.rlike(rf"{flag}\b\Q{a}\E\b") | text.rlike(rf"{flag}\b\Q{b}\E\b"))
             found.append(F.when(hit, F.struct(F.lit(f"{a}|{b}").alias("pair"), F.lit(confidence).alias("confidence"), blocked.alias("blocked"))))
     return F.coalesce(*found, F.lit(None).cast(kind))
 

@@ -102,3 +102,31 @@ def permitted(pool: Column, concepts: Column, least: int = 3) -> Column:
     """The part of a pool that overlaps the permitted concepts, if enough is left."""
     kept = F.filter(pool, lambda m: F.arrays_overlap(m.concepts_involved, concepts))
     return F.when(F.size(kept) >= least, kept).otherwise(pool)
+
+
+# How well each kind of angle suits a tier.
+ANGLE_AFFINITY = {
+    1: {"definitional": 3, "comparison": 2, "exception": 1, "clinical_application": 0, "neuroanatomical": 1, "mechanism": 0},
+    2: {"comparison": 3, "definitional": 2, "exception": 2, "neuroanatomical": 1, "clinical_application": 1, "mechanism": 1},
+    3: {"clinical_application": 3, "neuroanatomical": 3, "mechanism": 2, "exception": 2, "comparison": 1, "definitional": 0},
+    4: {"mechanism": 3, "exception": 3, "comparison": 2, "clinical_application": 2, "neuroanatomical": 1, "definitional": 0},
+}
+
+
+def angle_for(angles: Column, tier: int, variant: Column) -> Column:
+    """The angle for a variant (W08): within the best-suited ones while they last, else in
+    turn through all, best first."""
+    suited = F.lit(0)
+    table = F.create_map(*(F.lit(x) for pair in ANGLE_AFFINITY[tier].items() for x in pair))
+    ranked = T.bound(angles, lambda a: F.array_sort(F.transform(a, lambda x, i: F.struct((-F.coalesce(F.element_at(table, x), suited)).alias("s"), i.alias("i"), x.alias("angle")))))
+
+    def pick(r: Column) -> Column:
+        top = F.filter(r, lambda x: x.s == F.get(r, F.lit(0)).s)
+        return F.when(F.size(top) >= variant, F.get(top, (variant - 1).cast("int")).angle).when(F.size(r) > 0, F.get(r, F.pmod(variant - 1, F.size(r)).cast("int")).angle)
+
+    return T.bound(ranked, pick)
+
+
+def vocabulary(groups: list[Column], each: int, most: int) -> Column:
+    """The longest terms of each group, in order, none twice, up to a cap."""
+    return F.slice(F.array_distinct(F.concat(*(T.sorted_by_length(g, each) for g in groups))), 1, most)

@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.plans import items, relational
+from quillmill.plans import items, more, relational
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return relational.QUERIES | items.QUERIES
+    return relational.QUERIES | items.QUERIES | more.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return relational.ORACLES | items.ORACLES
+    return relational.ORACLES | items.ORACLES | more.ORACLES
