@@ -26,7 +26,7 @@ from quillmill.llm.arrow_text import slices, text_slices
 from quillmill.llm.labelled import labelled_sample, unique_texts
 
 #: Labelled texts used for fitting at most.
-SAMPLE = 12_000
+SAMPLE = 6_000
 #: Words of a passage.
 PASSAGE = 48
 HIDDEN, GATE = 24, 12

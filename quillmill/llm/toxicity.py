@@ -35,7 +35,7 @@ from quillmill.llm.arrow_text import numbered_words, text_slices
 from quillmill.llm.labelled import labelled_sample, unique_texts
 
 #: Labelled texts used for fitting at most, and lexicon entries kept at most.
-SAMPLE = 16_000
+SAMPLE = 8_000
 LEXICON = 4_000
 #: Lengths of word beginnings that may be lexicon entries.
 BEGINNINGS = (4, 5, 6, 7, 8, 9)
@@ -48,6 +48,8 @@ THREATS = frozenset("kill hurt destroy burn shoot stab attack die töte tötet t
 _STRIP = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~«»„“”‘’…–—¡¿"
 _END = re.compile(r"[.!?;:|]$")
 
+#: Stands behind a whole word among lexicon entries; never part of a piece.
+WHOLE = "\n"
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 N_FEATURES = 9
 
@@ -137,33 +139,41 @@ def _pieces(text: str) -> list[str]:
 
 def learn_lexicon(texts: list[str], labels: list[int], most: int) -> tuple[dict[str, float], dict[str, float]]:
     """Words and word beginnings that stand in toxic texts far more often."""
-    def entries_of(text: str) -> set[tuple[str, bool]]:
+    def entries_of(text: str) -> set[str]:
+        """Word beginnings, and whole words with a mark behind them."""
         found = set()
         for piece in set(_pieces(text)):
             word = piece.strip(_STRIP)
             if len(word) >= 3 and not word.isdigit():
-                found.add((word, True))
-                found.update((word[:n], False) for n in BEGINNINGS if n <= len(word))
+                found.add(word + WHOLE)
+                found.update(word[:n] for n in BEGINNINGS if n <= len(word))
         return found
 
     rows = Counter(labels)
-    toxic = Counter(e for t, y in zip(texts, labels, strict=True) if y == 1 for e in entries_of(t))
-    toxic = {e: n for e, n in toxic.items() if n >= 4}
-    clean = Counter(e for t, y in zip(texts, labels, strict=True) if y == 0 for e in entries_of(t) if e in toxic)
+    # Most entries are rare; counting their hashes first keeps the strings out of memory.
+    hashes = [np.fromiter(map(hash, entries_of(t)), np.int64) for t, y in zip(texts, labels, strict=True) if y == 1]
+    seen, times = np.unique(np.concatenate(hashes), return_counts=True)
+    often = set(seen[times >= 4].tolist())
+    del hashes, seen, times
+    toxic, clean = Counter(), Counter()
+    for t, y in zip(texts, labels, strict=True):
+        (toxic if y == 1 else clean).update(e for e in entries_of(t) if hash(e) in often)
     entries: list[tuple[float, str, bool]] = []
     n1, n0 = max(1, rows[1]), max(1, rows[0])
     for key, a in toxic.items():
         b = clean[key]
+        if a < 4:
+            continue
         p, q = (a + 0.5) / (n1 + 1), (b + 0.5) / (n0 + 1)
         gap = (p - q) / np.sqrt(max(1e-12, p * (1 - p) / n1 + q * (1 - q) / n0))
         if np.log(p / q) >= 2.0 and gap >= 2.5:
-            entries.append((float(np.log(p / q)), *key))
-    entries.sort(key=lambda e: (-e[0] * np.sqrt(toxic[e[1], e[2]]), e[1], not e[2]))
+            entries.append((float(np.log(p / q)), key.rstrip(WHOLE), key.endswith(WHOLE)))
+    entries.sort(key=lambda e: (-e[0] * np.sqrt(toxic[e[1] + WHOLE * e[2]]), e[1], not e[2]))
     words, beginnings = {}, {}
     for weight, name, whole in entries[:most]:
         (words if whole else beginnings)[name] = weight
     for name in [*beginnings]:  # one word makes the beginning telling: the word is enough
-        if any(w.startswith(name) and toxic[w, True] >= 0.8 * toxic[name, False] for w in words):
+        if any(w.startswith(name) and toxic[w + WHOLE] >= 0.8 * toxic[name] for w in words):
             del beginnings[name]
     # a longer beginning adds nothing to a shorter one that is already as telling
     for name in sorted(beginnings, key=len, reverse=True):
@@ -172,20 +182,33 @@ def learn_lexicon(texts: list[str], labels: list[int], most: int) -> tuple[dict[
     return words, beginnings
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, sample_weight: np.ndarray, penalty: float = 1e-2) -> np.ndarray:
-    """Newton's method with a ridge; the last weight is the constant."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+def fit_logistic(x: np.ndarray, y: np.ndarray, sample_weight: np.ndarray, penalty: float = 0.02) -> np.ndarray:
+    """Newton's method with a ridge on scaled features; each step is halved until the
+    loss falls, so separable data converge too.  The last weight is the constant."""
+    scale = x.std(0) + 1e-9
+    x = np.hstack([x / scale, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
-    ridge = penalty * np.eye(len(w))
-    ridge[-1, -1] = 1e-6
-    for _ in range(60):
+    ridge = np.append(np.full(x.shape[1] - 1, penalty), 1e-6)
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(sample_weight @ (np.logaddexp(0, z) - y * z) + 0.5 * ridge @ w**2)
+
+    now = loss(w)
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (sample_weight * p * (1 - p) + 1e-9)[:, None]).T @ x + ridge
-        step = np.linalg.solve(h, x.T @ (sample_weight * (y - p)) - ridge @ w)
-        w += np.clip(step, -4, 4)
-        if np.abs(step).max() < 1e-6:
+        h = (x * (sample_weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge + 1e-9)
+        step = np.linalg.solve(h, x.T @ (sample_weight * (y - p)) - ridge * w)
+        for _ in range(40):
+            if (following := loss(w + step)) <= now:
+                break
+            step /= 2
+        else:
+            break
+        w, gain, now = w + step, now - following, following
+        if gain < 1e-9 * max(1.0, now):
             break
-    return w
+    return np.append(w[:-1] / scale, w[-1])
 
 
 def fit(texts: list[str], labels: list[int], prior: float | None = None, most: int = LEXICON) -> Grammar:
@@ -202,8 +225,7 @@ def fit(texts: list[str], labels: list[int], prior: float | None = None, most: i
     split = [([t for t, p in zip(texts, part, strict=True) if (p == 0) == own], [y for y, p in zip(labels, part, strict=True) if (p == 0) == own]) for own in (False, True)]
     (lt, ly), (wt, wy) = split if len(set(split[0][1])) == 2 and len(set(split[1][1])) == 2 else [(texts, labels)] * 2
     grammar = Grammar(*learn_lexicon(lt, ly, most))
-    rows = [_pieces(t) for t in wt]
-    x = np.array([grammar.features([grammar.read(p) for p in r], len(r)) for r in rows])
+    x = np.array([grammar.features([grammar.read(p) for p in r], len(r)) for r in map(_pieces, wt)])
     y = np.array(wy, float)
     prior = prior if prior else max(0.01, min(0.99, float(y.mean())))
     weight = np.where(y == 1, prior / max(y.mean(), 1e-9), (1 - prior) / max(1 - y.mean(), 1e-9))
