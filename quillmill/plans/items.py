@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,9 @@ def _gate(spark: SparkSession, d: str, gate) -> DataFrame:
 
 
 def _pattern(p: str) -> str:
+    """A pattern as SQL text; word boundaries are written out, as the oracle's know ASCII only."""
+    p = re.sub(r"\\b(?=\||$)", r"(?:[^\\p{L}\\p{N}_]|$)", p)
+    p = re.sub(r"\\b", r"(?:^|[^\\p{L}\\p{N}_])", p)
     return "'" + p.replace("'", "''") + "'"
 
 
