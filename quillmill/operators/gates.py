@@ -170,3 +170,40 @@ def run_gates(questions: DataFrame, gates: list = PIPELINE) -> DataFrame:
         if first:
             stopped = stopped | ~ok
     return checked.withColumn("failures", F.filter(F.array(*found), lambda f: f.isNotNull())).drop(*(f"__{name}" for name, _, _ in gates))
+
+
+# --- gates that need more of the record than the derived view has
+
+
+def content_quality() -> Gate:
+    """Three flashcards with fronts of 20 and backs of 40 characters, three keywords (G02, prerequisite).
+
+    Columns: flashcard_seeds (array of front and back), topic_keywords.
+    """
+    cards = F.coalesce(F.size("flashcard_seeds"), F.lit(0)) >= 3
+    long = F.forall("flashcard_seeds", lambda c: (F.length(c.front) >= 20) & (F.length(c.back) >= 40))
+    words = F.size(F.filter("topic_keywords", lambda k: F.length(k) > 1))
+    reason = F.when(~cards, "content_quality: few flashcards").when(~F.coalesce(long, F.lit(False)), "content_quality: short flashcard").when(F.coalesce(words, F.lit(0)) < 3, "content_quality: few keywords")
+    return verdict(reason.isNotNull(), reason, words)
+
+
+def anchor_grounding(concept: Column, brief_ids: Column) -> Gate:
+    """The tested concept is one of the brief's; passes where the brief is unknown."""
+    return verdict((F.size(brief_ids) > 0) & ~F.array_contains(brief_ids, concept), "anchor_grounding: concept not in brief")
+
+
+def scope_match(pattern: Column, labels: Column) -> Gate:
+    """Comparing stems: each distractor names about as many concepts as the answer (G13):
+    as many if that is at most two, else one fewer at least."""
+    hits = lambda t: F.size(F.filter(labels, lambda x: F.contains(F.lower(t), F.lower(x))))
+    own = hits(correct())
+    need = F.when(own <= 2, own).otherwise(own - 1)
+    short = F.filter(distractors(), lambda t: hits(t) < need)
+    return verdict(pattern.isin("comparison", "contrast_prompt", "best_answer") & (F.size(short) > 0), "scope_match: narrower distractor", F.size(short))
+
+
+def distractor_mix(levels: Column, wanted: dict[int, list[int]]) -> Column:
+    """A warning where the distractors' levels are not the tier's; it never fails."""
+    mix = by_tier({tier: ",".join(map(str, sorted(x))) for tier, x in wanted.items()}, None)
+    own = F.array_join(F.transform(F.array_sort(levels), lambda x: x.cast("string")), ",")
+    return F.when(mix.isNotNull() & (own != mix), F.concat(F.lit("distractor_mix: "), own, F.lit(" instead of "), mix))

@@ -130,3 +130,22 @@ def angle_for(angles: Column, tier: int, variant: Column) -> Column:
 def vocabulary(groups: list[Column], each: int, most: int) -> Column:
     """The longest terms of each group, in order, none twice, up to a cap."""
     return F.slice(F.array_distinct(F.concat(*(T.sorted_by_length(g, each) for g in groups))), 1, most)
+
+
+def template_for(rows: DataFrame, templates: DataFrame, keys: list[str], ord_col: str = "ord") -> DataFrame:
+    """The first template whose keys match, a null key of a template matching all.
+
+    The wildcards make it a join on conditions; templates are a handful of rows.
+    """
+    t = F.broadcast(templates.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col(ord_col).alias("__ord"), F.col("template").alias("__template")))
+    rule = F.lit(True)
+    for k in keys:
+        rule = rule & (F.col(f"__{k}").isNull() | (F.col(f"__{k}") == F.col(k)))
+    matched = rows.join(t, rule, "left")
+    return matched.groupBy(*rows.columns).agg(F.min_by("__template", "__ord").alias("template"))
+
+
+def first_flagged(rows: DataFrame, score: str, limit: float, ord_col: str, n: int) -> DataFrame:
+    """The first n rows in file order below a score, where none or 0 counts as 5."""
+    value = F.coalesce(F.nullif(F.col(score).cast("double"), F.lit(0.0)), F.lit(5.0))
+    return rows.where(value < limit).orderBy(ord_col).limit(n)

@@ -70,3 +70,35 @@ def reuse_or_recompute(sources: DataFrame, manifest: DataFrame) -> DataFrame:
     same = (F.col("source_hash") == F.col("__h")) & F.col("config").eqNullSafe(F.col("__c"))
     joined = sources.join(old, "chapter", "left")
     return joined.withColumn("reused", F.coalesce(same, F.lit(False))).withColumn("status", F.when(F.col("reused"), F.col("__s"))).drop("__h", "__c", "__s")
+
+
+def class_tally(rows: DataFrame, keys: list[str], classes: list[str], cls: str = "class", error: str = "error") -> DataFrame:
+    """Rows of each class per key (A15, A18, A19, A28); rows with an error, and classes that
+    are not known, count as error only."""
+    failed = F.col(error).isNotNull() | ~F.coalesce(F.col(cls).isin(*classes), F.lit(False))
+    counts = [F.count_if(~failed & (F.col(cls) == c)).alias(c) for c in classes]
+    return rows.groupBy(*keys).agg(*counts, F.count_if(failed).alias("error"))
+
+
+def derive_flagged(classifications: Column, legacy: Column) -> Column:
+    """The english_gap rows; where there are no classifications, the older list (Q11)."""
+    return F.when(classifications.isNotNull(), F.filter(classifications, lambda c: c["class"] == "english_gap")).otherwise(legacy)
+
+
+def signal_disagreements(signals: DataFrame, verdicts: DataFrame, keys: list[str]) -> DataFrame:
+    """Fired letters that the verdict does not call english_gap, per question."""
+    joined = signals.where("fired").select(*keys).distinct().join(verdicts.select(*keys, "class"), keys, "left")
+    return joined.groupBy(keys[0]).agg(F.count_if(~F.col("class").eqNullSafe(F.lit("english_gap"))).alias("disagreements"))
+
+
+def cohort_report(before: DataFrame, after: DataFrame, key: str, by: list[str]) -> DataFrame:
+    """Clean rows before and after, and whole percents rounded down."""
+    both = before.select(key, *by, (F.col("class") == "clean").alias("pre")).join(after.select(key, (F.col("class") == "clean").alias("post")), key)
+    told = both.groupBy(*by).agg(F.count("*").alias("n"), F.count_if("pre").alias("clean_before"), F.count_if("post").alias("clean_after"))
+    return told.withColumn("percent_before", F.floor(100 * F.col("clean_before") / F.col("n"))).withColumn("percent_after", F.floor(100 * F.col("clean_after") / F.col("n")))
+
+
+def bundle_guard(manifest: DataFrame, allow_partial: bool = False) -> int:
+    """0: publish; 1: no chapters; 2: chapters in review (Q14).  Reads one aggregate row."""
+    row = manifest.agg(F.count("*").alias("n"), F.count_if(F.col("status") == "review").alias("review")).first()
+    return 1 if not row["n"] else 2 if row["review"] and not allow_partial else 0

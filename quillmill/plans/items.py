@@ -361,3 +361,17 @@ def truncated_prompt(spark, d):
 @query("SELECT question_id, CASE WHEN length(id) <= 64 THEN id ELSE left(id, 57) || '_' || left(md5(id), 6) END AS short FROM (SELECT question_id, repeat(question_id || '-', 1 + doc_id::INTEGER % 9) AS id FROM q)")
 def short_ids(spark, d):
     return questions(spark, d).select("question_id", planning.short_id(F.repeat(F.concat("question_id", F.lit("-")), (F.col("doc_id") % 9 + 1).cast("int"))).alias("short"))
+
+
+@query("SELECT doc_id % 7 AS chapter, count(*) FILTER (WHERE toxic = 0 AND quality = 1) AS clean, count(*) FILTER (WHERE toxic = 0 AND quality = 0) AS major, count(*) FILTER (WHERE toxic = 1) AS error FROM labels GROUP BY 1")
+def class_tally(spark, d):
+    rows = table(spark, d, "labels").select((F.col("doc_id") % 7).alias("chapter"), F.when(F.col("quality") == 1, "clean").otherwise("major").alias("class"), F.when(F.col("toxic") == 1, "x").alias("error"))
+    return verdicts.class_tally(rows, ["chapter"], ["clean", "major"])
+
+
+@query("SELECT doc_id % 4 AS tier, count(*) AS n, count(*) FILTER (WHERE quality = 1) AS clean_before, count(*) FILTER (WHERE toxic = 0) AS clean_after, floor(100 * count(*) FILTER (WHERE quality = 1) / count(*))::BIGINT AS percent_before, floor(100 * count(*) FILTER (WHERE toxic = 0) / count(*))::BIGINT AS percent_after FROM labels GROUP BY 1")
+def cohort_report(spark, d):
+    labels = table(spark, d, "labels").withColumn("tier", F.col("doc_id") % 4)
+    before = labels.select("doc_id", "tier", F.when(F.col("quality") == 1, "clean").otherwise("english_gap").alias("class"))
+    after = labels.select("doc_id", F.when(F.col("toxic") == 0, "clean").otherwise("english_gap").alias("class"))
+    return verdicts.cohort_report(before, after, "doc_id", ["tier"])

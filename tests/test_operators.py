@@ -179,3 +179,25 @@ def test_scans(spark, tmp_path):
     assert sorted(r["question_id"] for r in files.scan_json_documents(spark, str(tmp_path / "q"), schema).collect()) == ["q1", "q2"]
     (tmp_path / "p.csv").write_text("skip\nskip\na, b ,c\nshort\nd,e,f\n")
     assert [tuple(r)[1:] for r in files.scan_positional(spark, str(tmp_path / "p.csv"), 2, 3, {"x": 0, "y": 1}).orderBy("at").collect()] == [("a", "b"), ("d", "e")]
+
+
+def test_gates_on_wider_records(spark):
+    card = ("x" * 20, "y" * 40)
+    df = spark.createDataFrame([([card] * 3, ["ab", "cd", "ef"]), ([card] * 2, ["ab", "cd", "ef"]), ([card] * 3, ["a", "b", "cd"])], "flashcard_seeds array<struct<front:string,back:string>>, topic_keywords array<string>")
+    assert [r[0]["ok"] for r in df.select(gates.content_quality()).collect()] == [True, False, False]
+    q = question(spark, texts=("memory and sleep", "memory and sleep", "memory", "sleep, memory"))
+    labels = F.array(F.lit("Memory"), F.lit("Sleep"))
+    assert not q.select(gates.scope_match(F.lit("comparison"), labels).alias("g")).first()["g"]["ok"]
+    assert q.select(gates.scope_match(F.lit("paraphrase"), labels).alias("g")).first()["g"]["ok"]
+    assert not q.select(gates.anchor_grounding(F.lit("c9"), F.array(F.lit("c1"))).alias("g")).first()["g"]["ok"]
+    assert q.select(gates.distractor_mix(F.array(F.lit(2), F.lit(1)), {3: [1, 2]}).alias("g")).first()["g"] is None
+
+
+def test_tallies_and_guard(spark):
+    rows = spark.createDataFrame([("c", "clean", None), ("c", "odd", None), ("c", "major", "x"), ("c", "major", None)], "chapter string, class string, error string")
+    assert verdicts.class_tally(rows, ["chapter"], ["clean", "major"]).first().asDict() == {"chapter": "c", "clean": 1, "major": 1, "error": 2}
+    manifest = spark.createDataFrame([("a", "ready"), ("b", "review")], "chapter string, status string")
+    assert (verdicts.bundle_guard(manifest), verdicts.bundle_guard(manifest, True), verdicts.bundle_guard(manifest.limit(0))) == (2, 0, 1)
+    templates = spark.createDataFrame([("D", None, 2, "general"), ("D", "f", 1, "special")], "domain string, flavor string, ord int, template string")
+    asked = spark.createDataFrame([(1, "D", "f"), (2, "D", "g"), (3, "X", "f")], "id int, domain string, flavor string")
+    assert sorted((r["id"], r["template"]) for r in planning.template_for(asked, templates, ["domain", "flavor"]).collect()) == [(1, "special"), (2, "general"), (3, None)]
