@@ -2,24 +2,26 @@
 
 Patterns find e-mail addresses, IP addresses, payment cards and phone numbers:
 the protected entities.  The corpus then tells which words give an entity away.
-With documents as events, a word w within a few words of entity e discloses
+With different texts as events, a word w of the texts of entity e discloses
 
     PMI(e; w) = log2( p(e|w) / p(e) ),  p(e|w) = df(e, w) / df(w),  p(e) = df(e) / N
 
 of the IC(e) = -log2 p(e) bits that the entity carries.  A word that discloses a
-share of at least `generalise_share` (and was seen with the entity in at least
-`min_texts` different texts) is replaced by a class mark; from `remove_share`
-on it is removed.  All counts cover the whole corpus; hot entities and words
+share of at least `generalise_share` (and stands in at least `min_texts`
+different texts of the entity) is replaced by a class mark wherever it stands,
+in texts without the entity too; from `remove_share` on it is removed.
+
+All counts cover the whole corpus; hot entities and words
 are summed before any shuffle.
 
 Defined results: null and empty texts have no spans.  A repeated row gets the
-same spans again, and copies count once (texts are told apart by their hash).
-Offsets are code points, ends exclusive.  Extra columns pass through
-:func:`sanitise`; the finders ignore them.
+same spans again, and copies count once (texts are told apart by their hash).  Offsets are code points, ends exclusive.  Extra columns pass
+through :func:`sanitise`; the finders ignore them.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -33,11 +35,10 @@ from pyspark.sql import functions as F
 
 from quillmill.llm.arrow_text import numbered_words, text_slices
 from quillmill.llm.durable import durable
+from quillmill.llm.jaccard import Maps, node_map
 
-#: Words on each side of an entity that may disclose it.
-WINDOW = 6
-#: Characters searched for those words; longer words are not terms.
-REACH = 240
+#: The largest bit maps have this power of two of bits (32 MB each).
+MAP_BITS = 28
 #: Distinct words that a task counts before it hands them on.
 COUNTED = 300_000
 
@@ -48,7 +49,6 @@ _EMAIL_RUN = re.compile(r"[A-Za-z0-9._%+@-]+")
 _IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_PIECE = re.compile(r"[^ \n]+")
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789«»„“”‘’…–—¡¿"
 
 
@@ -85,53 +85,70 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
-def nearby_terms(text: str, start: int, end: int) -> Iterator[tuple[str, int, int]]:
-    """The words around text[start:end] as (lower-cased term, start, end)."""
-    low = max(0, start - REACH)
-    before = [(low + m.start(), m[0]) for m in _PIECE.finditer(text, low, start)]
-    if before and low and before[0][0] == low and text[low - 1] not in " \n":
-        before = before[1:]  # the rest of a word that begins further off
-    after = [(m.start(), m[0]) for m in _PIECE.finditer(text, end, min(len(text), end + REACH))]
-    for at, piece in [*before[-WINDOW:], *after[:WINDOW]]:
-        core = piece.strip(MARKS)
-        if core:
-            at += len(piece) - len(piece.lstrip(MARKS))
-            yield core.lower(), at, at + len(core)
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def class_id(name: str) -> int:
+    return signed(xxhash.xxh64_intdigest(name))
+
+
+def placed_terms(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct terms of texts without nulls; each piece's text, term, start and stop."""
+    names, index, bounds = numbered_words(texts)
+    cores = [n.strip(MARKS) for n in names]
+    number: dict[str, int] = {}
+    term = np.array([number.setdefault(c, len(number)) for c in cores], np.int64)
+    whole, left, size = (np.array(x, np.int64)[index] for x in ([len(n) for n in names], [len(n) - len(n.lstrip(MARKS)) for n in names], [len(c) for c in cores]))
+    begin = np.cumsum(whole + 1) - whole - 1  # lower-casing keeps the number of code points
+    start = begin - np.repeat(begin[bounds[:-1]], np.diff(bounds)) + left
+    return [*number], np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)), term[index], start, start + size
+
+
+def covered(spans: list[tuple], start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Which pieces overlap one of the spans, which are sorted by their starts."""
+    if not spans:
+        return np.zeros(len(start), bool)
+    reach = np.concatenate([[-1], np.maximum.accumulate([s[1] for s in spans])])
+    return reach[np.searchsorted([s[0] for s in spans], stop, "left")] > start
 
 
 _SPAN = "array<struct<start:bigint,stop:bigint,kind:string,entity:bigint>>"
-_NEAR = "array<struct<entity:bigint,term:string,start:bigint,stop:bigint>>"
 
 
 def detect(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col, text_key long, spans (base entities), near (words around them)."""
+    """id_col, text_key long, spans (base entities), and the distinct terms outside the spans of a text that has some."""
     kind = docs.schema[id_col].dataType.simpleString()
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.string()), ("entity", pa.int64())]))
-    near = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string()), ("start", pa.int64()), ("stop", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, texts in text_slices(batch):
                 texts = texts.fill_null("")
-                keys, spans, around = [], [], []
+                keys, spans, terms, held = [], [], [], []
                 for t, likely in zip(texts.to_pylist(), pc.match_substring_regex(texts, "[0-9@]").to_pylist(), strict=True):
                     keys.append(signed(xxhash.xxh64_intdigest(t, seed=42)))  # as text_key()
-                    own, words = [], []
-                    for a, b, k, value in find_entities(t) if likely else ():
-                        entity = signed(xxhash.xxh64_intdigest(f"{k}:{value}"))
-                        own.append({"start": a, "stop": b, "kind": k, "entity": entity})
-                        words += [{"entity": entity, "term": w, "start": s, "stop": e} for w, s, e in nearby_terms(t, a, b)]
-                    if words:  # words inside another entity are hidden with it
-                        words = [w for w in words if not any(s["start"] < w["stop"] and w["start"] < s["stop"] for s in own)]
-                    spans.append(own)
-                    around.append(words)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(keys, pa.int64()), pa.array(spans, span), pa.array(around, near)], [id_col, "text_key", "spans", "near"])
+                    own = find_entities(t) if likely else []
+                    if own:
+                        held.append((len(spans), own))
+                    spans.append([{"start": a, "stop": b, "kind": k, "entity": class_id(f"{k}:{v}")} for a, b, k, v in own])
+                    terms.append([])
+                if held:
+                    names, doc, term, start, stop = placed_terms(texts.take(pa.array([i for i, _ in held], pa.int64())))
+                    edges = np.searchsorted(doc, np.arange(len(held) + 1))
+                    for (i, own), a, b in zip(held, edges, edges[1:], strict=False):
+                        free = ~covered(own, start[a:b], stop[a:b]) & (stop[a:b] > start[a:b])
+                        terms[i] = [names[k] for k in np.unique(term[a:b][free]).tolist()]
+                columns = [ids, pa.array(keys, pa.int64()), pa.array(spans, span), pa.array(terms, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(columns, [id_col, "text_key", "spans", "terms"])
 
-    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(run, f"`{id_col}` {kind}, text_key bigint, spans {_SPAN}, near {_NEAR}")
+    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(run, f"`{id_col}` {kind}, text_key bigint, spans {_SPAN}, terms array<string>")
 
 
-def signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
+def marked(keys: DataFrame):
+    """A bit map, for every task, of the cells of the hashes in column a."""
+    bits = min(MAP_BITS, max(20, math.ceil(math.log2(16 * keys.count() + 1))))
+    return keys.sparkSession.sparkContext.broadcast(node_map(keys, bits))
 
 
 def term_documents(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
@@ -168,33 +185,60 @@ def term_documents(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
 def disclosures(docs: DataFrame, detected: DataFrame, *, text_col: str = "text", min_texts: int = 3, generalise_share: float = 0.9, remove_share: float = 0.98) -> DataFrame:
     """entity, term, kind (term or removed), bits disclosed."""
     total = docs.count()
-    texts = detected.where(F.size("spans") > 0).select("text_key", "spans", "near").dropDuplicates(["text_key"])
-    entities = texts.select("text_key", F.explode(F.array_distinct(F.transform("spans", lambda s: s.entity))).alias("entity")).groupBy("entity").agg(F.count("*").alias("df_entity"))
+    texts = detected.where(F.size("spans") > 0).select("text_key", "spans", "terms").dropDuplicates(["text_key"])
+    things = F.array_distinct(F.transform("spans", lambda s: s.entity))
+    held = texts.select("text_key", F.explode(things).alias("thing"))
+    enough = durable(held.groupBy("thing").agg(F.count("*").alias("df_thing")).where(F.col("df_thing") >= min_texts))
+    judging = held.join(enough, "thing")
     pairs = (
-        texts.select(F.explode(F.array_distinct(F.transform("near", lambda w: F.struct(w.entity.alias("entity"), w.term.alias("term"))))).alias("p"))
-        .groupBy("p.entity", "p.term").agg(F.count("*").alias("df_pair")).where(F.col("df_pair") >= min_texts)
+        judging.join(texts.select("text_key", "terms"), "text_key").select("thing", "df_thing", F.explode("terms").alias("term"))
+        .groupBy("thing", "df_thing", "term").agg(F.count("*").alias("df_pair")).where(F.col("df_pair") >= min_texts)
     )
-    known = pairs.join(term_documents(docs, text_col=text_col), "term").join(entities.where(F.col("df_entity") >= min_texts), "entity")
-    content = F.log2(F.lit(float(max(total, 2))) / F.col("df_entity"))
+    known = pairs.join(term_documents(docs, text_col=text_col), "term")
+    content = F.log2(F.lit(float(max(total, 2))) / F.col("df_thing"))
     bits = content + F.log2(F.least(F.lit(1.0), F.col("df_pair") / F.col("df")))
     share = F.when(content > 0, F.col("bits") / content).otherwise(0.0)
     judged = known.withColumn("bits", bits).withColumn("share", share).where(F.col("share") >= generalise_share)
-    return judged.select("entity", "term", F.when(F.col("share") >= remove_share, "removed").otherwise("term").alias("kind"), "bits")
+    return judged.select(F.col("thing").alias("entity"), "term", F.when(F.col("share") >= remove_share, "removed").otherwise("term").alias("kind"), "bits")
 
 
-def find_private(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_texts: int = 3, generalise_share: float = 0.9, remove_share: float = 0.98) -> DataFrame:
-    """id_col, text_key, spans: array of (start, stop, kind, entity), sorted.
+def mentions(docs: DataFrame, terms: DataFrame, *, text_col: str = "text") -> DataFrame:
+    """text_key, term, start, stop: every place, outside entities, of (at least) the terms."""
+    wanted = marked(terms.select(F.xxhash64("term").alias("a")))
 
-    Detection runs once and is kept in the checkpoint folder (spans only, no
-    text); the second pass over the texts counts words.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for keys, texts in text_slices(batch):
+                new = [not (k in seen or seen.add(k)) for k in keys.to_pylist()]  # copies in one task
+                keys, texts = keys.filter(pa.array(new, pa.bool_())), texts.filter(pa.array(new, pa.bool_()))
+                names, doc, term, start, stop = placed_terms(texts)
+                hit = Maps.has(wanted.value, np.fromiter((xxhash.xxh64_intdigest(n, seed=42) for n in names), np.uint64, len(names)))
+                at = np.flatnonzero(hit[term] & (stop > start)) if len(names) else np.zeros(0, np.int64)
+                edges = np.flatnonzero(np.diff(doc[at], prepend=-1))
+                free = [own[~covered(find_entities(texts[int(doc[own[0]])].as_py()), start[own], stop[own])] for own in np.split(at, edges[1:]) if len(own)]
+                at = np.concatenate([np.zeros(0, np.int64), *free])
+                columns = [keys.take(pa.array(doc[at], pa.int64())), pa.array([names[k] for k in term[at].tolist()], pa.string()), pa.array(start[at], pa.int64()), pa.array(stop[at], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["text_key", "term", "start", "stop"])
+
+    return docs.select(text_key(text_col), F.coalesce(F.col(text_col).cast("string"), F.lit(""))).mapInArrow(run, "text_key bigint, term string, start bigint, stop bigint")
+
+
+def find_private(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **thresholds) -> DataFrame:
+    """id_col, text_key, spans: array of (start, stop, kind, entity), sorted; a
+    word's entity is the one of which it discloses most.
+
+    Detection runs once and is kept in the checkpoint folder (no text but the
+    terms of texts with entities); the second pass over the texts counts words,
+    the third finds the judged ones wherever they stand.
     """
     detected = durable(detect(docs, id_col=id_col, text_col=text_col))
-    risky = disclosures(docs, detected, text_col=text_col, min_texts=min_texts, generalise_share=generalise_share, remove_share=remove_share)
-    seen = detected.where(F.size("near") > 0).select("text_key", "near").dropDuplicates(["text_key"]).select("text_key", F.explode("near").alias("n")).select("text_key", "n.*")
+    risky = disclosures(docs, detected, text_col=text_col, **thresholds)
+    worst = durable(risky.groupBy("term").agg(F.min("kind").alias("kind"), F.max(F.struct("bits", "entity")).entity.alias("entity")))  # "removed" before "term"
     extra = (
-        seen.join(risky, ["entity", "term"]).select("text_key", F.struct("start", "stop", "kind", "entity").alias("s"))
+        mentions(docs, worst, text_col=text_col).join(worst, "term").select("text_key", F.struct("start", "stop", "kind", "entity").alias("s"))
         .groupBy("text_key").agg(F.collect_set("s").alias("extra"))
-    )  # fmt: skip  # at most two windows of words for each entity of one text
+    )  # fmt: skip  # at most the words of one text
     return detected.join(extra, "text_key", "left").select(id_col, "text_key", sorted_spans(F.concat("spans", F.coalesce("extra", F.expr(f"cast(array() as {_SPAN})")))).alias("spans"))
 
 

@@ -148,6 +148,14 @@ def test_disclosing_terms_and_redaction(spark):
     assert privacy.redact("abcdef", [{"start": 1, "stop": 3, "kind": "ip"}, {"start": 2, "stop": 4, "kind": "card"}]) == "a[IP]ef"
 
 
+def test_disclosing_terms_go_wherever_they_stand(spark):
+    far = "common words about number " * 20
+    rows = [(i, f"Quorvax. {far} kim@example.org {far} (QUORVAX) é {i}") for i in range(6)] + [(50, "about Quorvax, é")] + [(100 + i, f"{far}é {i}") for i in range(300)]
+    found = {r["doc_id"]: r["spans"] for r in privacy.find_private(docs(spark, rows)).collect()}
+    words = lambda i: [dict(rows)[i][s["start"] : s["stop"]] for s in found[i] if s["kind"] != "email"]
+    assert words(0) == ["Quorvax", "QUORVAX"] and words(50) == ["Quorvax"] and not found[100]
+
+
 def test_toxicity_held_out(spark):
     rng = random.Random(1)
     words = ["".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(300)]
