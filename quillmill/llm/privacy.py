@@ -11,7 +11,11 @@ share of at least `generalise_share` (and stands in at least `min_texts`
 different texts of the entity) is replaced by a class mark wherever it stands,
 in texts without the entity too; from `remove_share` on it is removed.
 
-All counts cover the whole corpus; hot entities and words
+An entity in fewer than `min_texts` texts is judged by its part (mail domain,
+network, card issuer, dialling code), or if that is in too few as well by its
+kind: e is then the event that a text holds any entity of the class, and
+p(e|w) = (df(e, w) + prior p(e)) / (df(w) + prior), so few texts alone convince
+only of rare classes.  All counts cover the whole corpus; hot entities and words
 are summed before any shuffle.
 
 Defined results: null and empty texts have no spans.  A repeated row gets the
@@ -85,6 +89,11 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
+def part_of(kind: str, value: str) -> str:
+    """What an entity shares with its like: mail domain, network, issuer, dialling code."""
+    return value.rpartition("@")[2] if kind == "email" else value.rpartition(".")[0] if kind == "ip" else value[:6] if kind == "card" else value[:4]
+
+
 def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -114,24 +123,28 @@ def covered(spans: list[tuple], start: np.ndarray, stop: np.ndarray) -> np.ndarr
 
 
 _SPAN = "array<struct<start:bigint,stop:bigint,kind:string,entity:bigint>>"
+_CLASS = "array<struct<entity:bigint,part:bigint,family:bigint>>"
 
 
 def detect(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col, text_key long, spans (base entities), and the distinct terms outside the spans of a text that has some."""
+    """id_col, text_key long, spans (base entities), classes of the entities, and
+    the distinct terms outside the spans of a text that has some."""
     kind = docs.schema[id_col].dataType.simpleString()
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("kind", pa.string()), ("entity", pa.int64())]))
+    classed = pa.list_(pa.struct([("entity", pa.int64()), ("part", pa.int64()), ("family", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, texts in text_slices(batch):
                 texts = texts.fill_null("")
-                keys, spans, terms, held = [], [], [], []
+                keys, spans, classes, terms, held = [], [], [], [], []
                 for t, likely in zip(texts.to_pylist(), pc.match_substring_regex(texts, "[0-9@]").to_pylist(), strict=True):
                     keys.append(signed(xxhash.xxh64_intdigest(t, seed=42)))  # as text_key()
                     own = find_entities(t) if likely else []
                     if own:
                         held.append((len(spans), own))
                     spans.append([{"start": a, "stop": b, "kind": k, "entity": class_id(f"{k}:{v}")} for a, b, k, v in own])
+                    classes.append([{"entity": class_id(f"{k}:{v}"), "part": class_id(f"part {k}:{part_of(k, v)}"), "family": class_id(f"kind {k}")} for k, v in sorted({s[2:] for s in own})])
                     terms.append([])
                 if held:
                     names, doc, term, start, stop = placed_terms(texts.take(pa.array([i for i, _ in held], pa.int64())))
@@ -139,10 +152,10 @@ def detect(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
                     for (i, own), a, b in zip(held, edges, edges[1:], strict=False):
                         free = ~covered(own, start[a:b], stop[a:b]) & (stop[a:b] > start[a:b])
                         terms[i] = [names[k] for k in np.unique(term[a:b][free]).tolist()]
-                columns = [ids, pa.array(keys, pa.int64()), pa.array(spans, span), pa.array(terms, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(columns, [id_col, "text_key", "spans", "terms"])
+                columns = [ids, pa.array(keys, pa.int64()), pa.array(spans, span), pa.array(classes, classed), pa.array(terms, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(columns, [id_col, "text_key", "spans", "classes", "terms"])
 
-    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(run, f"`{id_col}` {kind}, text_key bigint, spans {_SPAN}, terms array<string>")
+    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(run, f"`{id_col}` {kind}, text_key bigint, spans {_SPAN}, classes {_CLASS}, terms array<string>")
 
 
 def marked(keys: DataFrame):
@@ -182,21 +195,27 @@ def term_documents(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     return found.groupBy("term").agg(F.sum("df").alias("df"))
 
 
-def disclosures(docs: DataFrame, detected: DataFrame, *, text_col: str = "text", min_texts: int = 3, generalise_share: float = 0.9, remove_share: float = 0.98) -> DataFrame:
-    """entity, term, kind (term or removed), bits disclosed."""
+def disclosures(docs: DataFrame, detected: DataFrame, *, text_col: str = "text", min_texts: int = 3, generalise_share: float = 0.9, remove_share: float = 0.98, prior: float = 1.0) -> DataFrame:
+    """entity (or the class that it is judged by), term, kind (term or removed), bits disclosed."""
     total = docs.count()
-    texts = detected.where(F.size("spans") > 0).select("text_key", "spans", "terms").dropDuplicates(["text_key"])
-    things = F.array_distinct(F.transform("spans", lambda s: s.entity))
+    texts = detected.where(F.size("spans") > 0).select("text_key", "classes", "terms").dropDuplicates(["text_key"])
+    things = F.array_distinct(F.flatten(F.transform("classes", lambda c: F.array(c.entity, c.part, c.family))))
     held = texts.select("text_key", F.explode(things).alias("thing"))
     enough = durable(held.groupBy("thing").agg(F.count("*").alias("df_thing")).where(F.col("df_thing") >= min_texts))
-    judging = held.join(enough, "thing")
+    families = F.broadcast(enough.where(F.col("thing").isin([class_id(f"kind {k}") for k in KINDS[:4]])))  # at most four rows
+    named = texts.select(F.explode("classes").alias("c")).select("c.*").distinct()
+    for level, known in (("entity", enough), ("part", enough), ("family", families)):
+        named = named.join(known.select(F.col("thing").alias(level), F.col("thing").alias(f"by_{level}")), level, "left")
+    used = named.select(F.coalesce("by_entity", "by_part", "by_family").alias("thing"), F.col("by_entity").isNull().alias("pooled")).where("thing is not null").distinct()
+    judging = held.join(used.join(enough, "thing"), "thing")
     pairs = (
-        judging.join(texts.select("text_key", "terms"), "text_key").select("thing", "df_thing", F.explode("terms").alias("term"))
-        .groupBy("thing", "df_thing", "term").agg(F.count("*").alias("df_pair")).where(F.col("df_pair") >= min_texts)
+        judging.join(texts.select("text_key", "terms"), "text_key").select("thing", "pooled", "df_thing", F.explode("terms").alias("term"))
+        .groupBy("thing", "pooled", "df_thing", "term").agg(F.count("*").alias("df_pair")).where(F.col("df_pair") >= min_texts)
     )
     known = pairs.join(term_documents(docs, text_col=text_col), "term")
     content = F.log2(F.lit(float(max(total, 2))) / F.col("df_thing"))
-    bits = content + F.log2(F.least(F.lit(1.0), F.col("df_pair") / F.col("df")))
+    seen = F.when(F.col("pooled"), (F.col("df_pair") + prior * F.col("df_thing") / float(max(total, 2))) / (F.col("df") + prior)).otherwise(F.col("df_pair") / F.col("df"))
+    bits = content + F.log2(F.least(F.lit(1.0), seen))
     share = F.when(content > 0, F.col("bits") / content).otherwise(0.0)
     judged = known.withColumn("bits", bits).withColumn("share", share).where(F.col("share") >= generalise_share)
     return judged.select(F.col("thing").alias("entity"), "term", F.when(F.col("share") >= remove_share, "removed").otherwise("term").alias("kind"), "bits")
@@ -226,7 +245,7 @@ def mentions(docs: DataFrame, terms: DataFrame, *, text_col: str = "text") -> Da
 
 def find_private(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **thresholds) -> DataFrame:
     """id_col, text_key, spans: array of (start, stop, kind, entity), sorted; a
-    word's entity is the one of which it discloses most.
+    word's entity is the one (or the class) of which it discloses most.
 
     Detection runs once and is kept in the checkpoint folder (no text but the
     terms of texts with entities); the second pass over the texts counts words,

@@ -148,6 +148,15 @@ def test_disclosing_terms_and_redaction(spark):
     assert privacy.redact("abcdef", [{"start": 1, "stop": 3, "kind": "ip"}, {"start": 2, "stop": 4, "kind": "card"}]) == "a[IP]ef"
 
 
+def test_rare_entities_are_judged_by_part_and_kind(spark):
+    rows = [(i, f"quorvax mail to person{'abcdefgh'[i]}@clinic.example number {i}") for i in range(8)]
+    rows += [(20 + i, f"vexbril host 10.{i}.{i}.7 number {i}") for i in range(8)] + [(100 + i, f"mail to a host about number {i}") for i in range(300)]
+    clean = {r["doc_id"]: r["text"] for r in privacy.sanitise(docs(spark, rows)).collect()}
+    assert all("quorvax" not in clean[i] and "mail to [EMAIL]" in clean[i] for i in range(8))
+    assert all("vexbril" not in clean[20 + i] and "host [IP]" in clean[20 + i] for i in range(8))
+    assert clean[100] == rows[16][1]
+
+
 def test_disclosing_terms_go_wherever_they_stand(spark):
     far = "common words about number " * 20
     rows = [(i, f"Quorvax. {far} kim@example.org {far} (QUORVAX) é {i}") for i in range(6)] + [(50, "about Quorvax, é")] + [(100 + i, f"{far}é {i}") for i in range(300)]
