@@ -19,7 +19,8 @@ only of rare classes.  All counts cover the whole corpus; hot entities and words
 are summed before any shuffle.
 
 Defined results: null and empty texts have no spans.  A repeated row gets the
-same spans again, and copies count once (texts are told apart by their hash).  Offsets are code points, ends exclusive.  Extra columns pass
+same spans again, and copies count once in all four counts (texts are told apart
+by their hash).  Offsets are code points, ends exclusive.  Extra columns pass
 through :func:`sanitise`; the finders ignore them.
 """
 
@@ -164,40 +165,60 @@ def marked(keys: DataFrame):
     return keys.sparkSession.sparkContext.broadcast(node_map(keys, bits))
 
 
-def term_documents(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """term, df long: in how many documents each word stands."""
+def term_documents(docs: DataFrame, detected: DataFrame, *, text_col: str = "text") -> DataFrame:
+    """term, df long: in how many different texts each word stands.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+    Texts are counted where they are read, but for those that a bit map shows as
+    copies: these meet first.  Two keys in one cell cost work, not results.
+    """
+    texts = docs.select(text_key(text_col).alias("a"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    copies = marked(detected.groupBy("text_key").count().where("count > 1").select(F.col("text_key").alias("a")))
 
-        def counted() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array([*counts], pa.string()), pa.array([*counts.values()], pa.int64())], ["term", "df"])
-            counts.clear()
-            return out
+    def chosen(batch: pa.RecordBatch, copied: bool) -> pa.RecordBatch:
+        return batch.filter(pa.array(Maps.has(copies.value, np.asarray(batch.column(0)).view(np.uint64)) == copied))
 
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            for _, texts in text_slices(batch):
-                names, index, bounds = numbered_words(texts.fill_null(""))
-                number: dict[str, int] = {}
-                term = np.array([number.setdefault(n.strip(MARKS), len(number)) for n in names], np.int64)
-                doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-                once = np.unique(doc * len(number) + term[index]) % len(number)
-                each = np.bincount(once, minlength=len(number)).tolist()
-                for t, n in zip(number, each, strict=True):
-                    counts[t] += n
-                del counts[""]
-                if len(counts) > COUNTED:
-                    yield counted()
-        if counts:
-            yield counted()
-
-    found = docs.select(F.lit(0).alias("none"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "term string, df bigint")
+            batch = chosen(batch, True)
+            new = [not (k in seen or seen.add(k)) for k in batch.column(0).to_pylist()]
+            yield batch.filter(pa.array(new, pa.bool_()))
+
+    def counting(single: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            counts: Counter = Counter()
+
+            def counted() -> pa.RecordBatch:
+                out = pa.RecordBatch.from_arrays([pa.array([*counts], pa.string()), pa.array([*counts.values()], pa.int64())], ["term", "df"])
+                counts.clear()
+                return out
+
+            for batch in batches:
+                for _, own in text_slices(chosen(batch, False) if single else batch):
+                    names, index, bounds = numbered_words(own)
+                    number: dict[str, int] = {}
+                    term = np.array([number.setdefault(n.strip(MARKS), len(number)) for n in names], np.int64)
+                    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+                    once = np.unique(doc * len(number) + term[index]) % len(number)
+                    each = np.bincount(once, minlength=len(number)).tolist()
+                    for t, n in zip(number, each, strict=True):
+                        counts[t] += n
+                    del counts[""]
+                    if len(counts) > COUNTED:
+                        yield counted()
+            if counts:
+                yield counted()
+
+        return run
+
+    met = texts.mapInArrow(gather, "a bigint, text string").dropDuplicates(["a"])
+    found = texts.mapInArrow(counting(True), "term string, df bigint").unionByName(met.mapInArrow(counting(False), "term string, df bigint"))
     return found.groupBy("term").agg(F.sum("df").alias("df"))
 
 
 def disclosures(docs: DataFrame, detected: DataFrame, *, text_col: str = "text", min_texts: int = 3, generalise_share: float = 0.9, remove_share: float = 0.98, prior: float = 1.0) -> DataFrame:
     """entity (or the class that it is judged by), term, kind (term or removed), bits disclosed."""
-    total = docs.count()
+    total = detected.select("text_key").distinct().count()
     texts = detected.where(F.size("spans") > 0).select("text_key", "classes", "terms").dropDuplicates(["text_key"])
     things = F.array_distinct(F.flatten(F.transform("classes", lambda c: F.array(c.entity, c.part, c.family))))
     held = texts.select("text_key", F.explode(things).alias("thing"))
@@ -212,7 +233,7 @@ def disclosures(docs: DataFrame, detected: DataFrame, *, text_col: str = "text",
         judging.join(texts.select("text_key", "terms"), "text_key").select("thing", "pooled", "df_thing", F.explode("terms").alias("term"))
         .groupBy("thing", "pooled", "df_thing", "term").agg(F.count("*").alias("df_pair")).where(F.col("df_pair") >= min_texts)
     )
-    known = pairs.join(term_documents(docs, text_col=text_col), "term")
+    known = pairs.join(term_documents(docs, detected, text_col=text_col), "term")
     content = F.log2(F.lit(float(max(total, 2))) / F.col("df_thing"))
     seen = F.when(F.col("pooled"), (F.col("df_pair") + prior * F.col("df_thing") / float(max(total, 2))) / (F.col("df") + prior)).otherwise(F.col("df_pair") / F.col("df"))
     bits = content + F.log2(F.least(F.lit(1.0), seen))

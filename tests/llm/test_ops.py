@@ -165,6 +165,12 @@ def test_disclosing_terms_go_wherever_they_stand(spark):
     assert words(0) == ["Quorvax", "QUORVAX"] and words(50) == ["Quorvax"] and not found[100]
 
 
+def test_copies_count_once_in_every_count(spark):
+    rows = [(i, f"quorvax writes to kim@example.org {'abc'[i]}") for i in range(3)] + [(1000 + i, "quorvax writes to kim@example.org a") for i in range(200)] + [(5000 + i, f"writes to {chr(1000 + i)}") for i in range(300)]
+    found = {r["doc_id"]: r["spans"] for r in privacy.find_private(docs(spark, rows)).collect()}
+    assert all([s["kind"] for s in found[i]] == ["removed", "email"] for i in (0, 1, 2, 1000, 1199)) and not found[5000]
+
+
 def test_toxicity_held_out(spark):
     rng = random.Random(1)
     words = ["".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(300)]
