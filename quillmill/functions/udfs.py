@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -21,8 +22,19 @@ def match_offsets(pattern: str):
 
 
 def least_distance(a, b):
-    """The least distance of two arrays of offsets, null if one is empty (F07), built-in."""
-    return F.array_min(F.flatten(F.transform(a, lambda x: F.transform(b, lambda y: F.abs(x - y)))))
+    """The least distance of two sorted arrays of offsets, null if one is empty."""
+
+    def least(x, y) -> int | None:
+        if x is None or y is None or not len(x) or not len(y):
+            return None
+        at = np.searchsorted(y, x)
+        return int(np.minimum(np.abs(x - y[np.maximum(at - 1, 0)]), np.abs(y[np.minimum(at, len(y) - 1)] - x)).min())
+
+    @F.pandas_udf("int")
+    def run(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        return pd.Series([least(x, y) for x, y in zip(xs, ys, strict=True)], dtype="Int32")
+
+    return run(a, b)
 
 
 def last_json_object(text: str | None) -> str | None:

@@ -151,7 +151,7 @@ def json_in_prose(spark, d):
 @query()
 def match_distances(spark, d):
     rows = table(spark, d, "documents").select("doc_id", udfs.match_offsets(r"\bthe\b")("text").alias("a"), udfs.match_offsets(r"\bof\b")("text").alias("b"))
-    return rows.select("doc_id", F.size("a").alias("n_a"), udfs.least_distance(F.slice("a", 1, 50), F.slice("b", 1, 50)).alias("distance"))
+    return rows.select("doc_id", F.size("a").alias("n_a"), udfs.least_distance("a", "b").alias("distance"))
 
 
 @query("WITH p AS (SELECT n_regionkey, list(CASE n_nationkey % 6 WHEN 0 THEN 'definitional' WHEN 1 THEN 'comparison' WHEN 2 THEN 'exception' WHEN 3 THEN 'clinical_application' WHEN 4 THEN 'neuroanatomical' ELSE 'mechanism' END ORDER BY n_nationkey) AS a FROM nation GROUP BY 1), s AS (SELECT n_regionkey, unnest(a) AS angle, generate_subscripts(a, 1) AS i FROM p), r AS (SELECT *, CASE angle WHEN 'clinical_application' THEN 3 WHEN 'neuroanatomical' THEN 3 WHEN 'mechanism' THEN 2 WHEN 'exception' THEN 2 WHEN 'comparison' THEN 1 ELSE 0 END AS f FROM s), o AS (SELECT *, row_number() OVER (PARTITION BY n_regionkey ORDER BY f DESC, i) AS k FROM r) SELECT n_regionkey, angle FROM o WHERE k = 1")

@@ -8,6 +8,7 @@ from quillmill.functions import attribution, refdata, udfs
 from quillmill.functions import text as T
 from quillmill.operators import corpus, detectors, fixers, gates, planning, policy, publish, verdicts
 from quillmill.operators.questions import OPTION
+from quillmill.plans import more
 from quillmill.sources import files
 
 SCHEMA = f"question_id string, difficulty_tier int, question_stem string, options array<{OPTION}>"
@@ -201,3 +202,10 @@ def test_tallies_and_guard(spark):
     templates = spark.createDataFrame([("D", None, 2, "general"), ("D", "f", 1, "special")], "domain string, flavor string, ord int, template string")
     asked = spark.createDataFrame([(1, "D", "f"), (2, "D", "g"), (3, "X", "f")], "id int, domain string, flavor string")
     assert sorted((r["id"], r["template"]) for r in planning.template_for(asked, templates, ["domain", "flavor"]).collect()) == [(1, "special"), (2, "general"), (3, None)]
+
+
+def test_match_distances_beyond_fifty_matches(spark, tmp_path):
+    texts = ["the " * 60 + "of", "of " + "x " * 50 + "the " * 70 + "y of", "the the", "", None]
+    spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = more.match_distances(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: (r["n_a"], r["distance"]) for r in found} == {0: (60, 4), 1: (70, 6), 2: (2, None), 3: (0, None), 4: (0, None)}
