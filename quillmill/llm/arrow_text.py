@@ -37,10 +37,11 @@ def text_slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array]]:
         yield batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a)
 
 
-def numbered_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+def numbered_words(texts: pa.Array, lines: bool = False) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Lower-cased, blank-separated pieces of texts without nulls: the distinct
-    pieces, each piece's number among them, and each text's bounds."""
-    low = pc.replace_substring(pc.utf8_lower(texts), "\n", " ")
+    pieces, each piece's number among them, and each text's bounds.  A line feed
+    separates pieces; with `lines` it is a piece of its own."""
+    low = pc.replace_substring(pc.utf8_lower(texts), "\n", " \n " if lines else " ")
     split = pc.split_pattern(low, " ")
     coded = split.values.dictionary_encode()
     first = split.offsets[0].as_py()

@@ -10,10 +10,14 @@ from pyspark.sql import DataFrame
 def durable(df: DataFrame) -> DataFrame:
     """df, written once to the folder in spark.checkpoint.dir.
 
-    Only where that is unset (tests on one machine) a temporary folder stands in.
+    Only on one machine (a local master) a temporary folder may stand in; a
+    cluster without that setting is an error, as its machines share no such folder.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quillmill-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="quillmill-"))
     return df.checkpoint(eager=True)

@@ -59,12 +59,15 @@ NOTICE_PHRASES = {
 TAGS = ("spdx license identifier", "spdx licence identifier", "licensed under", "released under", "dual licensed under")
 # Identifier stems in expressions, their labels, and how permissive they are.
 IDENTIFIERS = {"mit": ("mit", 1.0), "isc": ("isc", 1.0), "bsd": ("bsd", 1.0), "apache": ("apache", 0.9), "unlicense": ("public-domain", 1.0), "cc0": ("cc", 1.0), "cc": ("cc", 0.6), "mpl": ("mpl", 0.6), "epl": ("epl", 0.5), "lgpl": ("lgpl", 0.4), "gpl": ("gpl", 0.2), "agpl": ("agpl", 0.1), "gnu": ("gpl", 0.2), "proprietary": ("proprietary", 0.0)}
-#: A word of some phrase or tag that every match must hold.
-ANCHORS = "(?i)licen[sc]e|clause|reserved|permission|redistribution|creative|cc by|cc-by|cc0|public domain|proprietary|released"
+_RE2_GAP = r"[\x{00}-\x{2f}\x{3a}-\x{40}\x{5b}-\x{60}\x{7b}-\x{7f}]"
+#: Single words (or parts of them) of which every phrase and tag holds one, so the
+#: filter may let a text pass in vain and never stops one that matches.
+ANCHORS = rf"(?i)licen[sc]e|clause|reserved|permission|redistribution|creative|domain|proprietary|released|(?:^|{_RE2_GAP})cc(?:0|$|{_RE2_GAP})"
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 _RE2_WORD = r"[^\x{00}-\x{2f}\x{3a}-\x{40}\x{5b}-\x{60}\x{7b}-\x{7f}]+"
 _TO_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
 _PART = re.compile(r"\(|\)|[a-z0-9][a-z0-9.+-]*")
+_EMPTY_LINE = re.compile(r"\n[ \t\r]*\n")
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 
@@ -117,11 +120,15 @@ def evaluate(parts: list[str]) -> tuple[frozenset[str], float | None]:
     return frozenset().union(*(s for s, _ in stack)), min(values) if values else None
 
 
-def expression_parts(text: str) -> list[str]:
-    """The expression that a text begins with: identifiers joined by operators."""
+def expression_parts(text: str, at: int = 0) -> list[str]:
+    """The expression that stands in a text from a place on: identifiers joined by
+    operators.  A line feed counts as a blank; a full stop or an empty line ends it."""
     parts: list[str] = []
-    wants = True
-    for m in _PART.finditer(text.split("\n", 1)[0]):
+    wants, done, stopped = True, at, False
+    for m in _PART.finditer(text, at):
+        if stopped or _EMPTY_LINE.search(text, done, m.start()):
+            break
+        done, stopped = m.end(), m[0].endswith(".")
         p = m[0].rstrip(".-") or m[0]
         if p in ("the", "version", "license", "licence", "licenses", "a", "terms", "of", "either") or re.fullmatch(r"v?[0-9.]+", p):
             continue
@@ -172,7 +179,7 @@ def scan(text: str) -> tuple[list[dict], float, float | None]:
         last = int(np.searchsorted(starts, end)) - 1
         first = last - size + 1
         if kind == "tag":
-            parts = expression_parts(low[places[last][1] :].lstrip(" :\t"))
+            parts = expression_parts(low, places[last][1])
             labels, value = evaluate(parts)
             if not labels:
                 continue

@@ -192,9 +192,9 @@ class GatedAttention:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", folds: int = 4, held_out: int = 2, most: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> GatedAttention:
-    texts, ys = labelled_sample(docs, labels, label_col, folds=folds, held_out=held_out, most=most, text_col=text_col, id_col=id_col)
-    share = labels.where(F.col(label_col).isin(0, 1)).agg(F.avg(F.col(label_col).cast("double"))).first()[0]
-    return fit(texts, ys, share)
+    """Fitted on a bounded sample of the labels outside the held-out fold; without
+    labels, texts or one of the two labels the score is constant."""
+    return fit(*labelled_sample(docs, labels, label_col, folds=folds, held_out=held_out, most=most, text_col=text_col, id_col=id_col))
 
 
 def fit(texts: list[str], labels: list[int], prior: float | None = None) -> GatedAttention:

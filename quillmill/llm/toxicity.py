@@ -1,37 +1,43 @@
 """Toxicity by a weighted finite-state pattern grammar (operator 5).
 
-Five transducers read the words of a text and are composed into one machine:
-
-* the lexicon writes a word's class and weight (insult or threat, learned from
-  labelled texts as whole words and word beginnings with their log odds;
-  target, negation, reported speech and clause ends from fixed lists);
-* negation turns the insults and threats that follow it in a clause over;
-* reported speech does so for what is told or quoted;
-* target notes that a clause addresses or names somebody;
-* the clause machine adds up a clause and hands its score on at its end.
-
-A text is scored by its matched clauses: their sums per composed state, the
-strongest one, and how many words there are to each.  A logistic function of
-these, fitted on the part of the labelled sample that the lexicon has not seen,
-gives the score.  The model is a few thousand entries, bounded by a parameter.
+A text is read as symbols: a lexicon writes each word's class (insult, learned
+from labelled texts as whole words and word beginnings with their log odds; the
+second word of a threat, learned as pairs of neighbouring words; target,
+negation and reporting words from fixed lists), and quotation marks, stops and
+line ends are symbols of their own.  Four transducers, given as tables of arcs
+(state, symbol) -> (state, symbol, factor), read these symbols in turn:
+
+* negation turns the insults and threats among the next few words over;
+* reported speech does so up to the end of a clause, or inside quotation marks;
+* target tells which of the others a clause aims at somebody;
+* the clause machine marks where a clause with a match ends.
+
+:func:`compose` multiplies them into one machine when the grammar is built; only
+the product runs over texts.  A text is scored by its matched clauses: the sums
+per output symbol, the strongest clause, and how many words there are to each.
+A logistic function of these, fitted on the part of the labelled sample that the
+lexicon has not seen, gives the score.  The model is a few thousand entries,
+bounded by a parameter.
 
 Defined results: null and empty texts match no clause and get the score of a
-text without any; repeated rows get equal scores; extra columns are ignored.
+text without any; repeated rows get equal scores; extra columns are ignored; an
+empty table gives no rows.  Without labelled rows, or with one label only, the
+score is the same for every text.  Held-out labels are never read.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.arrow_text import numbered_words, text_slices
+from quillmill.llm.arrow_text import numbered_words, slices, text_slices
 from quillmill.llm.labelled import labelled_sample, unique_texts
 
 #: Labelled texts used for fitting at most, and lexicon entries kept at most.
@@ -39,139 +45,287 @@ SAMPLE = 8_000
 LEXICON = 4_000
 #: Lengths of word beginnings that may be lexicon entries.
 BEGINNINGS = (4, 5, 6, 7, 8, 9)
+#: Share of the toxic texts that a pair must stand in: fewer are turns of phrase of near copies.
+PAIR_SHARE = 0.01
+#: Words that a negation reaches.
+REACH = 5
 
 # Words of the transducers that are not learned.
 TARGETS = frozenset("you your yours u he she they him her them this that these those people du dich dir ihr euch sie er tu te toi vous il elle ils usted tú ti él ella ellos".split())
 NEGATIONS = frozenset("not no never nor without n't don't isn't aren't nicht kein keine keinen nie niemals ohne pas jamais aucun sans nunca jamás sin ni".split())
 REPORTS = frozenset("said says say told wrote called calls quoted claims claimed sagt sagte meinte schrieb nannte dit disait écrit appelle dijo dice escribió llamó".split())
-THREATS = frozenset("kill hurt destroy burn shoot stab attack die töte tötet töten tuer mourir frapper matar muere golpear".split())
 _STRIP = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~«»„“”‘’…–—¡¿"
-_END = re.compile(r"[.!?;:|]$")
+_QUOTES, _STOPS = frozenset("\"«»„“”"), frozenset(".!?;|…")
+
+#: Stands behind a whole word among lexicon entries, and between the words of a pair; never part of a word.
+WHOLE, BETWEEN = "\n", " "
+
+# Symbols: first those that the lexicon writes, then those that the transducers add.
+OTHER, TARGET, NEGATION, REPORT, QUOTE, STOP, LINE, INSULT, THREAT = range(9)
+NEGATED_INSULT, NEGATED_THREAT, REPORTED_INSULT, REPORTED_THREAT, AIMED_INSULT, AIMED_THREAT, LATE_TARGET, CLAUSE = range(9, 17)
+SYMBOLS = 17
+HITS = (INSULT, THREAT, NEGATED_INSULT, NEGATED_THREAT, REPORTED_INSULT, REPORTED_THREAT, AIMED_INSULT, AIMED_THREAT)
+OUTRIGHT = (INSULT, THREAT, AIMED_INSULT, AIMED_THREAT)
+N_FEATURES = len(HITS) + 5
+
+Arcs = dict[tuple[int, int], tuple[int, int, float]]
+
+
+@dataclass
+class Transducer:
+    """Arcs by (state, symbol); where there is none, the state stays and the symbol
+    is written as it is.  State 0 is the first."""
+
+    states: int
+    arcs: Arcs
+
+    def arc(self, state: int, symbol: int) -> tuple[int, int, float]:
+        return self.arcs.get((state, symbol), (state, symbol, 1.0))
+
+    def run(self, symbols: Iterable[int]) -> list[tuple[int, float]]:
+        state, out = 0, []
+        for s in symbols:
+            state, written, factor = self.arc(state, s)
+            out.append((written, factor))
+        return out
 
-#: Stands behind a whole word among lexicon entries; never part of a piece.
-WHOLE = "\n"
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
-N_FEATURES = 9
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """The machine that writes what `second` writes on reading what `first` writes:
+    the reachable pairs of states, factors multiplied."""
+    number, queue, arcs = {(0, 0): 0}, [(0, 0)], {}
+    for p, q in queue:
+        for s in range(SYMBOLS):
+            p2, middle, f = first.arc(p, s)
+            q2, written, g = second.arc(q, middle)
+            if (p2, q2) not in number:
+                number[p2, q2] = len(queue)
+                queue.append((p2, q2))
+            arcs[number[p, q], s] = number[p2, q2], written, f * g
+    return Transducer(len(queue), arcs)
+
+
+def negation() -> Transducer:
+    """States: how many of the next words are still negated."""
+    arcs: Arcs = {}
+    turned = {INSULT: NEGATED_INSULT, THREAT: NEGATED_THREAT}
+    for left in range(REACH + 1):
+        arcs[left, NEGATION] = REACH, NEGATION, 1.0
+        for end in (STOP, LINE):
+            arcs[left, end] = 0, end, 1.0
+        for word in (OTHER, TARGET, REPORT, INSULT, THREAT):
+            arcs[left, word] = max(0, left - 1), turned.get(word, word) if left else word, 0.25 if left and word in turned else 1.0
+    return Transducer(REACH + 1, arcs)
+
+
+def reported_speech() -> Transducer:
+    """States: the writer speaks, somebody is said to speak, words in quotation marks."""
+    arcs: Arcs = {(0, REPORT): (1, REPORT, 1.0), (1, STOP): (0, STOP, 1.0)}
+    for state, after in ((0, 2), (1, 2), (2, 0)):
+        arcs[state, QUOTE] = after, QUOTE, 1.0
+        arcs[state, LINE] = 0, LINE, 1.0
+        if state:
+            arcs[state, INSULT] = state, REPORTED_INSULT, 0.5
+            arcs[state, THREAT] = state, REPORTED_THREAT, 0.5
+    return Transducer(3, arcs)
+
+
+def target() -> Transducer:
+    """States: nobody is meant yet, somebody is, a match came before anybody was."""
+    arcs: Arcs = {(0, TARGET): (1, TARGET, 1.0), (2, TARGET): (1, LATE_TARGET, 1.0)}
+    for hit, aimed in ((INSULT, AIMED_INSULT), (THREAT, AIMED_THREAT)):
+        arcs[0, hit] = 2, hit, 1.0
+        arcs[1, hit] = 1, aimed, 1.25
+    for state in range(3):
+        for end in (STOP, LINE):
+            arcs[state, end] = 0, end, 1.0
+    return Transducer(3, arcs)
+
+
+def clause() -> Transducer:
+    """States: no match yet, a match."""
+    arcs: Arcs = {(0, hit): (1, hit, 1.0) for hit in HITS}
+    arcs |= {(1, end): (0, CLAUSE, 1.0) for end in (STOP, LINE)}
+    return Transducer(2, arcs)
+
+
+class Machine:
+    """The composed transducer as flat tables, for running over texts."""
+
+    def __init__(self, whole: Transducer):
+        flat = [whole.arc(p, s) for p in range(whole.states) for s in range(SYMBOLS)]
+        self.after = [n * SYMBOLS for n, _, _ in flat]
+        self.written = [w for _, w, _ in flat]
+        self.factor = [f for _, _, f in flat]
+
+    def matches(self, symbols: list[int]) -> tuple[list[int], list[int], list[float]]:
+        """Places, symbols and factors of everything from INSULT on that is written."""
+        after, written, factor = self.after, self.written, self.factor
+        places, kinds, factors = [], [], []
+        state = 0
+        for at, s in enumerate(symbols):
+            s += state
+            if (w := written[s]) >= INSULT:
+                places.append(at)
+                kinds.append(w)
+                factors.append(factor[s])
+            state = after[s]
+        return places, kinds, factors
+
+
+def composed() -> Machine:
+    return Machine(reduce(compose, [negation(), reported_speech(), target(), clause()]))
 
 
 @dataclass
 class Grammar:
     words: dict[str, float] = field(default_factory=dict)
     beginnings: dict[str, float] = field(default_factory=dict)
+    pairs: dict[str, float] = field(default_factory=dict)
     weights: np.ndarray = field(default_factory=lambda: np.zeros(N_FEATURES + 1))
-
-    def read(self, piece: str) -> tuple[int, float, bool]:
-        """The lexicon transducer: class, weight, and whether a clause ends."""
-        word = piece.strip(_STRIP)
-        ends = bool(_END.search(piece))
-        if word in NEGATIONS or word.endswith("n't"):
-            return NEGATION, 0.0, ends
-        if word in REPORTS:
-            return REPORT, 0.0, ends
-        if word in self.words:
-            return INSULT, self.words[word], ends
+    machine: Machine = field(default_factory=composed)
+
+    def __post_init__(self):
+        halves = [p.split(BETWEEN) for p in self.pairs]
+        self.openers = {w: i for i, w in enumerate(sorted({a for a, _ in halves}))}
+        self.closers = {w: i for i, w in enumerate(sorted({b for _, b in halves}))}
+        known = sorted((self.openers[a] * len(self.closers) + self.closers[b], self.pairs[a + BETWEEN + b]) for a, b in halves)
+        self.pair_keys = np.array([k for k, _ in known], np.int64)
+        self.pair_weights = np.array([w for _, w in known])
+
+    def word(self, core: str) -> tuple[int, float]:
+        """The class and weight of one word."""
+        if core in NEGATIONS or core.endswith("n't"):
+            return NEGATION, 0.0
+        if core in REPORTS:
+            return REPORT, 0.0
+        if core in self.words:
+            return INSULT, self.words[core]
         for n in BEGINNINGS:
-            if n > len(word):
+            if n > len(core):
                 break
-            if word[:n] in self.beginnings:
-                return INSULT, self.beginnings[word[:n]], ends
-        if word in THREATS:
-            return THREAT, 1.0, ends
-        return (TARGET if word in TARGETS else OTHER), 0.0, ends
-
-    def clauses(self, classes: list[tuple[int, float, bool]]) -> Iterator[tuple[float, float, float, float, bool]]:
-        """Matched clauses: insults said outright, negated, reported; threats; target."""
-        state = [0.0, 0.0, 0.0, 0.0]
-        negated = reported = target = matched = False
-        for kind, weight, ends in classes:
-            if kind == NEGATION:
-                negated = True
-            elif kind == REPORT:
-                reported = True
-            elif kind == TARGET:
-                target = True
-            elif kind in (INSULT, THREAT):
-                matched = True
-                if kind == THREAT:
-                    state[3] += 0.0 if negated or reported else weight
-                else:
-                    state[1 if negated else 2 if reported else 0] += weight
-            if ends:
-                if matched:
-                    yield (*state, target)
-                state = [0.0, 0.0, 0.0, 0.0]
-                negated = reported = target = matched = False
-        if matched:
-            yield (*state, target)
-
-    def features(self, classes: list[tuple[int, float, bool]], words: int) -> np.ndarray:
+            if core[:n] in self.beginnings:
+                return INSULT, self.beginnings[core[:n]]
+        return (TARGET if core in TARGETS else OTHER), 0.0
+
+    def read(self, piece: str) -> tuple[list[int], int, float]:
+        """A piece's symbols, the word's place among them (-1: no word), its weight."""
+        if piece == "\n":
+            return [LINE], -1, 0.0
+        core = piece.strip(_STRIP)
+        if not core:
+            return [QUOTE if c in _QUOTES else STOP for c in piece if c in _QUOTES or c in _STOPS], -1, 0.0
+        before = piece[: piece.index(core[0])] if piece[0] != core[0] else ""
+        kind, weight = self.word(core)
+        marks = [QUOTE if c in _QUOTES else STOP for c in piece[len(before) + len(core) :] if c in _QUOTES or c in _STOPS]
+        lead = [QUOTE for c in before if c in _QUOTES]
+        return [*lead, kind, *marks], len(lead), weight
+
+    def features(self, symbols: list[int], weights: np.ndarray, words: int) -> np.ndarray:
+        places, kinds, factors = self.machine.matches(symbols)
         out = np.zeros(N_FEATURES)
-        for plain, negated, reported, threat, target in self.clauses(classes):
-            out[:4] += plain, negated, reported, threat
-            out[4] += (plain + threat) * target
-            out[5] = max(out[5], plain)
-            out[6] += 1
-        total = out[:4].sum()
-        out[7] = total / np.sqrt(words + 20)
-        out[8] = np.log1p(total)
-        out[:7] = np.minimum(out[:7], 40)
+        if kinds:
+            kind, weight = np.array(kinds), weights[places]
+            sums = np.bincount(kind, weight, SYMBOLS)
+            strength = np.where(np.isin(kind, OUTRIGHT), weight * np.array(factors), 0.0)
+            each = np.bincount(np.cumsum(kind == CLAUSE), strength)
+            out[: len(HITS)] = sums[list(HITS)]
+            out[-5] = np.count_nonzero(kind == LATE_TARGET)
+            out[-4] = each.max()
+            out[-3] = np.count_nonzero(kind == CLAUSE) + (kinds[-1] != CLAUSE)
+            out[:-2] = np.minimum(out[:-2], 40)
+            total = strength.sum()
+            out[-2], out[-1] = total / np.sqrt(words + 20), np.log1p(total)
         return out
 
     def probability(self, features: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(features @ self.weights[:-1] + self.weights[-1], -30, 30)))
 
-    def score_slice(self, texts: pa.Array) -> np.ndarray:
-        """Scores of texts without nulls; only texts with a match run the machine."""
-        names, index, bounds = numbered_words(texts)
+    def slice_features(self, texts: pa.Array) -> np.ndarray:
+        """Features of texts without nulls; only texts with a match run the machine."""
+        names, index, bounds = numbered_words(texts, lines=True)
         read = [self.read(n) for n in names]
-        hot = np.fromiter((r[0] in (INSULT, THREAT) for r in read), bool, len(read))
-        any_hot = np.concatenate([[0], np.cumsum(hot[index])])
+        cores = [n.strip(_STRIP) for n in names]
+        places = np.array([r[1] for r in read], np.int64)
+        weight = np.array([r[2] for r in read])
+        kind = np.array([r[0][r[1]] if r[1] >= 0 else OTHER for r in read], np.int64)[index]
+        weights = weight[index] if len(names) else np.zeros(0)
+        if len(self.pair_keys) and len(index) > 1:
+            opener = np.array([self.openers.get(c, -1) if r[1] + 1 == len(r[0]) else -1 for c, r in zip(cores, read, strict=True)], np.int64)[index]
+            closer = np.array([self.closers.get(c, -1) if r[1] == 0 else -1 for c, r in zip(cores, read, strict=True)], np.int64)[index]
+            key = np.where((opener[:-1] >= 0) & (closer[1:] >= 0), opener[:-1] * len(self.closers) + closer[1:], -1)
+            at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+            hit = self.pair_keys[at] == key
+            hit[bounds[1:-1][(bounds[1:-1] > 0) & (bounds[1:-1] < len(index))] - 1] = False  # not across texts
+            hit &= kind[1:] != INSULT
+            kind[1:][hit] = THREAT
+            weights[1:][hit] = self.pair_weights[at[hit]]
+        wordy = np.concatenate([[0], np.cumsum(places[index] >= 0)]) if len(names) else np.zeros(1, np.int64)
+        hot = np.concatenate([[0], np.cumsum((kind == INSULT) | (kind == THREAT))])
         features = np.zeros((len(texts), N_FEATURES))
-        for i in np.flatnonzero(any_hot[bounds[1:]] > any_hot[bounds[:-1]]).tolist():
-            own = index[bounds[i] : bounds[i + 1]].tolist()
-            features[i] = self.features([read[w] for w in own], len(own))
-        return self.probability(features)
-
-
-def _pieces(text: str) -> list[str]:
-    return text.lower().replace("\n", " ").split(" ")
+        for i in np.flatnonzero(hot[bounds[1:]] > hot[bounds[:-1]]).tolist():
+            a, b = int(bounds[i]), int(bounds[i + 1])
+            symbols, own = [], []
+            for name, k, w in zip(index[a:b].tolist(), kind[a:b].tolist(), weights[a:b].tolist(), strict=True):
+                marks, place, _ = read[name]
+                if len(marks) == 1 and place == 0:
+                    symbols.append(k)
+                    own.append(w)
+                else:
+                    for j, s in enumerate(marks):
+                        symbols.append(k if j == place else s)
+                        own.append(w if j == place else 0.0)
+            features[i] = self.features(symbols, np.array(own), int(wordy[b] - wordy[a]))
+        return features
 
+    def score_slice(self, texts: pa.Array) -> np.ndarray:
+        return self.probability(self.slice_features(texts))
 
-def learn_lexicon(texts: list[str], labels: list[int], most: int) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and word beginnings that stand in toxic texts far more often."""
-    def entries_of(text: str) -> set[str]:
-        """Word beginnings, and whole words with a mark behind them."""
-        found = set()
-        for piece in set(_pieces(text)):
-            word = piece.strip(_STRIP)
-            if len(word) >= 3 and not word.isdigit():
-                found.add(word + WHOLE)
-                found.update(word[:n] for n in BEGINNINGS if n <= len(word))
-        return found
 
+def _pieces(text: str) -> list[str]:
+    return text.lower().replace("\n", " \n ").split(" ")
+
+
+def _entries(text: str) -> set[str]:
+    """Word beginnings, whole words with a mark behind them, and pairs of neighbours."""
+    found, before = set(), ""
+    for piece in _pieces(text):
+        core = piece.strip(_STRIP)
+        if len(core) >= 3 and not core.isdigit() and core + WHOLE not in found:
+            found.add(core + WHOLE)
+            found.update(core[:n] for n in BEGINNINGS if n <= len(core))
+        if before and core and piece[0] == core[0]:
+            found.add(before + BETWEEN + core)
+        before = core if piece and core and piece[-1] == core[-1] else ""
+    return found
+
+
+def learn_lexicon(texts: list[str], labels: list[int], most: int) -> tuple[dict[str, float], dict[str, float], dict[str, float]]:
+    """Words, word beginnings and pairs of words that stand in toxic texts far more
+    often; pairs only of words that say nothing alone."""
     rows = Counter(labels)
     # Most entries are rare; counting their hashes first keeps the strings out of memory.
-    hashes = [np.fromiter(map(hash, entries_of(t)), np.int64) for t, y in zip(texts, labels, strict=True) if y == 1]
+    hashes = [np.fromiter(map(hash, _entries(t)), np.int64) for t, y in zip(texts, labels, strict=True) if y == 1]
     seen, times = np.unique(np.concatenate(hashes), return_counts=True)
     often = set(seen[times >= 4].tolist())
     del hashes, seen, times
     toxic, clean = Counter(), Counter()
     for t, y in zip(texts, labels, strict=True):
-        (toxic if y == 1 else clean).update(e for e in entries_of(t) if hash(e) in often)
-    entries: list[tuple[float, str, bool]] = []
+        (toxic if y == 1 else clean).update(e for e in _entries(t) if hash(e) in often)
+    entries: list[tuple[float, str]] = []
     n1, n0 = max(1, rows[1]), max(1, rows[0])
     for key, a in toxic.items():
-        b = clean[key]
-        if a < 4:
-            continue
+        b, pair = clean[key], BETWEEN in key
         p, q = (a + 0.5) / (n1 + 1), (b + 0.5) / (n0 + 1)
+        if a < 4 or pair and p < PAIR_SHARE:
+            continue
         gap = (p - q) / np.sqrt(max(1e-12, p * (1 - p) / n1 + q * (1 - q) / n0))
         if np.log(p / q) >= 2.0 and gap >= 2.5:
-            entries.append((float(np.log(p / q)), key.rstrip(WHOLE), key.endswith(WHOLE)))
-    entries.sort(key=lambda e: (-e[0] * np.sqrt(toxic[e[1] + WHOLE * e[2]]), e[1], not e[2]))
-    words, beginnings = {}, {}
-    for weight, name, whole in entries[:most]:
-        (words if whole else beginnings)[name] = weight
+            entries.append((float(np.log(p / q)), key))
+    entries.sort(key=lambda e: (-e[0] * np.sqrt(toxic[e[1]]), e[1]))
+    words = {k[:-1]: w for w, k in entries[:most] if k.endswith(WHOLE)}
+    pairs = {k: w for w, k in entries[:most] if BETWEEN in k}
+    beginnings = {k: w for w, k in entries[:most] if not k.endswith(WHOLE) and k not in pairs}
     for name in [*beginnings]:  # one word makes the beginning telling: the word is enough
         if any(w.startswith(name) and toxic[w + WHOLE] >= 0.8 * toxic[name] for w in words):
             del beginnings[name]
@@ -179,7 +333,9 @@ def learn_lexicon(texts: list[str], labels: list[int], most: int) -> tuple[dict[
     for name in sorted(beginnings, key=len, reverse=True):
         if any(beginnings.get(name[:n], -1.0) >= 0.8 * beginnings[name] for n in BEGINNINGS if n < len(name)):
             del beginnings[name]
-    return words, beginnings
+    alone = Grammar(words, beginnings)
+    pairs = {k: w for k, w in pairs.items() if all(alone.word(h)[0] != INSULT for h in k.split(BETWEEN))}
+    return words, beginnings, pairs
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, sample_weight: np.ndarray, penalty: float = 0.02) -> np.ndarray:
@@ -225,18 +381,17 @@ def fit(texts: list[str], labels: list[int], prior: float | None = None, most: i
     split = [([t for t, p in zip(texts, part, strict=True) if (p == 0) == own], [y for y, p in zip(labels, part, strict=True) if (p == 0) == own]) for own in (False, True)]
     (lt, ly), (wt, wy) = split if len(set(split[0][1])) == 2 and len(set(split[1][1])) == 2 else [(texts, labels)] * 2
     grammar = Grammar(*learn_lexicon(lt, ly, most))
-    x = np.array([grammar.features([grammar.read(p) for p in r], len(r)) for r in map(_pieces, wt)])
+    x = np.concatenate([grammar.slice_features(pa.array(wt[a:b], pa.string())) for a, b in slices(map(len, wt), 2_000_000)])
     y = np.array(wy, float)
-    prior = prior if prior else max(0.01, min(0.99, float(y.mean())))
+    prior = max(0.01, min(0.99, prior if prior else float(y.mean())))
     weight = np.where(y == 1, prior / max(y.mean(), 1e-9), (1 - prior) / max(1 - y.mean(), 1e-9))
     grammar.weights = fit_logistic(x, y, weight)
     return grammar
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", folds: int = 5, held_out: int = 0, most: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Grammar:
-    texts, ys = labelled_sample(docs, labels, label_col, folds=folds, held_out=held_out, most=most, text_col=text_col, id_col=id_col)
-    share = labels.where(F.col(label_col).isin(0, 1)).agg(F.avg(F.col(label_col).cast("double"))).first()[0]
-    return fit(texts, ys, share)
+    """Fitted on a bounded sample of the labels outside the held-out fold."""
+    return fit(*labelled_sample(docs, labels, label_col, folds=folds, held_out=held_out, most=most, text_col=text_col, id_col=id_col))
 
 
 def score_toxicity(docs: DataFrame, grammar: Grammar, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

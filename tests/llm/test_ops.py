@@ -189,9 +189,6 @@ def test_toxicity_held_out(spark):
     scored = toxicity.score_toxicity(docs(spark), g).collect()
     assert len(scored) == len(ODD) and all(0 <= r["score"] <= 1 for r in scored)
     assert toxicity.keep_clean(docs(spark), g).columns == docs(spark).columns
-    # the composed machine turns what is negated or reported into other sums
-    read = lambda s: g.features([g.read(p) for p in s.split(" ")], 9)
-    assert read("you blorgface.")[0] > 0 and read("not blorgface.")[1] > 0 and read("she said blorgface.")[2] > 0
 
 
 def test_quality_held_out(spark):
