@@ -23,9 +23,11 @@ from quillmill.llm.durable import durable
 #: Vectors of one block: of queries, of candidates, and of cells.
 QUERY_BLOCK = 1024
 BLOCK = 8192
-CELL_BLOCK = 2048
-#: Pivots of a label at most, and vectors measured to choose their number.
-MOST_PIVOTS = 64
+CELL_BLOCK = 65_536
+#: Scores that a task holds at once when it joins a cell.
+SCORES = 8_000_000
+#: Pivots of a label at least and at most, and about how many vectors are measured to choose them.
+FEWEST_PIVOTS, MOST_PIVOTS = 4, 64
 PIVOT_SAMPLE = 2000
 
 
@@ -49,24 +51,25 @@ def term_rows(vectors: DataFrame, *, id_col: str, vector_col: str, scale: float)
 def accumulate(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
     """Term at a time: each term's weighted postings are scattered into one dense
     array of scores per query; a partition then selects the k best of each."""
-    terms: dict[int, tuple[list[int], list[int]]] = {}
-    for at, (ts, ws) in enumerate(zip(rows["terms"], rows["weights"], strict=True)):
-        for t, w in zip(ts, ws, strict=True):
-            place, weight = terms.setdefault(int(t), ([], []))
-            place.append(at)
-            weight.append(int(w))
-    postings = {t: (np.array(p), np.array(w, np.int64)) for t, (p, w) in terms.items()}
     ids = rows["id"].to_numpy(np.int64)
+    sizes = rows["terms"].map(len).to_numpy(np.int64)
+    term = np.concatenate([*rows["terms"], []]).astype(np.int64)
+    by_term = np.argsort(term, kind="stable")
+    place = np.repeat(np.arange(len(ids)), sizes)[by_term]
+    weight = np.concatenate([*rows["weights"], []]).astype(np.int64)[by_term]
+    names, starts = np.unique(term[by_term], return_index=True)
+    ends = np.append(starts[1:], len(term))
+    postings = {t: (None if b - a == len(ids) else place[a:b], weight[a:b]) for t, a, b in zip(names.tolist(), starts.tolist(), ends.tolist(), strict=True)}  # None: every row, in order
     out: list[tuple] = []
     for q, number, ts, ws in zip(queries["id"], queries["number"], queries["terms"], queries["weights"], strict=True):
         scores = np.zeros(len(ids), np.int64)
-        for t, w in zip(ts, ws, strict=True):
-            if int(t) in postings:
-                place, weight = postings[int(t)]
-                if len(place) == len(ids):
-                    scores += int(w) * weight
+        for t, w in zip(ts.tolist(), ws.tolist(), strict=True):
+            if t in postings:
+                places, weights = postings[t]
+                if places is None:
+                    scores += w * weights
                 else:
-                    scores[place] += int(w) * weight
+                    scores[places] += w * weights
         others = np.flatnonzero(ids != q)
         if len(others) > k:
             own = scores[others]
@@ -114,14 +117,21 @@ def _unit(blobs: pd.Series) -> np.ndarray:
 
 def choose_pivots(sample: np.ndarray, total: int, radius: float) -> np.ndarray:
     """As many pivots as cost least on the sample: fewer comparisons within
-    smaller cells against more copies at their boundaries."""
-    best, least = sample[:1], math.inf
-    n = 1
+    smaller cells against more copies at their boundaries.  At least so many that
+    a cell's own vectors make one block: where the triangle inequality prunes
+    nothing, cells cost what blocks of the whole label would, and else less.
+    Pivots are far apart: each is the vector farthest from those before it."""
+    order, far = [0], _distance(sample, sample[:1])[:, 0]
+    while len(order) < min(MOST_PIVOTS, len(sample)):
+        order.append(int(far.argmax()))
+        far = np.minimum(far, _distance(sample, sample[order[-1:]])[:, 0])
+    ranked = sample[order]
+    best, least = ranked[:1], math.inf
+    n = min(len(sample), MOST_PIVOTS, max(FEWEST_PIVOTS, math.ceil(total / CELL_BLOCK)))
     while n <= min(MOST_PIVOTS, len(sample)):
-        pivots = sample[:n]
+        pivots = ranked[:n]
         cells = _cells(sample, pivots, radius)
-        home = cells.argmax(1) if n == 1 else _distance(sample, pivots).argmin(1)
-        shares = cells.sum(0) * np.bincount(home, minlength=n)
+        shares = cells.sum(0) * np.bincount(_distance(sample, pivots).argmin(1), minlength=n)
         pairs = shares.sum() * (total / len(sample)) ** 2
         copies = cells.sum() * (total / len(sample))
         if (cost := pairs + 4000 * copies) < least:
@@ -142,6 +152,42 @@ def _cells(v: np.ndarray, pivots: np.ndarray, radius: float) -> np.ndarray:
     return d <= d.min(1, keepdims=True) + 2 * radius + 1e-6
 
 
+def place_in_cells(groups: DataFrame, radius: float) -> DataFrame:
+    """groups: part, rep (a hash), blob, copies.  part, cell, home boolean, rep,
+    copies, blob: each vector in its own cell (home) and, as a copy, in every cell
+    that can hold a vector within the radius.
+
+    Pivots come from a sample of each part, taken by a threshold on the hash; parts
+    of any size are placed in slices of at most about a block.
+    """
+    sizes = groups.groupBy("part").agg(F.count("*").alias("n"))
+    sized = groups.join(sizes, "part")
+    share = F.pmod("rep", F.lit(1 << 30)) / float(1 << 30)
+    drawn = sized.where(share * F.col("n") < PIVOT_SAMPLE)
+
+    def pivots_of(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("rep")
+        chosen = choose_pivots(_unit(part["blob"]), int(part["n"].iloc[0]), radius)
+        return pd.DataFrame({"part": [part["part"].iloc[0]], "n": [part["n"].iloc[0]], "pivots": [chosen.tobytes()], "n_pivots": [len(chosen)]})
+
+    slices = F.ceil(F.col("n") / CELL_BLOCK).cast("long")
+    pivots = drawn.select("part", "n", "rep", "blob").groupBy("part").applyInPandas(pivots_of, "part bigint, n bigint, pivots binary, n_pivots bigint")
+    right = pivots.select("part", F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"), "pivots", "n_pivots")
+    left = sized.select("part", F.pmod("rep", slices).alias("slice"), "rep", "copies", "blob")
+
+    def place(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows):
+            return pd.DataFrame({"part": [], "cell": [], "home": [], "rep": [], "copies": [], "blob": []})
+        n = int(known["n_pivots"].iloc[0])
+        own = np.frombuffer(known["pivots"].iloc[0], np.float64).reshape(n, -1)
+        unit = _unit(rows["blob"])
+        home = _distance(unit, own).argmin(1)
+        at, cell = np.nonzero(_cells(unit, own, radius))
+        return pd.DataFrame({"part": rows["part"].iloc[0], "cell": cell, "home": home[at] == cell, "rep": rows["rep"].to_numpy()[at], "copies": rows["copies"].to_numpy()[at], "blob": rows["blob"].to_numpy()[at]})
+
+    return left.groupBy("part", "slice").cogroup(right.groupBy("part", "slice")).applyInPandas(place, "part bigint, cell bigint, home boolean, rep bigint, copies bigint, blob binary")
+
+
 def near_duplicates(vectors: DataFrame, *, cosine: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """id_col, n_links long, component_id, kept boolean; one row per input row.
 
@@ -166,30 +212,8 @@ def near_duplicates(vectors: DataFrame, *, cosine: float = 0.98, id_col: str = "
     groups = reps.select(F.xxhash64(F.col("label").cast("string"), F.length("blob")).alias("part"), "rep", "blob", "copies")
     radius = math.sqrt(2 - 2 * cosine)
 
-    # A bounded number of vectors of each part, by hash, sets its pivots; parts are labels.
-    sizes = groups.groupBy("part").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("part").orderBy("rep")
-    drawn = groups.withColumn("at", F.row_number().over(order)).where(F.col("at") <= PIVOT_SAMPLE).drop("at")
-
-    def pivots_of(part: pd.DataFrame) -> pd.DataFrame:
-        chosen = choose_pivots(_unit(part["blob"]), int(part["n"].iloc[0]), radius)
-        return pd.DataFrame({"part": [part["part"].iloc[0]], "pivots": [chosen.tobytes()], "n_pivots": [len(chosen)]})
-
-    pivots = drawn.join(sizes, "part").groupBy("part").applyInPandas(pivots_of, "part bigint, pivots binary, n_pivots bigint")
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for part, rows in batch.groupby("part"):
-                n = int(rows["n_pivots"].iloc[0])
-                own = np.frombuffer(rows["pivots"].iloc[0], np.float64).reshape(n, -1)
-                unit = _unit(rows["blob"])
-                inside = _cells(unit, own, radius)
-                home = _distance(unit, own).argmin(1)
-                at, cell = np.nonzero(inside)
-                yield pd.DataFrame({"part": part, "cell": cell, "home": home[at] == cell, "rep": rows["rep"].to_numpy()[at], "copies": rows["copies"].to_numpy()[at], "blob": rows["blob"].to_numpy()[at]})
-
-    placed = durable(groups.join(pivots, "part").mapInPandas(place, "part bigint, cell bigint, home boolean, rep bigint, copies bigint, blob binary"))
-    full = placed.groupBy("part", "cell").agg(F.greatest(F.lit(1), F.ceil(F.count_if("home") / CELL_BLOCK)).alias("hs"), F.ceil(F.count("*") / (2 * CELL_BLOCK)).alias("ms"))
+    placed = durable(place_in_cells(groups, radius))
+    full = placed.groupBy("part", "cell").agg(F.greatest(F.lit(1), F.ceil(F.count_if("home") / CELL_BLOCK)).alias("hs"), F.ceil(F.count("*") / CELL_BLOCK).alias("ms"))
     cells = placed.join(full, ["part", "cell"])
     homes = cells.where("home").select("part", "cell", F.pmod("rep", "hs").alias("h"), F.explode(F.sequence(F.lit(0), F.col("ms") - 1)).alias("m"), "rep", "blob")
     members = cells.select("part", "cell", F.explode(F.sequence(F.lit(0), F.col("hs") - 1)).alias("h"), F.pmod("rep", "ms").alias("m"), "rep", "copies", "blob")
@@ -207,9 +231,10 @@ def near_duplicates(vectors: DataFrame, *, cosine: float = 0.98, id_col: str = "
                     x = y
                 return x
 
-            for at in range(0, len(a), 256):
-                near = a[at : at + 256] @ b.T >= cosine
-                near &= ra[at : at + 256, None] != rb[None, :]
+            step = max(1, SCORES // len(b))
+            for at in range(0, len(a), step):
+                near = a[at : at + step] @ b.T >= cosine
+                near &= ra[at : at + step, None] != rb[None, :]
                 links = near @ copies
                 for i in np.flatnonzero(links):
                     found["rep"].append(ra[at + i])

@@ -316,6 +316,38 @@ def test_vector_dedup_against_brute_force(spark, monkeypatch, block):
     assert vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_query_runs_over_several_cells(spark):
+    """On the given table each label has several cells, each vector one home, and no link crosses them."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    seen = []
+    whole = vectors.place_in_cells
+
+    def watched(groups, radius):
+        seen.append(whole(groups, radius).persist())
+        return seen[-1]
+
+    vectors.place_in_cells = watched
+    try:
+        found = vectors.near_duplicates(rows)
+    finally:
+        vectors.place_in_cells = whole
+    placed = seen[0].drop("blob").toPandas()
+    assert placed[placed["home"]].groupby("part")["cell"].nunique().min() > 1
+    assert placed[placed["home"]]["rep"].is_unique and found.count() == rows.count()
+    seen[0].unpersist()
+
+
+def test_one_sample_of_pivots_prunes_clusters():
+    rng = np.random.default_rng(10)
+    centres = rng.normal(size=(50, 64))
+    v = np.repeat(centres, 40, 0) + rng.normal(size=(2000, 64)) * 0.02
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    radius = np.sqrt(2 - 2 * 0.98)
+    pivots = vectors.choose_pivots(rng.permutation(v), 1_000_000, radius)
+    cells = vectors._cells(v, pivots, radius)
+    assert len(pivots) >= 16 and cells.sum() < 3 * len(v)  # clusters: hardly any copies
+
+
 def test_boundary_replication_loses_no_link():
     rng = np.random.default_rng(9)
     v = rng.normal(size=(400, 8))
