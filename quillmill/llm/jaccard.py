@@ -4,6 +4,7 @@ A text's set holds the 64-bit hashes of its distinct word n-grams; equal sets
 are one node.  Two nodes link when |A n B| / |A u B| >= threshold.  The join
 finds every link's component, but never lists the pairs of a group.
 
+0. Texts are cut and hashed once; the sets are kept in the checkpoint folder.
 1. Frequencies.  Every task sends its hashes, sorted and delta-coded, to hash
    ranges; a range counts them all and marks in two bit maps which elements are
    repeated (in two sets or more) and which are frequent.  A set of which less
@@ -13,14 +14,15 @@ finds every link's component, but never lists the pairs of a group.
    nothing.
 2. Small sets enumerate fixed-size subsets: two sets that link share at least
    two of the first n - ceil(t n) + 2 elements of each, so each pair of those
-   elements is a key.  Large sets put the first n - ceil(t n) + 1 elements into
+   elements is a key (sets so small that one common element can be enough go to
+   the lists instead, at any threshold).  Large sets put the first n - ceil(t n) + 1 elements into
    inverted lists.  The size that separates the two is where enumeration begins to
    cost more than scanning lists of the measured mean length.  Small sets that
    can link with large ones are in the lists as well.
 3. A list gives the pairs that size and position allow.  A list of more than a
    few members gives only a star around the member that has the element earliest;
    once links are known, the pairs of such a list that are not in one component
-   yet are all checked.
+   yet are all checked, in blocks of its members.
 4. Candidates are verified by their whole sizes and all repeated elements.
 
 Nothing else that grows with the input is broadcast or collected: the bit maps
@@ -55,10 +57,12 @@ from quillmill.llm.durable import durable
 MAP_BITS = 30
 #: Elements in more sets than this are frequent.
 FREQUENT = 24
-#: Longer lists give stars.
+#: Longer lists give stars; members of a block when a long list is checked whole.
 STAR = 3
-#: Hashes that a task gathers before it sends them.
+LIST_BLOCK = 256
+#: Hashes that a task gathers before it sends them, and about how many a hash range holds.
 GATHERED = 3_000_000
+RANGE = 8_000_000
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
 
@@ -152,15 +156,29 @@ class Ranges:
             yield int(parts[a]), slice(a, b), places[a:b]
 
 
-def _ranges(docs: DataFrame) -> Ranges:
-    wanted = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return Ranges(min(14, max(6, math.ceil(math.log2(2 * wanted)))))
+def plan(texts: DataFrame) -> tuple[Ranges, int]:
+    """Hash ranges and bits of a map, from the number of characters: a range has
+    about RANGE words at most (and there are enough for every core); a map has
+    about one cell a word, within its bound."""
+    words = (texts.agg(F.sum(F.length("text"))).first()[0] or 0) / 6 + 1
+    wanted = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    bits = min(MAP_BITS, max(20, math.ceil(math.log2(words))))
+    return Ranges(min(bits - 3, max(6, math.ceil(math.log2(2 * min(wanted, 8192))), math.ceil(math.log2(words / RANGE))))), bits
 
 
-def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    """The distinct sets among batches of (node, elements)."""
+    seen: set[int] = set()
     for batch in batches:
-        for ids, texts in text_slices(batch):
-            yield ids, shingle_sets(texts, n)
+        for node, elements in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if node not in seen:
+                seen.add(node)
+                yield node, np.frombuffer(elements.as_buffer(), np.uint64)
+
+
+def least_size(percent: int) -> int:
+    """The smallest set that can link with another than itself: n of n + 1 elements must be enough."""
+    return -(-percent // (100 - percent))
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -181,37 +199,28 @@ class Maps:
         return (marks[(cell >> np.uint64(3)).astype(np.int64)] >> (7 - (cell & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
 
-def map_bits(texts: DataFrame) -> int:
-    """Bits for about one cell per word of the input, within the bound."""
-    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    return min(MAP_BITS, max(20, math.ceil(math.log2(chars / 6 + 1))))
-
-
-def frequency_maps(texts: DataFrame, n: int, ranges: Ranges) -> tuple[Maps, float]:
+def frequency_maps(sets: DataFrame, ranges: Ranges, bits: int) -> tuple[Maps, float]:
     """The maps, and the mean number of other sets that hold an element of a set,
-    over the elements that are not frequent."""
+    over the elements that are not frequent.  sets: node, elements."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, seen = [], 0, set()
+        held, size = [], 0
 
         def sent() -> pa.RecordBatch:
             every = np.sort(np.concatenate(held))
             rows = [(r, _deltas(places)) for r, _, places in ranges.split(every)]
             return pa.RecordBatch.from_arrays([pa.array([r for r, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], ["r", "blob"])
 
-        for _, sets in _sets(batches, n):
-            for s in sets:
-                if len(s) and (f := fingerprint(s)) not in seen:  # copies in one task count once
-                    seen.add(f)
-                    held.append(s)
-                    size += len(s)
+        for _, s in _nodes(batches):  # copies in one task count once
+            held.append(s)
+            size += len(s)
             if size > GATHERED:
                 yield sent()
                 held, size = [], 0
         if held:
             yield sent()
 
-    maps = Maps(map_bits(texts))
+    maps = Maps(bits)
     slice_bits = maps.bits - ranges.bits
 
     def marked(places: np.ndarray) -> bytes | None:
@@ -228,7 +237,7 @@ def frequency_maps(texts: DataFrame, n: int, ranges: Ranges) -> tuple[Maps, floa
         rest = times[times <= FREQUENT].astype(np.float64)
         return pd.DataFrame({"r": [group["r"].iloc[0]], "repeated": [marked(every[edges[times > 1]])], "frequent": [marked(every[edges[times > FREQUENT]])], "total": [rest.sum()], "squares": [(rest**2).sum()]})
 
-    counted = texts.mapInArrow(gather, "r int, blob binary").groupBy("r").applyInPandas(count, "r int, repeated binary, frequent binary, total double, squares double")
+    counted = sets.mapInArrow(gather, "r int, blob binary").groupBy("r").applyInPandas(count, "r int, repeated binary, frequent binary, total double, squares double")
     total = squares = 0.0
     for row in counted.toLocalIterator():  # slices of maps of bounded size
         for name in ("repeated", "frequent"):
@@ -241,7 +250,7 @@ def frequency_maps(texts: DataFrame, n: int, ranges: Ranges) -> tuple[Maps, floa
 
 
 def boundary(mean_list: float, percent: int) -> int:
-    """The largest size for which enumerating pairs costs no more than scanning.
+    """percent: below 100, or no size would do.  The largest size for which enumerating pairs costs no more than scanning.
 
     A set of size n has m = n - ceil(t n) + 2 leading elements: m (m - 1) / 2 keys,
     against m - 1 lists of 1 + mean_list entries.
@@ -258,8 +267,9 @@ def _keys(s: np.ndarray, maps: Maps, percent: int, small: int) -> tuple[np.ndarr
     """A set's keys and the position of each (0 for pairs, which positions do not prune)."""
     n = len(s)
     none = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
-    if n < 3:  # only equal sets link, and those are one node
+    if n < least_size(percent):  # only equal sets link, and those are one node
         return none
+    tiny = 100 // percent  # up to this size one common element can be enough
     again = maps.has(maps.repeated, s)
     single = n - int(np.count_nonzero(again))
     if n - single < required(n, percent):
@@ -269,12 +279,12 @@ def _keys(s: np.ndarray, maps: Maps, percent: int, small: int) -> tuple[np.ndarr
     ordered = np.concatenate([s[~hot], s[hot]])
     lead = n - required(n, percent) + 1
     keys, at = [], []
-    if n <= small:
+    if tiny < n <= small:
         first = ordered[: max(0, lead + 1 - single)]
         i, j = np.triu_indices(len(first), 1)
         keys.append(mixed(first[i] * _ODD[1] ^ mixed(first[j] + _ODD[2])))
         at.append(np.zeros(len(i), np.uint32))
-    if n * 100 >= percent * (small + 1):
+    if n * 100 >= percent * (small + 1) or n * percent <= 100 * tiny:
         keys.append(ordered[: max(0, lead - single)])
         at.append(np.arange(single, max(single, lead), dtype=np.uint32)[: len(keys[-1])])
     return (np.concatenate(keys), np.concatenate(at)) if keys else none
@@ -289,12 +299,11 @@ def list_pairs(node: np.ndarray, size: np.ndarray, at: np.ndarray, percent: int)
     return np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
 
 
-def candidates(texts: DataFrame, n: int, percent: int, maps: Broadcast, small: int, ranges: Ranges) -> DataFrame:
+def candidates(sets: DataFrame, percent: int, maps: Broadcast, small: int, ranges: Ranges) -> DataFrame:
     """list (null: a pair), a, b, size, at.  Pairs a < b to verify; members a of
     long lists, whose pairs are only partly among them."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         held: list[tuple] = []
         size = 0
 
@@ -306,15 +315,11 @@ def candidates(texts: DataFrame, n: int, percent: int, maps: Broadcast, small: i
             kinds = [pa.int32(), *[pa.binary()] * 4]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["r", "places", "nodes", "sizes", "ats"])
 
-        for _, sets in _sets(batches, n):
-            for s in sets:
-                if len(s) < 3 or (f := fingerprint(s)) in seen:
-                    continue
-                seen.add(f)
-                key, at = _keys(s, maps.value, percent, small)
-                if len(key):
-                    held.append((key, np.full(len(key), f, np.int64), np.full(len(key), len(s), np.uint32), at))
-                size += len(key)
+        for node, s in _nodes(batches):
+            key, at = _keys(s, maps.value, percent, small)
+            if len(key):
+                held.append((key, np.full(len(key), node, np.int64), np.full(len(key), len(s), np.uint32), at))
+            size += len(key)
             if size > GATHERED // 3:
                 yield sent()
                 held, size = [], 0
@@ -352,7 +357,7 @@ def candidates(texts: DataFrame, n: int, percent: int, maps: Broadcast, small: i
         out = [pd.DataFrame({"list": pd.array([None] * pairs.shape[1], "Int64"), "a": pairs[0], "b": pairs[1], "size": 0, "at": 0}), *long_rows]
         return pd.concat(out, ignore_index=True).astype({"list": "Int64"})
 
-    blobs = texts.mapInArrow(send, "r int, places binary, nodes binary, sizes binary, ats binary")
+    blobs = sets.mapInArrow(send, "r int, places binary, nodes binary, sizes binary, ats binary")
     return blobs.groupBy("r").applyInPandas(match, "list bigint, a bigint, b bigint, size bigint, at bigint")
 
 
@@ -374,23 +379,25 @@ def node_map(nodes: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def node_sets(texts: DataFrame, n: int, wanted: DataFrame, maps: Broadcast) -> DataFrame:
+def node_sets(sets: DataFrame, wanted: DataFrame, maps: Broadcast) -> DataFrame:
     """node, size, elements binary: the repeated elements of (at least) the wanted nodes.
     The others are in no other set, so they add to no intersection."""
-    shared = texts.sparkSession.sparkContext.broadcast(node_map(wanted, min(26, maps.value.bits)))
+    shared = sets.sparkSession.sparkContext.broadcast(node_map(wanted, min(26, maps.value.bits)))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for _, sets in _sets(batches, n):
+        for batch in batches:
+            batch = batch.filter(pa.array(Maps.has(shared.value, np.asarray(batch.column(0)).view(np.uint64))))
             rows = []
-            for s in sets:
-                if len(s) > 2 and (f := fingerprint(s)) not in seen and Maps.has(shared.value, np.array([f], np.int64).view(np.uint64))[0]:
-                    seen.add(f)
-                    rows.append((f, len(s), s[Maps.has(maps.value.repeated, s)].tobytes()))
+            for node, elements in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if node not in seen:
+                    seen.add(node)
+                    s = np.frombuffer(elements.as_buffer(), np.uint64)
+                    rows.append((node, len(s), s[Maps.has(maps.value.repeated, s)].tobytes()))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["node", "size", "elements"])
 
-    return texts.mapInArrow(send, "node bigint, size bigint, elements binary").groupBy("node").agg(F.first("size").alias("size"), F.first("elements").alias("elements"))
+    return sets.mapInArrow(send, "node bigint, size bigint, elements binary").groupBy("node").agg(F.first("size").alias("size"), F.first("elements").alias("elements"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -410,57 +417,73 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "ea", "eb", (F.col("na") + F.col("nb")).alias("total")).mapInArrow(check, "a bigint, b bigint")
 
 
-def members(texts: DataFrame, id_type: str, n: int) -> DataFrame:
-    """id, node (null: the empty set), n_shingles long; one row per text."""
+def hashed_sets(texts: DataFrame, id_type: str, n: int) -> DataFrame:
+    """id, node (null: the empty set), n_shingles long, elements binary; one row per text."""
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _sets(batches, n):
-            yield pa.RecordBatch.from_arrays([ids, pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())], ["id", "node", "n_shingles"])
+        for batch in batches:
+            for ids, texts in text_slices(batch):
+                sets = shingle_sets(texts, n)
+                columns = [ids, pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "node", "n_shingles", "elements"])
 
-    return texts.mapInArrow(tell, f"id {id_type}, node bigint, n_shingles bigint")
+    return texts.mapInArrow(tell, f"id {id_type}, node bigint, n_shingles bigint, elements binary")
 
 
-def link_components(texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """node, root over all nodes that have a link."""
-    ranges = _ranges(texts)
-    found_maps, mean_list = frequency_maps(texts, n, ranges)
-    maps = texts.sparkSession.sparkContext.broadcast(found_maps)  # at most 2 ** MAP_BITS bits each
-    found = durable(candidates(texts, n, percent, maps, boundary(mean_list, percent), ranges))
+def pairs_of_lists(rows: DataFrame, percent: int) -> DataFrame:
+    """a, b: the pairs of each list, of different components, that may link by their
+    sizes and positions.  rows: list, a, size, at, root.
+
+    A list is cut into blocks of about LIST_BLOCK members, and each two blocks meet
+    under a key of their own, so no list is one task's.
+    """
+    blocks = rows.groupBy("list").agg(F.ceil(F.count("*") / LIST_BLOCK).cast("long").alias("blocks"))
+    split = rows.join(blocks, "list").withColumn("own", F.pmod(F.xxhash64("a"), F.col("blocks"))).withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    left = split.select("list", F.col("own").alias("x"), F.col("met").alias("y"), "a", "size", "at", "root")
+    right = split.select("list", F.col("met").alias("x"), F.col("own").alias("y"), F.col("a").alias("b"), F.col("size").alias("size_b"), F.col("at").alias("at_b"), F.col("root").alias("root_b"))
+    need = F.ceil((F.col("size") + F.col("size_b")) * percent / (100 + percent))
+    fits = F.least(F.col("size") - F.col("at"), F.col("size_b") - F.col("at_b")) >= need
+    return left.join(right, ["list", "x", "y"]).where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & fits).select("a", "b").distinct()
+
+
+def link_components(sets: DataFrame, percent: int, ranges: Ranges, bits: int) -> DataFrame:
+    """node, root over all nodes that have a link.  sets: node, elements."""
+    found_maps, mean_list = frequency_maps(sets, ranges, bits)
+    maps = sets.sparkSession.sparkContext.broadcast(found_maps)  # at most 2 ** MAP_BITS bits each
+    found = durable(candidates(sets, percent, maps, boundary(mean_list, percent), ranges))
     pairs = found.where("list is null").select("a", "b").distinct()
     long_lists = found.where("list is not null").select("list", "a", "size", "at")
     # One node may recur in very many pairs (a hub): it goes into column a.
     often = pairs.select("a").union(pairs.select("b")).groupBy("a").count()
-    sets = node_sets(texts, n, often.select("a"), maps)
+    checked = node_sets(sets, often.select("a"), maps)
     times = lambda c: often.select(F.col("a").alias(c), F.col("count").alias(f"n_{c}"))
     turned = pairs.join(times("a"), "a").join(times("b"), "b").select(F.when(F.col("n_a") >= F.col("n_b"), F.col("a")).otherwise(F.col("b")).alias("a"), F.when(F.col("n_a") >= F.col("n_b"), F.col("b")).otherwise(F.col("a")).alias("b"))
-    links = durable(verified(turned, sets, percent))
+    links = durable(verified(turned, checked, percent))
     roots = connected_components(links)
     if not long_lists.isEmpty():
         placed = durable(long_lists.join(roots.select(F.col("node").alias("a"), "root"), "a", "left").withColumn("root", F.coalesce("root", "a")))
         mixed_lists = placed.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("list")
-        open_rows = placed.join(mixed_lists, "list")
-        other = open_rows.select("list", F.col("a").alias("b"), F.col("size").alias("size_b"), F.col("at").alias("at_b"), F.col("root").alias("root_b"))
-        need = F.ceil((F.col("size") + F.col("size_b")) * percent / (100 + percent))
-        rest = (
-            open_rows.join(other, "list").where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & (F.least(F.col("size") - F.col("at"), F.col("size_b") - F.col("at_b")) >= need))
-            .select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-        )
-        rest = durable(rest)
+        rest = durable(pairs_of_lists(placed.join(mixed_lists, "list"), percent).join(pairs, ["a", "b"], "left_anti"))
         if not rest.isEmpty():
             ends = rest.select("a").union(rest.select("b"))
-            more = durable(verified(rest, node_sets(texts, n, ends, maps), percent))
+            more = durable(verified(rest, node_sets(sets, ends, maps), percent))
             roots = connected_components(links.union(more))
     return roots
 
 
 def similarity_classes(docs: DataFrame, *, n: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, n_shingles long (size of the text's set), component_id (smallest id
-    reachable by links of at least percent / 100); one row per input row."""
+    reachable by links of at least percent / 100); one row per input row.
+    percent: a whole number from 1 to 100."""
+    if percent not in range(1, 101):
+        raise ValueError("percent must be a whole number from 1 to 100")
     texts = _texts(docs, id_col, text_col)
-    kind = docs.schema[id_col].dataType.simpleString()
-    own = durable(members(texts, kind, n))
-    roots = link_components(texts, n, percent)
-    classed = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    own = durable(hashed_sets(texts, docs.schema[id_col].dataType.simpleString(), n))
+    if percent < 100:
+        roots = link_components(own.where(F.col("n_shingles") >= least_size(percent)).select("node", "elements"), percent, *plan(texts))
+    else:  # equal sets only, and these are one node
+        roots = own.limit(0).select("node", F.col("node").alias("root"))
+    classed = own.select("id", "node", "n_shingles").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = classed.where("root is not null").groupBy("root").agg(F.min("id").alias("least"))
     return classed.join(smallest, "root", "left").select(F.col("id").alias(id_col), "n_shingles", F.coalesce("least", "id").alias("component_id"))
 

@@ -233,7 +233,29 @@ def sets_of(text):
     return frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
-def test_jaccard_against_brute_force(spark):
+@pytest.mark.parametrize("percent", [50, 60, 67, 100])
+def test_jaccard_of_small_sets_at_any_threshold(spark, percent):
+    rng = random.Random(percent)
+    rows = [(1, "a b c d e"), (2, "a b c d e f"), (3, "a b c d e f g"), (4, "x a b c d e")]
+    for i in range(120):
+        base = ["abcdefgh"[k] for k in range(rng.randint(4, 8))]
+        base[rng.randrange(len(base)):] = [rng.choice("pqrs") for _ in range(rng.randint(0, 3))]
+        rows.append((10 + i, " ".join(base)))
+    sets = {i: sets_of(t) for i, t in rows}
+    ids = [*sets]
+    linked = [(a, b) for n, a in enumerate(ids) for b in ids[:n] if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    want = brute_components(ids, linked)
+    assert {r["doc_id"]: r["component_id"] for r in jaccard.similarity_classes(docs(spark, rows), percent=percent).collect()} == want
+
+
+def test_jaccard_refuses_other_thresholds(spark):
+    with pytest.raises(ValueError):
+        jaccard.similarity_classes(docs(spark), percent=0)
+
+
+@pytest.mark.parametrize("block", [jaccard.LIST_BLOCK, 7])
+def test_jaccard_against_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "LIST_BLOCK", block)
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(3))
     boiler = [[word() for _ in range(60)] for _ in range(3)]
