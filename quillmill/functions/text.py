@@ -21,11 +21,11 @@ def words_array(items: Iterable[str]) -> Column:
 def tokens(text: Column, least: int = 4, stop: Iterable[str] = ()) -> Column:
     """Lower-case Latin words of at least `least` letters, duplicates kept.
 
-    Splits on everything that is not a letter, digit or underscore and then
-    matches whole pieces, which is what word boundaries mean in every engine.
+    One pass over the text; the word borders are written out over letters, digits
+    and the underscore.
     """
-    pieces = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}_]+")
-    found = F.filter(pieces, lambda w: w.rlike(f"^[{LATIN}]{{{least},}}$"))
+    word = rf"(?<![\p{{L}}\p{{N}}_])[{LATIN}]{{{least},}}(?![\p{{L}}\p{{N}}_])"
+    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(word), 0)
     stop = [*stop]
     return F.filter(found, lambda w: ~w.isin(*stop)) if stop else found
 
@@ -64,6 +64,13 @@ def has_word(text: Column, word: str) -> Column:
     return F.coalesce(text.rlike(rf"(?i)\b\Q{word}\E\b"), F.lit(False))
 
 
+def begin_within(a: str, b: str, most: int, flags: str = "") -> str:
+    """A pattern: a word of `a` and one of `b`, in either order, that begin at most so
+    many characters apart (F07)."""
+    one = lambda x, y: rf"\b(?=(?:{x})\b)(?=(?s:.{{0,{most}}})\b(?:{y})\b)"
+    return f"{flags}(?:{one(a, b)}|{one(b, a)})"
+
+
 def jaccard(a: Column, b: Column) -> Column:
     """Share of the union; 0 for two empty sets."""
     return F.coalesce(F.size(F.array_intersect(a, b)) / F.nullif(F.size(F.array_union(a, b)), F.lit(0)), F.lit(0.0))
@@ -125,6 +132,17 @@ def question_id_parts(qid: Column) -> Column:
     )
 
 
+def ages(text: Column) -> Column:
+    """Every age of a text in years: 16:11, "aged 16", "16 year old", "16 years, 11 months" (F21)."""
+    def told(pattern: str, months: bool) -> Column:
+        parts = F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), lambda m: F.struct(F.regexp_extract(m, pattern, 1).cast("int").alias("y"), (F.regexp_extract(m, pattern, 2).cast("int") if months else F.lit(0)).alias("m")))
+        return F.filter(parts, lambda p: p.m < 12)
+
+    clock = F.filter(told(r"\b(\d{1,2}):(\d{1,2})\b", True), lambda p: p.y.between(1, 109))
+    every = F.concat(clock, told(r"(?i)\b(?:age|aged|ages)\s+(\d{1,3})\b", False), told(r"(?i)\b(\d{1,3})[-\s]year[-\s]old\b", False), told(r"(?i)\b(\d{1,3})\s+years?\s*,?\s*(\d{1,2})\s+months?\b", True))
+    return F.transform(every, lambda p: p.y + p.m / 12.0)
+
+
 def lead_shape(text: Column) -> Column:
     """How an option begins; the first rule that holds."""
     t = F.trim(F.coalesce(text, F.lit("")))

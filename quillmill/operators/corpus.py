@@ -53,23 +53,28 @@ def _pair(name: str, pattern: str):
     return lambda m: F.struct(F.lit(name).alias("pattern"), F.lower(F.regexp_extract(m, pattern, 1)).alias("a"), F.lower(F.regexp_extract(m, pattern, 2)).alias("b"))
 
 
-def similar_pairs(rows: DataFrame, id_col: str, slug: Column, label: Column, description: Column, threshold: float = 0.5) -> DataFrame:
-    """Pairs whose weighted similarity reaches the threshold, rounded to 3.
+def similar_pairs(rows: DataFrame, id_col: str, slug: Column, label: Column, description: Column, threshold: float = 0.7) -> DataFrame:
+    """Pairs whose weighted similarity reaches the threshold; told rounded to 3.
 
-    A pair can only score with a common token, so candidates meet on tokens
-    (an inverted index) instead of all with all; the score is then exact.  A token
-    of the description alone gives at most 0.2, so only slug and label tokens
-    make candidates while the threshold is above that.
+    The description gives at most 0.2, so in a pair that reaches the threshold the
+    slugs' or the labels' similarity is at least s = (threshold - 0.2) / 0.8.  Two
+    sets so similar share one of the n - ceil(s n) + 1 rarest tokens of each:
+    candidates meet on these only, rare ones first, and the score is then exact.
     """
     if threshold <= 0.2:
         raise ValueError("below 0.2 a description alone could make a pair")
+    least = (threshold - 0.2) / 0.8
     sets = rows.select(F.col(id_col).alias("id"), slug.alias("slug"), label.alias("label"), description.alias("description"))
-    index = sets.select("id", F.explode(F.array_union("slug", "label")).alias("token"))
-    pairs = index.alias("a").join(index.alias("b"), "token").where("a.id < b.id").select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    named = sets.select("id", F.explode(F.array(*(F.struct(F.lit(c).alias("side"), F.col(c).alias("tokens")) for c in ("slug", "label")))).alias("s")).select("id", "s.side", F.explode("s.tokens").alias("token"))
+    frequency = named.groupBy("side", "token").agg(F.count("*").alias("df"))
+    ranked = named.join(frequency, ["side", "token"]).groupBy("id", "side").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))  # the tokens of one row
+    n = F.size("t")
+    index = ranked.select("id", "side", F.explode(F.transform(F.slice("t", F.lit(1), n - F.ceil(n * least - 1e-9).cast("int") + 1), lambda x: x.token)).alias("token"))
+    pairs = index.alias("a").join(index.alias("b"), ["side", "token"]).where("a.id < b.id").select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
     side = lambda p: sets.select(F.col("id").alias(p), *(F.col(c).alias(f"{p}_{c}") for c in ("slug", "label", "description")))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     score = T.weighted_similarity(*({c: F.col(f"{p}_{c}") for c in ("slug", "label", "description")} for p in ("a", "b")))
-    return both.select("a", "b", F.round(score, 3).alias("score")).where(F.col("score") >= threshold)
+    return both.withColumn("score", score).where(F.col("score") >= threshold - 1e-12).select("a", "b", F.round("score", 3).alias("score"))
 
 
 def ngram_overlap(docs: DataFrame, items: DataFrame, n: int = 5) -> DataFrame:

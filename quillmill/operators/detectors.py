@@ -100,8 +100,8 @@ def label_pair(stem: Column, text: Column, brief_pairs: list[tuple[str, str]] =
     """struct(pair, confidence, blocked): brief pairs first, then the fixed pairs, then
     the upper-case ones, case-sensitive; the first that matches decides (D16).
 
-    A pair matches when the stem has both labels within 200 characters and the
-    distractor has one of them.
+    A pair matches when both labels begin in the stem within 200 characters of each
+    other and the distractor has one of them.
     """
     blocked = text.rlike(_words(R.LABEL_QUANTIFIERS))
     kind = "struct<pair:string,confidence:double,blocked:boolean>"
@@ -109,7 +109,7 @@ def label_pair(stem: Column, text: Column, brief_pairs: list[tuple[str, str]] =
     tiers = [(list(brief_pairs), 1.0, "(?i)"), (R.LABEL_PAIRS, 0.5, "(?i)"), (R.UPPERCASE_PAIRS, 0.5, "")]
     for pairs, confidence, flag in tiers:
         for a, b in pairs:
-            near = rf"{flag}\b\Q{a}\E\b(?s:.){{0,200}}\b\Q{b}\E\b|\b\Q{b}\E\b(?s:.){{0,200}}\b\Q{a}\E\b"
+            near = T.begin_within(rf"\Q{a}\E", rf"\Q{b}\E", 200, flag)
             both = F.contains(F.lower(stem), F.lit(a.lower())) & F.contains(F.lower(stem), F.lit(b.lower()))  # cheaper than the pattern
             hit = both & stem.rlike(near) & (text.rlike(rf"{flag}\b\Q{a}\E\b") | text.rlike(rf"{flag}\b\Q{b}\E\b"))
             found.append(F.when(hit, F.struct(F.lit(f"{a}|{b}").alias("pair"), F.lit(confidence).alias("confidence"), blocked.alias("blocked"))))
@@ -134,9 +134,9 @@ def from_gate(name: str, gate: Column, confidence: float) -> Column:
 
 def numeric_overlap() -> Column:
     """Two options name instruments whose age ranges cover an age of the stem."""
-    years = F.transform(F.regexp_extract_all("question_stem", F.lit(r"(?i)\b(?:age|ages)\s+(\d+)\b|\b(\d+)-year-old\b"), 0), lambda m: F.regexp_extract(m, r"(\d+)", 1).cast("double"))
+    years = T.ages(F.col("question_stem"))
     table = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(a).alias("low"), F.lit(b).alias("high")) for n, (a, b) in R.INSTRUMENT_AGES.items()))
-    covered = F.filter("options", lambda o: F.exists(table, lambda r: F.contains(F.lower(o.text), r["name"]) & F.exists(years, lambda y: y.between(r.low, r.high))))
+    covered = F.filter("options", lambda o: F.exists(table, lambda r: F.regexp_like(F.lower(o.text), F.concat(F.lit(r"\b\Q"), r["name"], F.lit(r"\E\b"))) & F.exists(years, lambda y: y.between(r.low, r.high))))
     action = F.when(F.col("difficulty_tier") == 4, "advisory").otherwise("block")
     return F.array(signal("numeric_overlap", F.lit(None).cast("string"), F.size(covered) >= 2, 0.9, "numeric_overlap", action, None, F.array_join(F.transform(covered, lambda o: o.letter), ",")))
 

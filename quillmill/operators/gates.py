@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmill.functions import attribution as A
 from quillmill.functions import refdata as R
 from quillmill.functions import text as T
 from quillmill.operators.questions import all_texts, by_tier, correct, distractors
@@ -32,17 +35,37 @@ def unique_misconceptions(field: str = "misconception_id") -> Gate:
 
 
 def length_balance() -> Gate:
-    """Longest over shortest option above 1.7, or the correct one above 1.2 of the longest distractor."""
+    """Longest over shortest option above 1.7, or the correct one above 1.2 of the longest
+    distractor; a question with an empty option passes (G06)."""
     size = F.transform("options", lambda o: F.length(o.text))
     ratio = F.array_max(size) / F.nullif(F.array_min(size), F.lit(0))
-    longer = F.length(correct()) / F.nullif(F.array_max(F.transform(distractors(), F.length)), F.lit(0))
-    return verdict((ratio > 1.7) | (longer > 1.2), F.when(ratio > 1.7, "option_length_balance: ratio").otherwise("option_length_balance: correct"), ratio)
+    longer = F.length(correct()) > F.array_max(F.transform(distractors(), F.length)) * 1.2
+    return verdict((F.array_min(size) > 0) & ((ratio > 1.7) | longer), F.when(ratio > 1.7, "option_length_balance: ratio").otherwise("option_length_balance: correct"), ratio)
+
+
+NO_IDS, NO_LABELS = "cast(array() as array<string>)", "cast(map() as map<string,string>)"
 
 
-def apply_level() -> Gate:
-    """Tier 3 answers need a word of applying or comparing (part of G07)."""
-    hits = F.size(F.filter(T.words_array(R.APPLY_INDICATORS), lambda w: F.contains(F.lower(correct()), w)))
-    return verdict((F.col("difficulty_tier") == 3) & (hits == 0), "blooms_cognitive_level: definition only", hits)
+def concepts_named(text: Column, ids: Column, labels: Column) -> Column:
+    """The concepts whose id has a part, or whose label a word, of four letters or more
+    that stands somewhere in the lower-case text (F03, F05)."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    by_id = F.filter(ids, lambda c: F.exists(T.slug_tokens(c, 4), lambda t: F.contains(low, t)))
+    by_label = F.filter(F.map_keys(labels), lambda c: F.exists(T.tokens(F.element_at(labels, c), 4), lambda w: F.contains(low, w)))
+    return F.array_union(by_id, by_label)
+
+
+def apply_level(ids: Column | None = None, labels: Column | None = None) -> Gate:
+    """Tier 3 answers need a whole word of applying or comparing; tier 4 needs two of the
+    brief's concepts in stem, answer and its explanation, where the brief is known (G07)."""
+    ids, labels = F.expr(NO_IDS) if ids is None else ids, F.expr(NO_LABELS) if labels is None else labels
+    words = F.array_distinct(F.split(F.lower(correct()), r"[^\p{L}\p{N}_]+"))
+    phrases = [w for w in R.APPLY_INDICATORS if " " in w]
+    applied = F.size(F.array_intersect(words, T.words_array(R.APPLY_INDICATORS))) + sum((F.contains(F.lower(correct()), F.lit(p)).cast("int") for p in phrases), F.lit(0))
+    named = F.size(concepts_named(F.concat_ws(" ", "question_stem", correct(), correct("explanation")), ids, labels))
+    known = (F.size(ids) > 0) | (F.size(labels) > 0)
+    third, fourth = (F.col("difficulty_tier") == 3) & (applied == 0), (F.col("difficulty_tier") == 4) & known & (named < 2)
+    return verdict((F.size("options") == 4) & (third | fourth), F.when(third, "blooms_cognitive_level: definition only").otherwise("blooms_cognitive_level: one concept"), F.when(F.col("difficulty_tier") == 4, named).otherwise(applied))
 
 
 def remember_identity() -> Gate:
@@ -93,8 +116,10 @@ def option_claim() -> Gate:
 
 
 def originality(source: Column) -> Gate:
-    """Five-word runs of the source that the question repeats; half or more fails."""
-    produced = T.ngrams(T.tokens(F.concat_ws(" ", F.col("question_stem"), F.array_join(all_texts(), " ")), 1, R.LIGHT_STOP))
+    """Five-word runs of the source that the question, its explanations included, repeats;
+    half or more fails (G15).  From 0.3 on the metric is a warning."""
+    options = F.transform("options", lambda o: F.concat_ws(" ", o.text, o.explanation))
+    produced = T.ngrams(T.tokens(F.concat_ws(" ", F.col("question_stem"), F.array_join(options, " ")), 1, R.LIGHT_STOP))
     own = T.ngrams(T.tokens(source, 1, R.LIGHT_STOP))
     share = F.size(F.array_intersect(own, produced)) / F.nullif(F.size(own), F.lit(0))
     return verdict(F.coalesce(share, F.lit(0.0)) >= 0.5, "originality: copied", share)
@@ -144,34 +169,14 @@ def _matches(pattern: str):
 def universal_denial() -> Gate:
     """A preserved ability in the stem that a distractor denies altogether.
 
-    Quantifier and verb at most 80 characters apart, in either order.
+    Quantifier and verb begin at most 80 characters apart, in either order.
     """
-    near = rf"(?i)\b(?:{R.DENIAL_QUANTIFIER})\b.{{0,78}}\b(?:{R.DENIAL_VERB})\b|\b(?:{R.DENIAL_VERB})\b.{{0,78}}\b(?:{R.DENIAL_QUANTIFIER})\b"
+    near = T.begin_within(R.DENIAL_QUANTIFIER, R.DENIAL_VERB, 80, "(?i)")
     stem_words = T.token_set(F.col("question_stem"), 6, R.FULL_STOP)
     hit = F.filter(distractors(), lambda t: t.rlike(near) & F.arrays_overlap(T.token_set(t, 6, R.FULL_STOP), stem_words))
     return verdict(F.col("question_stem").rlike(R.PRESERVATION) & (F.size(hit) > 0), "universal_denial: denied", F.size(hit))
 
 
-#: Name, builder, whether a failure stops the chain.
-PIPELINE = [
-    ("structure", structure, True), ("option_length_balance", length_balance, False), ("blooms_cognitive_level", apply_level, False), ("remember_identity", remember_identity, False),
-    ("understand_identity", understand_identity, False), ("apply_identity", apply_identity, False), ("evaluate_identity", evaluate_identity, False), ("option_claim", option_claim, False),
-    ("topic_realm", topic_realm, False), ("stem_keyword_distribution", stem_keywords, False), ("laterality_integrity", laterality, False), ("universal_denial", universal_denial, False),
-]
-
-
-def run_gates(questions: DataFrame, gates: list = PIPELINE) -> DataFrame:
-    """Adds `failures`: (gate, reason) in order, cut after the first failing prerequisite."""
-    checked = questions.withColumns({f"__{name}": build() for name, build, _ in gates})
-    found, stopped = [], F.lit(False)
-    for name, _, first in gates:
-        ok = F.col(f"__{name}.ok")
-        found.append(F.when(~ok & ~stopped, F.struct(F.lit(name).alias("gate"), F.col(f"__{name}.reason").alias("reason"))))
-        if first:
-            stopped = stopped | ~ok
-    return checked.withColumn("failures", F.filter(F.array(*found), lambda f: f.isNotNull())).drop(*(f"__{name}" for name, _, _ in gates))
-
-
 # --- gates that need more of the record than the derived view has
 
 
@@ -193,13 +198,31 @@ def anchor_grounding(concept: Column, brief_ids: Column) -> Gate:
 
 
 def scope_match(pattern: Column, labels: Column) -> Gate:
-    """Comparing stems: each distractor names about as many concepts as the answer (G13):
-    as many if that is at most two, else one fewer at least."""
-    hits = lambda t: F.size(F.filter(labels, lambda x: F.contains(F.lower(t), F.lower(x))))
+    """Comparing stems whose answer names two concepts or more (labels: id to label): each
+    distractor names as many if that is two, else one fewer at least (G13)."""
+    hits = lambda t: F.size(concepts_named(t, F.expr(NO_IDS), labels))
     own = hits(correct())
     need = F.when(own <= 2, own).otherwise(own - 1)
     short = F.filter(distractors(), lambda t: hits(t) < need)
-    return verdict(pattern.isin("comparison", "contrast_prompt", "best_answer") & (F.size(short) > 0), "scope_match: narrower distractor", F.size(short))
+    fails = pattern.isin("comparison", "contrast_prompt", "best_answer") & (F.size("options") == 4) & (own >= 2) & (F.size(short) > 0)
+    return verdict(fails, "scope_match: narrower distractor", F.size(short))
+
+
+def attribution(whitelist: Iterable[str] = (), knowledge: Column | None = None) -> Gate:
+    """No attribution to somebody off the whitelist in stem, tested knowledge, options and
+    explanations; the reason names the first three, the metric counts all (G05)."""
+    where = [(F.lit("stem"), F.col("question_stem")), (F.lit("tested_concept"), F.lit("") if knowledge is None else knowledge)]
+    fixed = F.array(*(F.struct(n.alias("place"), t.cast("string").alias("text")) for n, t in where))
+    own = F.flatten(F.transform("options", lambda o: F.array(F.struct(F.concat(F.lit("opt_"), o.letter, F.lit("_text")).alias("place"), o.text.alias("text")), F.struct(F.concat(F.lit("opt_"), o.letter, F.lit("_explanation")).alias("place"), o.explanation.alias("text")))))
+    told = lambda s: F.transform(F.filter(A.attributions(s.text, whitelist), lambda h: ~h.whitelisted), lambda h: F.concat_ws(":", s.place, h.kind, F.concat(F.lit("'"), h.matched, F.lit("'"))))
+    found = F.flatten(F.transform(F.concat(fixed, own), told))
+    return T.bound(found, lambda f: verdict(F.size(f) > 0, F.concat(F.lit("attribution: "), F.array_join(F.slice(f, 1, 3), "; ")), F.size(f)))
+
+
+def uniqueness(questions: DataFrame, existing: DataFrame, key: str = "question_id") -> DataFrame:
+    """ok: the id is not among those that exist; a question without an id passes."""
+    known = existing.select(key).distinct().withColumn("__known", F.lit(True))
+    return questions.join(known, key, "left").withColumn("ok", F.col("__known").isNull()).drop("__known")
 
 
 def distractor_mix(levels: Column, wanted: dict[int, list[int]]) -> Column:
@@ -207,3 +230,23 @@ def distractor_mix(levels: Column, wanted: dict[int, list[int]]) -> Column:
     mix = by_tier({tier: ",".join(map(str, sorted(x))) for tier, x in wanted.items()}, None)
     own = F.array_join(F.transform(F.array_sort(levels), lambda x: x.cast("string")), ",")
     return F.when(mix.isNotNull() & (own != mix), F.concat(F.lit("distractor_mix: "), own, F.lit(" instead of "), mix))
+
+
+#: Name, builder, whether a failure stops the chain.
+PIPELINE = [
+    ("structure", structure, True), ("attribution", attribution, False), ("option_length_balance", length_balance, False), ("blooms_cognitive_level", apply_level, False), ("remember_identity", remember_identity, False),
+    ("understand_identity", understand_identity, False), ("apply_identity", apply_identity, False), ("evaluate_identity", evaluate_identity, False), ("option_claim", option_claim, False),
+    ("topic_realm", topic_realm, False), ("stem_keyword_distribution", stem_keywords, False), ("laterality_integrity", laterality, False), ("universal_denial", universal_denial, False),
+]
+
+
+def run_gates(questions: DataFrame, gates: list = PIPELINE) -> DataFrame:
+    """Adds `failures`: (gate, reason) in order, cut after the first failing prerequisite."""
+    checked = questions.withColumns({f"__{name}": build() for name, build, _ in gates})
+    found, stopped = [], F.lit(False)
+    for name, _, first in gates:
+        ok = F.col(f"__{name}.ok")
+        found.append(F.when(~ok & ~stopped, F.struct(F.lit(name).alias("gate"), F.col(f"__{name}.reason").alias("reason"))))
+        if first:
+            stopped = stopped | ~ok
+    return checked.withColumn("failures", F.filter(F.array(*found), lambda f: f.isNotNull())).drop(*(f"__{name}" for name, _, _ in gates))

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quillmill.functions import text as T
+from quillmill.functions.refdata import POSITIONS
 
-#: A balanced cycle of answer positions: each letter five times, never twice in a row.
-POSITIONS = list("BDACCADBDBCAABDCBCAD")
 TIER_ORDER = [3, 2, 1, 4]
 
 
@@ -73,19 +72,35 @@ def longest_prefix(rows: DataFrame, key: str, prefixes: dict[str, str], fallback
     return out
 
 
-def siblings(rows: DataFrame, id_col: str, group_col: str, near_col: str, take: int, seed: Column) -> DataFrame:
-    """Up to `take` other rows of the group, those of the same near_col first, each
-    priority rotated by the row's seed (J9).  Rank in a rotation is arithmetic, so
-    only neighbours within reach are joined: no row meets its whole group."""
-    order = Window.partitionBy(group_col, near_col).orderBy(id_col)
-    sized = rows.withColumn("at", F.row_number().over(order) - 1).withColumn("n", F.count("*").over(Window.partitionBy(group_col, near_col))).withColumn("seed", seed)
-    wanted = sized.select(F.col(id_col).alias("primary"), F.col(group_col), F.col(near_col), "at", "n", "seed").where("n > 1")
+def siblings(rows: DataFrame, id_col: str, group_col: str, near_col: str, take: int, seed: Column, terms: Column | None = None, least_distance: float = 0.5) -> DataFrame:
+    """primary, sibling, tier, rank: up to `take` other rows of the group.
+
+    Priorities (tier): 1, the same near_col; 2, another one and a Jaccard distance
+    of the terms of at least `least_distance`; 3, the rest.  Each is in the order
+    of the ids, turned by the row's seed, and a lower one is used only for what
+    the higher ones leave open.  Without terms all distances are 1.
+
+    Rank in a rotation is arithmetic, so in the first priority only neighbours
+    within reach are joined: no row meets its whole group.  Only rows with fewer
+    than `take` near ones meet the group, as the distances decide who comes first.
+    """
+    near = Window.partitionBy(group_col, near_col)
+    terms = F.lit(None).cast("array<string>") if terms is None else terms
+    sized = rows.withColumn("__terms", F.array_distinct(terms)).withColumn("__at", F.row_number().over(near.orderBy(id_col)) - 1).withColumn("__n", F.count("*").over(near)).withColumn("__seed", seed)
+    wanted = sized.select(F.col(id_col).alias("primary"), F.col(group_col).alias("g"), F.col(near_col).alias("near"), F.col("__at").alias("at"), F.col("__n").alias("n"), F.col("__seed").alias("seed"), F.col("__terms").alias("own"))
+    others = sized.select(F.col(id_col).alias("sibling"), F.col(group_col).alias("g"), F.col(near_col).alias("near_other"), F.col("__at").alias("slot"), F.col("__terms").alias("terms"))
     # in the order of the others (without the row itself) the k-th pick is at pmod(seed + k, n - 1)
-    picks = wanted.select("*", F.posexplode(F.sequence(F.lit(0), F.least(F.lit(take), F.col("n") - 1).cast("int") - 1)).alias("rank", "k"))
+    picks = wanted.where("n > 1").select("*", F.posexplode(F.sequence(F.lit(0), F.least(F.lit(take), F.col("n") - 1).cast("int") - 1)).alias("rank", "k"))
     slot = F.pmod(F.col("seed") + F.col("k"), F.col("n") - 1)
-    picks = picks.withColumn("slot", F.when(slot >= F.col("at"), slot + 1).otherwise(slot))
-    others = sized.select(F.col(id_col).alias("sibling"), F.col(group_col), F.col(near_col), F.col("at").alias("slot"))
-    return picks.join(others, [group_col, near_col, "slot"]).select("primary", "sibling", "rank")
+    picks = picks.withColumn("slot", F.when(slot >= F.col("at"), slot + 1).otherwise(slot)).withColumnRenamed("near", "near_other")
+    first = picks.join(others, ["g", "near_other", "slot"]).select("primary", "sibling", F.lit(1).alias("tier"), "rank")
+    short = wanted.where(F.col("n") - 1 < take)
+    distance = F.when(F.coalesce(F.size("own"), F.lit(0)) + F.coalesce(F.size("terms"), F.lit(0)) > 0, T.jaccard_distance(F.col("own"), F.col("terms"))).otherwise(1.0)
+    far = short.join(others, "g").where(F.col("near") != F.col("near_other")).select("primary", "sibling", "seed", (F.col("n") - 1).cast("int").alias("had"), F.when(distance >= least_distance, 2).otherwise(3).alias("tier"))
+    lower = Window.partitionBy("primary", "tier")
+    placed = far.withColumn("m", F.count("*").over(lower)).withColumn("rank", F.pmod(F.row_number().over(lower.orderBy("sibling")) - 1 - F.col("seed"), F.col("m")).cast("int"))
+    whole = placed.withColumn("rank", F.col("had") + F.row_number().over(Window.partitionBy("primary").orderBy("tier", "rank")) - 1).where(F.col("rank") < take)
+    return first.unionByName(whole.select("primary", "sibling", "tier", "rank"))
 
 
 def short_id(qid: Column) -> Column:

@@ -27,14 +27,15 @@ def quorum_vote(verdicts: DataFrame, keys: list[str], cls: str = "class", at: st
 
 def reconcile(a: DataFrame, b: DataFrame, keys: list[str], override: str = "structural_override") -> DataFrame:
     """Two judges on the same keys (A14, J5): agreement keeps; a missing verdict defers
-    to the other judge; a structural override wins; english_gap on either side
-    wins; else soft_flag with the sorted pair.  Keys only in b are dropped."""
+    to the other judge; a structural override wins and counts as no disagreement;
+    english_gap on either side wins; else soft_flag with the sorted pair.  Keys
+    only in b are dropped."""
     both = a.select(*keys, F.col("class").alias("ca"), F.col(override).alias("oa")).join(b.select(*keys, F.col("class").alias("cb"), F.col(override).alias("ob")), keys, "left")
     over = F.when(F.coalesce("oa", F.lit(False)), F.col("ca")).when(F.coalesce("ob", F.lit(False)), F.col("cb"))
     differ = F.col("ca").isNotNull() & F.col("cb").isNotNull() & (F.col("ca") != F.col("cb"))
     gap = differ & ((F.col("ca") == "english_gap") | (F.col("cb") == "english_gap"))
     result = F.when(F.col("cb").isNull(), F.col("ca")).when(F.col("ca").isNull(), F.col("cb")).when(~differ, F.col("ca")).when(over.isNotNull(), over).when(gap, "english_gap").otherwise("soft_flag")
-    return both.select(*keys, result.alias("class"), differ.cast("int").alias("disagreement"), F.when(differ & (result == "soft_flag"), F.array_sort(F.array("ca", "cb"))).alias("ambiguous_between"))
+    return both.select(*keys, result.alias("class"), (differ & over.isNull()).cast("int").alias("disagreement"), F.when(differ & (result == "soft_flag"), F.array_sort(F.array("ca", "cb"))).alias("ambiguous_between"))
 
 
 def schema_override(verdicts: DataFrame, signals: DataFrame, keys: list[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.functions import refdata as R
@@ -42,23 +42,65 @@ def _sum(xs: str) -> str:
     return f"coalesce(list_sum({xs}), 0)"
 
 
-@query("SELECT question_id, true AS ok, 1.0::DOUBLE AS metric FROM q")
+@query("SELECT question_id, doc_id % 5 > 0 AND doc_id % 7 > 0 AND doc_id % 11 > 0 AS ok, CASE WHEN doc_id % 11 = 0 THEN CASE WHEN doc_id % 7 = 0 THEN 3.0 ELSE 4.0 END WHEN doc_id % 7 = 0 AND pos = 4 THEN 0.0 ELSE 1.0 END::DOUBLE AS metric FROM q")
 def gate_structure(spark, d):
-    return _gate(spark, d, gates.structure())
+    """On questions of which some lack their stem or an option, or have nothing but correct ones."""
+    options = F.transform("options", lambda o: o.withField("is_correct", o.is_correct | (F.col("doc_id") % 11 == 0)))
+    rows = questions(spark, d).withColumn("question_stem", F.when(F.col("doc_id") % 5 > 0, F.col("question_stem"))).withColumn("options", F.slice(options, 1, F.when(F.col("doc_id") % 7 == 0, 3).otherwise(4)))
+    return rows.select("question_id", gates.structure().alias("g")).select("question_id", "g.ok", "g.metric")
 
 
 _RATIO = "(list_max(list_transform(texts, lambda t: length(t))) / nullif(list_min(list_transform(texts, lambda t: length(t))), 0)::DOUBLE)"
 _LONGER = "(length(correct) / nullif(list_max(list_transform(wrong, lambda t: length(t))), 0)::DOUBLE)"
 
 
-@query(f"SELECT question_id, NOT ({_RATIO} > 1.7 OR {_LONGER} > 1.2) AS ok, round({_RATIO}, 6) AS metric FROM q")
+@query(f"SELECT question_id, NOT (list_min(list_transform(texts, lambda t: length(t))) > 0 AND ({_RATIO} > 1.7 OR {_LONGER} > 1.2)) AS ok, round({_RATIO}, 6) AS metric FROM q")
 def gate_length_balance(spark, d):
     return _gate(spark, d, gates.length_balance())
 
 
-@query(f"SELECT question_id, NOT (difficulty_tier = 3 AND m = 0) AS ok, m::DOUBLE AS metric FROM (SELECT *, len(list_filter({sql_list(R.APPLY_INDICATORS)}, lambda w: contains(lower(correct), w))) AS m FROM q)")
+# The brief's concepts of a question: named by the first two words of its options.
+_BRIEF = "list_transform(texts, lambda t: lower(array_to_string(string_split(t, ' ')[1:2], '-')))"
+_NAMED = lambda ids, text: f"len(list_filter({ids}, lambda c: len(list_filter(string_split(c, '-'), lambda t: length(t) >= 4 AND contains({text}, t))) > 0))"
+
+
+def _brief() -> Column:
+    return F.transform("options", lambda o: F.lower(F.array_join(F.slice(F.split(o.text, " "), 1, 2), "-")))
+
+
+@query(rf"""SELECT question_id, NOT ((difficulty_tier = 3 AND a = 0) OR (difficulty_tier = 4 AND n < 2)) AS ok, CASE difficulty_tier WHEN 4 THEN n ELSE a END::DOUBLE AS metric
+  FROM (SELECT *, len(list_intersect(list_distinct(regexp_split_to_array(lower(correct), '[^\p{{L}}\p{{N}}_]+')), {sql_list(R.APPLY_INDICATORS)})) + contains(lower(correct), 'rather than')::INTEGER AS a,
+    {_NAMED(f"list_distinct({_BRIEF})", "lower(concat_ws(' ', stem, correct, explanations[pos]))")} AS n FROM q)""")
 def gate_blooms(spark, d):
-    return _gate(spark, d, gates.apply_level())
+    return _gate(spark, d, gates.apply_level(_brief()))
+
+
+_HITS = lambda t: f"len(list_filter(labels, lambda s: len(list_filter(s, lambda w: contains(lower({t}), w))) > 0))"
+
+
+@query(f"""SELECT question_id, NOT (own >= 2 AND short > 0) AS ok, short::DOUBLE AS metric FROM (
+  SELECT question_id, own, len(list_filter(wrong, lambda t: {_HITS("t")} < CASE WHEN own <= 2 THEN own ELSE own - 1 END)) AS short FROM (
+  SELECT *, {_HITS("correct")} AS own FROM (SELECT *, list_transform(texts, lambda x: {sql_tokens("array_to_string(string_split(lower(x), ' ')[4:7], ' ') || ' ' || array_to_string(string_split(lower(texts[1]), ' ')[1:2], ' ')", 4)}) AS labels FROM q)))""")
+def gate_scope_match(spark, d):
+    """Labels: words of an option and the first two of option A, so that some are shared."""
+    words = lambda t, a, n: F.array_join(F.slice(F.split(F.lower(t), " "), a, n), " ")
+    labels = F.map_from_entries(F.transform("options", lambda o: F.struct(o.letter, F.concat_ws(" ", words(o.text, 4, 4), words(F.get("options", F.lit(0)).text, 1, 2)))))
+    return _gate(spark, d, gates.scope_match(F.lit("comparison"), labels))
+
+
+@query("SELECT question_id, NOT list_contains(string_split(correct, ' '), string_split(stem, ' ')[1]) IS FALSE AS ok, NULL::DOUBLE AS metric FROM q")
+def gate_anchor_grounding(spark, d):
+    """The tested concept: a question's first word; the brief's: the answer's words."""
+    return _gate(spark, d, gates.anchor_grounding(F.get(F.split("question_stem", " "), F.lit(0)), F.split(correct(), " ")))
+
+
+@query("SELECT question_id, NOT (a OR b OR c) AS ok, (a::INTEGER + b::INTEGER + 2 * c::INTEGER)::DOUBLE AS metric FROM (SELECT question_id, doc_id % 3 = 0 AS a, doc_id % 5 = 0 AS b, doc_id % 7 = 0 AS c FROM q)")
+def gate_attribution(spark, d):
+    """Citations written into stem and explanations: a strange one, one on the list, two kinds at once."""
+    cited = F.concat(F.when(F.col("doc_id") % 3 == 0, "Squire (2004) found it. ").otherwise("Piaget (1936) found it. "), F.col("question_stem"), F.when(F.col("doc_id") % 5 == 0, ". Per Smith it did.").otherwise(""))
+    told = F.transform("options", lambda o: o.withField("explanation", F.when((o.letter == "C") & (F.col("doc_id") % 7 == 0), "so Weber's theory held, and Jones et al. agreed").otherwise("")).withField("text", F.lower(o.text)))
+    rows = questions(spark, d).withColumn("question_stem", F.regexp_replace(cited, "^((?:Squire|Piaget) .1?[0-9]+.) found it[.] .*?((?:[.] Per Smith it did[.])?)$", "$1 found it$2")).withColumn("options", told)
+    return rows.select("question_id", gates.attribution(["Piaget"]).alias("g")).select("question_id", "g.ok", "g.metric")
 
 
 @query(f"SELECT question_id, NOT (difficulty_tier = 1 AND (s OR v)) AS ok, (s::INTEGER + v::INTEGER)::DOUBLE AS metric FROM (SELECT *, regexp_matches(stem, {_pattern(R.SCENARIO_CASED)}) OR regexp_matches(stem, {_pattern(R.REMEMBER_SCENARIO)}) AS s, list_contains({sql_list(R.FORWARD_VERBS)}, regexp_extract(lower(trim(correct)), '^([a-z]+)', 1)) AS v FROM q)")
@@ -97,9 +139,10 @@ def gate_option_claim(spark, d):
 _NG = lambda w: f"CASE WHEN len({w}) >= 5 THEN list_distinct(list_transform(range(1, len({w}) - 3), lambda k: array_to_string({w}[k:k + 4], ' '))) ELSE [] END"
 
 
-@query(f"SELECT question_id, coalesce(m, 0.0) < 0.5 AS ok, round(m, 6) AS metric FROM (SELECT question_id, len(list_intersect(a, b)) / nullif(len(a), 0)::DOUBLE AS m FROM (SELECT question_id, {_NG('s')} AS a, {_NG('p')} AS b FROM (SELECT question_id, {sql_tokens('explanations[pos]', 1, R.LIGHT_STOP)} AS s, {sql_tokens('concat(stem, chr(32), array_to_string(texts, chr(32)))', 1, R.LIGHT_STOP)} AS p FROM q)))")
+@query(f"SELECT question_id, coalesce(m, 0.0) < 0.5 AS ok, round(m, 6) AS metric FROM (SELECT question_id, len(list_intersect(a, b)) / nullif(len(a), 0)::DOUBLE AS m FROM (SELECT question_id, {_NG('s')} AS a, {_NG('p')} AS b FROM (SELECT question_id, {sql_tokens("concat(stem, ' ', array_to_string(list_reverse(string_split(correct, ' ')), ' '))", 1, R.LIGHT_STOP)} AS s, {sql_tokens("concat(stem, ' ', array_to_string(list_transform([1, 2, 3, 4], lambda i: texts[i] || ' ' || explanations[i]), ' '))", 1, R.LIGHT_STOP)} AS p FROM q)))")
 def gate_originality(spark, d):
-    return _gate(spark, d, gates.originality(correct("explanation")))
+    """The source: the stem, which the question repeats, and the answer backwards, which it doesn't."""
+    return _gate(spark, d, gates.originality(F.concat_ws(" ", "question_stem", F.array_join(F.reverse(F.split(correct(), " ")), " "))))
 
 
 _TR = f"""(SELECT *, {sql_set('stem', 4, R.FULL_STOP)} AS realm, {sql_set('correct', 4, R.FULL_STOP)} AS own, list_filter(list_transform(wrong, lambda t: {sql_set('t', 4, R.FULL_STOP)}), lambda s: len(s) >= 5) AS valid FROM q),
@@ -137,10 +180,11 @@ def gate_pipeline(spark, d):
     return gates.run_gates(questions(spark, d)).select("question_id", F.size("failures").cast("long").alias("n_failures"), F.array_join(F.transform("failures", lambda f: f.gate), ",").alias("gates"))
 
 
-@query("SELECT question_id, n = 1 AS ok FROM (SELECT question_id, count(*) OVER (PARTITION BY question_id) AS n FROM q)")
+@query("SELECT question_id, doc_id NOT IN (SELECT doc_id FROM labels) AS ok FROM q")
 def gate_uniqueness(spark, d):
-    own = questions(spark, d).select("question_id")
-    return own.join(own.groupBy("question_id").count(), "question_id").select("question_id", (F.col("count") == 1).alias("ok"))
+    """Already there: the questions of labelled documents."""
+    own = questions(spark, d)
+    return gates.uniqueness(own.select("question_id"), own.join(table(spark, d, "labels"), "doc_id", "left_semi").select("question_id")).select("question_id", "ok")
 
 
 # --- detectors
@@ -275,12 +319,12 @@ def elaboration_markers(spark, d):
 
 # --- verdicts
 
-_PASSES = "v AS (SELECT user_id, event_id % 3 AS pass, event_id % 4 AS letter, CASE event_type WHEN 'error' THEN 'english_gap' WHEN 'click' THEN 'content_gap' WHEN 'purchase' THEN 'soft_flag' ELSE 'clean' END AS class FROM events WHERE event_id < 2000)"
+_PASSES = "v AS (SELECT user_id, event_id % 3 AS pass, event_id % 4 AS letter, CASE event_type WHEN 'error' THEN 'english_gap' WHEN 'click' THEN 'content_gap' WHEN 'purchase' THEN 'soft_flag' ELSE 'clean' END AS class FROM events)"
 
 
 def _passes(spark: SparkSession, d: str) -> DataFrame:
     cls = F.when(F.col("event_type") == "error", "english_gap").when(F.col("event_type") == "click", "content_gap").when(F.col("event_type") == "purchase", "soft_flag").otherwise("clean")
-    return table(spark, d, "events").where("event_id < 2000").select("user_id", (F.col("event_id") % 3).alias("pass"), (F.col("event_id") % 4).alias("letter"), cls.alias("class"))
+    return table(spark, d, "events").select("user_id", (F.col("event_id") % 3).alias("pass"), (F.col("event_id") % 4).alias("letter"), cls.alias("class"))
 
 
 @query(f", {_PASSES}, n AS (SELECT user_id, letter, class, count(*) AS votes, min(pass) AS first_pass FROM v GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY user_id, letter ORDER BY class = 'soft_flag' DESC, votes DESC, CASE class WHEN 'english_gap' THEN 0 WHEN 'content_gap' THEN 1 WHEN 'soft_flag' THEN 2 ELSE 3 END, first_pass) AS k FROM n) SELECT user_id, letter, class, votes, first_pass FROM r WHERE k = 1")
@@ -288,14 +332,14 @@ def quorum_vote(spark, d):
     return verdicts.quorum_vote(_passes(spark, d), ["user_id", "letter"])
 
 
-_AB = "a AS (SELECT doc_id, CASE quality WHEN 1 THEN 'clean' ELSE 'content_gap' END AS class, doc_id % 11 = 0 AS o FROM labels), b AS (SELECT doc_id, CASE WHEN toxic = 1 THEN 'english_gap' WHEN doc_id % 3 = 0 THEN 'content_gap' ELSE 'clean' END AS class, doc_id % 13 = 0 AS o FROM labels WHERE doc_id % 5 <> 0)"
+_AB = "a AS (SELECT doc_id, CASE lang WHEN 'en' THEN 'clean' WHEN 'de' THEN 'content_gap' ELSE 'soft_flag' END AS class, doc_id % 11 = 0 AS o FROM documents), b AS (SELECT doc_id, CASE WHEN toxic = 1 THEN 'english_gap' WHEN doc_id % 3 = 0 THEN 'content_gap' ELSE 'clean' END AS class, doc_id % 13 = 0 AS o FROM labels)"
 
 
-@query(f", {_AB} SELECT doc_id, CASE WHEN b.class IS NULL OR a.class = b.class THEN a.class WHEN a.o THEN a.class WHEN b.o THEN b.class WHEN a.class = 'english_gap' OR b.class = 'english_gap' THEN 'english_gap' ELSE 'soft_flag' END AS class, coalesce(a.class <> b.class, false)::INTEGER AS disagreement FROM a LEFT JOIN b USING (doc_id)")
+@query(f", {_AB} SELECT doc_id, CASE WHEN b.class IS NULL OR a.class = b.class THEN a.class WHEN a.o THEN a.class WHEN b.o THEN b.class WHEN a.class = 'english_gap' OR b.class = 'english_gap' THEN 'english_gap' ELSE 'soft_flag' END AS class, coalesce(a.class <> b.class AND NOT a.o AND NOT b.o, false)::INTEGER AS disagreement FROM a LEFT JOIN b USING (doc_id)")
 def cross_model(spark, d):
-    labels = table(spark, d, "labels")
-    a = labels.select("doc_id", F.when(F.col("quality") == 1, "clean").otherwise("content_gap").alias("class"), (F.col("doc_id") % 11 == 0).alias("structural_override"))
-    b = labels.where("doc_id % 5 <> 0").select("doc_id", F.when(F.col("toxic") == 1, "english_gap").when(F.col("doc_id") % 3 == 0, "content_gap").otherwise("clean").alias("class"), (F.col("doc_id") % 13 == 0).alias("structural_override"))
+    """One judge goes by the language, the other by the labels, which some documents lack."""
+    a = table(spark, d, "documents").select("doc_id", F.when(F.col("lang") == "en", "clean").when(F.col("lang") == "de", "content_gap").otherwise("soft_flag").alias("class"), (F.col("doc_id") % 11 == 0).alias("structural_override"))
+    b = table(spark, d, "labels").select("doc_id", F.when(F.col("toxic") == 1, "english_gap").when(F.col("doc_id") % 3 == 0, "content_gap").otherwise("clean").alias("class"), (F.col("doc_id") % 13 == 0).alias("structural_override"))
     return verdicts.reconcile(a, b, ["doc_id"]).select("doc_id", "class", "disagreement")
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -28,11 +30,14 @@ def query(sql: str | None = None):
 
 
 def _folder(spark) -> str:
-    """A folder for files that a query writes and reads: shared where the session names one."""
+    """A folder for files that a query writes and reads: shared where the session names one,
+    and only on one machine a temporary one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         return tempfile.mkdtemp(prefix="quillmill-")
-    return f"{shared.rstrip('/')}/quillmill-{spark.sparkContext.applicationId}-{next(tempfile._get_candidate_names())}"
+    return f"{shared.rstrip('/')}/quillmill-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
 
 
 # --- sources and sinks: what comes back from the files
@@ -102,9 +107,9 @@ def stream_windowed_counts(spark, d):
 # --- replay, policy and text functions
 
 
-@query("SELECT event_id, event_type, json_extract_string(props, '$.k')::INTEGER AS k FROM events WHERE event_id < 500")
+@query("SELECT event_id, event_type, json_extract_string(props, '$.k')::INTEGER AS k FROM events")
 def replayed_answers(spark, d):
-    log = table(spark, d, "events").where("event_id < 500")
+    log = table(spark, d, "events")
     answers = log.select("event_id", F.concat(F.lit("```json\n"), "props", F.lit("\n```")).alias("content"))
     return replay.replayed(log.select("event_id", "event_type"), answers, ["event_id"], "k int").select("event_id", "event_type", "answer.k")
 
@@ -127,24 +132,31 @@ def policy_cells(spark, d):
     return policy.resolve(spark, rows).select("doc_id", "gate_action", "override_threshold")
 
 
-@query()
+_NAMED = "n AS (SELECT doc_id, upper(left(x, 1)) || substr(x, 2) AS name FROM (SELECT doc_id, regexp_extract(lower(coalesce(text, '')), '([a-z]{3,})', 1) AS x FROM documents) WHERE x <> '')"
+_TAIL = "{n} (1999) did. According to {n} it did. {n} et al. did. {n}'s theory did. see {n} and {n} found it. then {n} postulated it. Dr. {n} postulated it."
+
+
+def _cited(spark, d):
+    """Whole texts with citations of every kind behind them: documents cite nobody."""
+    name = F.initcap(F.regexp_extract(F.lower(F.coalesce("text", F.lit(""))), "([a-z]{3,})", 1))
+    rows = table(spark, d, "documents").select("doc_id", "text", name.alias("name")).where("name <> ''")
+    return rows.select("doc_id", F.concat("text", F.lit(". "), F.replace(F.lit(_TAIL), F.lit("{n}"), F.col("name"))).alias("x"))
+
+
+@query(f"WITH {_NAMED} SELECT doc_id, kind, CASE kind WHEN 'bare_multi' THEN name || ' and ' || name ELSE name END AS name FROM n, (SELECT unnest(['year', 'according_to', 'et_al', 'possessive', 'bare_multi', 'bare_single']) AS kind) WHERE kind NOT LIKE 'bare%' OR NOT list_contains({sql_list(refdata.NOT_NAMES)}, name)")
 def attributions(spark, d):
-    """On sentences made of each document's first word: documents cite nobody."""
-    name = F.initcap(F.regexp_extract(F.lower("text"), "([a-z]{3,})", 1))
-    rows = table(spark, d, "documents").select("doc_id", F.concat(name, F.lit(" (1999) found that. According to "), name, F.lit(" et al. it did.")).alias("x"))
-    return rows.select("doc_id", F.explode(attribution.attributions()("x")).alias("a")).select("doc_id", "a.kind", "a.name")
+    return _cited(spark, d).select("doc_id", F.explode(attribution.attributions(F.col("x"))).alias("a")).select("doc_id", "a.kind", "a.name")
 
 
-@query()
+@query(rf"WITH {_NAMED} SELECT doc_id, trim(regexp_replace(regexp_replace(text || '. ' || CASE WHEN name = 'The' THEN name ELSE '' END || ' did.', '^[\s:\-—,;]+', ''), '[ \t]{{2,}}', ' ', 'g')) AS text FROM n JOIN documents USING (doc_id)")
 def stripped_citations(spark, d):
-    name = F.initcap(F.regexp_extract(F.lower("text"), "([a-z]{3,})", 1))
-    rows = table(spark, d, "documents").select("doc_id", F.concat(name, F.lit(" (1999): it was so.")).alias("x"))
-    return rows.select("doc_id", attribution.strip_citations()("x").alias("text"))
+    rows = _cited(spark, d).select("doc_id", F.regexp_replace("x", r"(?s)(\(1999\) did\.).*$", "$1").alias("x"))
+    return rows.select("doc_id", attribution.strip_citations(F.col("x"), ["The"]).alias("text"))
 
 
-@query("SELECT doc_id, props AS json FROM (SELECT event_id AS doc_id, props FROM events WHERE event_id < 300)")
+@query("SELECT event_id AS doc_id, props AS json FROM events")
 def json_in_prose(spark, d):
-    rows = table(spark, d, "events").where("event_id < 300").select(F.col("event_id").alias("doc_id"), F.concat(F.lit('I think {"a": "}"} but then '), "props", F.lit(" is it {")).alias("x"))
+    rows = table(spark, d, "events").select(F.col("event_id").alias("doc_id"), F.concat(F.lit('I think {"a": "}"} but then '), "props", F.lit(" is it {")).alias("x"))
     return rows.select("doc_id", udfs.extract_json()("x").alias("json"))
 
 

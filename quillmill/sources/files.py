@@ -91,8 +91,9 @@ def merge_checkpoint(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 def sync_delta(source: DataFrame, target: DataFrame) -> DataFrame:
     """Rows of both sides and their difference; an empty source is refused."""
-    one = source.agg(F.count("*").alias("n_source")).join(target.agg(F.count("*").alias("n_target")))
-    return one.select("n_source", "n_target", (F.col("n_source") - F.col("n_target")).alias("delta"), F.when(F.col("n_source") == 0, F.raise_error(F.lit("the source has no rows"))).alias("refused"))
+    one = source.agg(F.count("*").alias("n")).join(target.agg(F.count("*").alias("n_target")))
+    n = F.when(F.col("n") == 0, F.raise_error(F.lit("the source has no rows"))).otherwise(F.col("n"))  # part of each result that needs the count
+    return one.select(n.alias("n_source"), "n_target", (n - F.col("n_target")).alias("delta"))
 
 
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
