@@ -31,6 +31,7 @@ from functools import lru_cache
 
 import ahocorasick
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -306,14 +307,19 @@ class OffsetDecoder:
 ENCODERS = {"backtracking": BacktrackingEncoder, "library": LibraryEncoder}
 
 
+def found(path: str) -> str:
+    """The vocabulary file on this machine: where the path says, else where the tokenizers are installed here."""
+    return path if os.path.exists(path) else public_tokenizers.path(os.path.basename(path))
+
+
 @lru_cache(maxsize=4)
 def text_encoder(path: str, kind: str) -> TextEncoder:
-    return TextEncoder(path, ENCODERS[kind](path))
+    return TextEncoder(found(path), ENCODERS[kind](found(path)))
 
 
 @lru_cache(maxsize=4)
 def offset_decoder(path: str) -> OffsetDecoder:
-    return OffsetDecoder(path)
+    return OffsetDecoder(found(path))
 
 
 def encode_documents(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame
@@ -17,7 +18,7 @@ def durable(df: DataFrame) -> DataFrame:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local"):
+        if shared is None and not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="quillmill-"))
     return df.checkpoint(eager=True)
