@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once, so memory does not follow the batch size.
-SLICE_BYTES = 5_000_000
+SLICE_BYTES = 2_000_000
 
 
 def slices(lengths: Iterable[int], most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:

@@ -41,8 +41,8 @@ from tokenizers import Tokenizer
 from quillmill.llm.arrow_text import text_slices
 
 #: Entries after which the memo is emptied; one takes about 200 bytes.
-WORD_MEMO = 600_000
-PAIR_MEMO = 300_000
+WORD_MEMO = 300_000
+PAIR_MEMO = 200_000
 
 END = "</w>"
 _END_SHIFT = 0x2000  # a word's last symbol is moved out of the range of the others
