@@ -434,16 +434,24 @@ def pairs_of_lists(rows: DataFrame, percent: int) -> DataFrame:
     """a, b: the pairs of each list, of different components, that may link by their
     sizes and positions.  rows: list, a, size, at, root.
 
-    A list is cut into blocks of about LIST_BLOCK members, and each two blocks meet
-    under a key of their own, so no list is one task's.
+    One side of such a pair is always outside the list's largest component: all
+    members meet only those.  Both sides are cut into blocks of about LIST_BLOCK
+    members, and each two blocks meet under a key of their own, so no list is one
+    task's.  Lists of one component have nothing to check.
     """
-    blocks = rows.groupBy("list").agg(F.ceil(F.count("*") / LIST_BLOCK).cast("long").alias("blocks"))
-    split = rows.join(blocks, "list").withColumn("own", F.pmod(F.xxhash64("a"), F.col("blocks"))).withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    left = split.select("list", F.col("own").alias("x"), F.col("met").alias("y"), "a", "size", "at", "root")
-    right = split.select("list", F.col("met").alias("x"), F.col("own").alias("y"), F.col("a").alias("b"), F.col("size").alias("size_b"), F.col("at").alias("at_b"), F.col("root").alias("root_b"))
+    parts = rows.groupBy("list", "root").agg(F.count("*").alias("n"))
+    shape = parts.groupBy("list").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("main"))
+    blocks = lambda n: F.ceil(n / LIST_BLOCK).cast("long")
+    shape = shape.where(F.col("n") > F.col("main.n")).select("list", F.col("main.root").alias("main"), blocks(F.col("n")).alias("xs"), blocks(F.col("n") - F.col("main.n")).alias("ys"))
+    every = rows.join(shape, "list")
+    place = lambda n: F.pmod(F.xxhash64("a"), F.col(n))
+    all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left = every.select("list", place("xs").alias("x"), all_of("ys").alias("y"), "a", "size", "at", "root", (F.col("root") == F.col("main")).alias("inside"))
+    right = every.where(F.col("root") != F.col("main")).select("list", all_of("xs").alias("x"), place("ys").alias("y"), F.col("a").alias("b"), F.col("size").alias("size_b"), F.col("at").alias("at_b"), F.col("root").alias("root_b"))
     need = F.ceil((F.col("size") + F.col("size_b")) * percent / (100 + percent))
     fits = F.least(F.col("size") - F.col("at"), F.col("size_b") - F.col("at_b")) >= need
-    return left.join(right, ["list", "x", "y"]).where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & fits).select("a", "b").distinct()
+    met = left.join(right, ["list", "x", "y"]).where((F.col("inside") | (F.col("a") < F.col("b"))) & (F.col("root") != F.col("root_b")) & fits)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def link_components(sets: DataFrame, percent: int, ranges: Ranges, bits: int) -> DataFrame:
@@ -462,8 +470,7 @@ def link_components(sets: DataFrame, percent: int, ranges: Ranges, bits: int) ->
     roots = connected_components(links)
     if not long_lists.isEmpty():
         placed = durable(long_lists.join(roots.select(F.col("node").alias("a"), "root"), "a", "left").withColumn("root", F.coalesce("root", "a")))
-        mixed_lists = placed.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("list")
-        rest = durable(pairs_of_lists(placed.join(mixed_lists, "list"), percent).join(pairs, ["a", "b"], "left_anti"))
+        rest = durable(pairs_of_lists(placed, percent).join(pairs, ["a", "b"], "left_anti"))
         if not rest.isEmpty():
             ends = rest.select("a").union(rest.select("b"))
             more = durable(verified(rest, node_sets(sets, ends, maps), percent))
