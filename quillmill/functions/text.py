@@ -6,10 +6,13 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as t
 
 from quillmill.functions import refdata
 
 LATIN = "a-zà-öø-ÿ"
+# Broken sequences and the characters they were (two dashes, four quotes, the no-break space).
+MOJIBAKE = [("â€\u201d", "—"), ("â€\u201c", "–"), ("â€™", "’"), ("â€˜", "‘"), ("â€œ", "“"), ("â€\x9d", "”"), ("Â\xa0", "\xa0")]
 #: The namespace of name-based ids, as hex.
 NAMESPACE = "6ba7b8119dad11d180b400c04fd430c8"
 
@@ -92,12 +95,25 @@ def normalise_label(text: Column) -> Column:
 
 
 def repair_mojibake(text: Column) -> Column:
-    """Seven byte sequences that UTF-8 leaves when read as a one-byte code page."""
-    for broken, right in (("â€™", "’"), ("â€˜", "‘"), ("â€œ", "“"), ("â€\x9d", "”"), ("â€”", "—"), ("â€“", "–"), ("Ã©", "é")):
+    """Seven characters whose UTF-8 was read as a one-byte code page."""
+    for broken, right in MOJIBAKE:
         text = F.replace(text, F.lit(broken), F.lit(right))
     return text
 
 
+def repair_mojibake_deep(value: Column, kind: t.DataType) -> Column:
+    """The same in every string of a nested value; keys of maps stay."""
+    if isinstance(kind, t.StringType):
+        return repair_mojibake(value)
+    if isinstance(kind, t.ArrayType):
+        return F.transform(value, lambda x: repair_mojibake_deep(x, kind.elementType))
+    if isinstance(kind, t.MapType):
+        return F.transform_values(value, lambda _, x: repair_mojibake_deep(x, kind.valueType))
+    if isinstance(kind, t.StructType):
+        return F.when(value.isNotNull(), F.struct(*(repair_mojibake_deep(value[f.name], f.dataType).alias(f.name) for f in kind.fields)))
+    return value
+
+
 def name_uuid(name: Column, namespace: str = NAMESPACE) -> Column:
     """Version-5 UUID: SHA-1 of namespace and name, with version and variant set."""
     digest = F.sha1(F.concat(F.unhex(F.lit(namespace)), F.encode(name, "UTF-8")))
@@ -122,13 +138,23 @@ def gate_of_reason(reason: Column) -> Column:
 
 
 def question_id_parts(qid: Column) -> Column:
-    """domain, anchor and tier letter of an id such as QZ-DOM-D7-PHY-058-M-01."""
+    """domain, anchor, tier letter and tier of an id such as QZ-DOM-AP-D7-PHY-058-M-01.
+
+    The domain is the second part ("?" for fewer than three parts), the anchor
+    stands from the fourth part to the last tier letter before the end (null for
+    fewer than five parts or without one), the tier is that of the part before
+    the last (0 for other letters).
+    """
     parts = F.split(qid, "-")
     n = F.size(parts)
+    letters = F.filter(F.sequence(F.lit(3), n - 2), lambda i: F.get(parts, i).isin("E", "M", "H", "X"))
+    at = F.when(n >= 5, F.get(letters, F.size(letters) - 1))
+    letter = F.get(parts, n - 2)
     return F.struct(
-        F.get(parts, F.lit(1)).alias("domain"),
-        F.when(n > 4, F.array_join(F.slice(parts, 3, n - 4), "-")).alias("anchor"),
-        F.get(parts, n - 2).alias("tier_letter"),
+        F.when(n > 2, F.get(parts, F.lit(1))).otherwise("?").alias("domain"),
+        F.when(at.isNotNull(), F.array_join(F.slice(parts, F.lit(4), at - 3), "-")).alias("anchor"),
+        letter.alias("tier_letter"),
+        F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, "EMHX")), F.coalesce(letter, F.lit(""))).cast("int"), F.lit(0)), F.lit(0)).alias("tier"),
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,13 +40,36 @@ def integration_pair(pool: Column, variant: Column, tier: Column) -> Column:
     return F.when(n >= 2, F.array(F.get(pool, first.cast("int")), F.get(pool, second.cast("int"))))
 
 
-def pick_distinct(pool: Column, variant: Column, tier: Column, k: int = 3) -> Column:
-    """k elements from a rotating start, passing over what was taken (W06): the first k
-    distinct ones of the rotated pool."""
-    n = F.size(pool)
-    start = F.pmod((variant - 1) * 3 + tier - 1, n).cast("int")
-    turned = F.concat(F.slice(pool, start + 1, n), F.slice(pool, 1, start))
-    return F.when(n > 0, F.slice(F.array_distinct(turned), 1, k)).otherwise(pool)
+# The levels of a tier's three wrong options.
+LEVELS = {1: (1, 2, 3), 2: (1, 2, 3), 3: (2, 3, 4), 4: (3, 4, 4)}
+
+
+def distractor_slots(pool: Column, tested: Column, permitted_ids: Column, variant: Column, tier: Column) -> Column:
+    """Three structs (slot, level, mode, misconception_id).
+
+    The pool is first cut to the permitted concepts, if there are any and three
+    of it remain (J18); those that involve the tested concept come first.  From
+    a start that turns with variant and tier, the first three different ids are
+    taken, or the next in turn where there are fewer.  A pool of under three
+    gives open slots.  pool: array of misconception_id, concepts_involved.
+    """
+    level = F.lit(None).cast("array<int>")
+    for number, levels in LEVELS.items():
+        level = F.when(tier == number, F.array(*map(F.lit, levels))).otherwise(level)
+    allowed = F.when(F.coalesce(F.size(permitted_ids), F.lit(0)) > 0, permitted(pool, permitted_ids)).otherwise(pool)
+
+    def turned(p: Column) -> Column:
+        hit = lambda m: F.coalesce(F.array_contains(m.concepts_involved, tested), F.lit(False))
+        ids = F.concat(F.transform(F.filter(p, hit), lambda m: m.misconception_id), F.transform(F.filter(p, lambda m: ~hit(m)), lambda m: m.misconception_id))
+        start = F.pmod((variant - 1) * 3 + tier - 1, F.size(p)).cast("int")
+        return T.bound(ids, lambda x: F.concat(F.slice(x, start + 1, F.size(x)), F.slice(x, F.lit(1), start)))
+
+    def made(ids: Column) -> Column:
+        taken = F.array_distinct(ids)
+        return F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: F.struct((i + 1).alias("slot"), F.get(level, i).alias("level"), F.lit("focused").alias("mode"), F.coalesce(F.get(taken, i), F.get(ids, i)).alias("misconception_id")))
+
+    opened = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: F.struct((i + 1).alias("slot"), F.get(level, i).alias("level"), F.lit("open").alias("mode"), F.lit(None).cast("string").alias("misconception_id")))
+    return F.when(F.coalesce(F.size(pool), F.lit(0)) < 3, opened).otherwise(T.bound(allowed, lambda p: T.bound(turned(p), made)))
 
 
 def task_grid(anchors: DataFrame, variants: int = 5, tiers: list[int] = TIER_ORDER) -> DataFrame:
@@ -150,14 +175,17 @@ def vocabulary(groups: list[Column], each: int, most: int) -> Column:
 def template_for(rows: DataFrame, templates: DataFrame, keys: list[str], ord_col: str = "ord") -> DataFrame:
     """The first template whose keys match, a null key of a template matching all.
 
-    The wildcards make it a join on conditions; templates are a handful of rows.
+    Each distinct key asks for itself and for its forms with wildcards, so the
+    lookup is an equality join whatever the number of rows and templates.
     """
-    t = F.broadcast(templates.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col(ord_col).alias("__ord"), F.col("template").alias("__template")))
-    rule = F.lit(True)
-    for k in keys:
-        rule = rule & (F.col(f"__{k}").isNull() | (F.col(f"__{k}") == F.col(k)))
-    matched = rows.join(t, rule, "left")
-    return matched.groupBy(*rows.columns).agg(F.min_by("__template", "__ord").alias("template"))
+    asked = rows.select(*keys).distinct()
+    forms = F.array(*(F.struct(*((F.col(k) if used >> i & 1 else F.lit(None)).cast(asked.schema[k].dataType).alias(f"__{k}") for i, k in enumerate(keys))) for used in range(1 << len(keys))))
+    wild = asked.select(*keys, F.explode(forms).alias("f")).select(*keys, "f.*")
+    held = templates.select(*(F.col(k).alias(f"__t_{k}") for k in keys), F.col(ord_col).alias("__ord"), F.col("template").alias("__template"))
+    same = lambda left, right: reduce(lambda a, b: a & b, (F.col(left + k).eqNullSafe(F.col(right + k)) for k in keys))
+    found = wild.join(held, same("__", "__t_")).groupBy(*keys).agg(F.min_by("__template", "__ord").alias("template"))
+    found = found.select(*(F.col(k).alias(f"__k_{k}") for k in keys), "template")
+    return rows.join(found, same("", "__k_"), "left").select(*rows.columns, "template")
 
 
 def first_flagged(rows: DataFrame, score: str, limit: float, ord_col: str, n: int) -> DataFrame:

@@ -51,7 +51,7 @@ def english_gap_override(verdicts: DataFrame, signals: DataFrame, keys: list[str
     hit = signals.where(F.col("fired") & (F.col("verdict_action") == "override_to") & (F.col("proposed_class") == "english_gap")).select(*keys, F.lit(True).alias("__hit")).distinct()
     joined = verdicts.join(hit, keys, "left")
     applies = (F.col("class") != "english_gap") & F.coalesce("__hit", F.lit(False))
-    return joined.withColumn("class", F.when(applies, "english_gap").otherwise(F.col("class"))).withColumn("overridden", applies).drop("__hit")
+    return joined.withColumn("overridden", applies).withColumn("class", F.when(F.col("overridden"), "english_gap").otherwise(F.col("class"))).drop("__hit")
 
 
 def chapter_status(audits: DataFrame, tolerance: float = 0.0) -> DataFrame:

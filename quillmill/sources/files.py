@@ -99,3 +99,16 @@ def sync_delta(source: DataFrame, target: DataFrame) -> DataFrame:
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
     """Path and SHA-256 of each file."""
     return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("source_hash"))
+
+
+def write_sidecar(results: DataFrame, metadata: dict[str, str], path: str) -> None:
+    """An audit's rows, its metadata beside each."""
+    noted = F.struct(*(F.lit(v).alias(k) for k, v in metadata.items()))
+    results.withColumn("metadata", noted).write.mode("overwrite").json(path)
+
+
+def write_audit(results: DataFrame, fixed: DataFrame, metadata: dict[str, str], path: str, flag: str = "flagged") -> None:
+    """The audit, and the fixed rows where anything was flagged."""
+    write_sidecar(results, metadata, f"{path}.audit.json")
+    if not results.where(flag).isEmpty():
+        fixed.write.mode("overwrite").json(f"{path}.fixed.json")

@@ -137,11 +137,14 @@ def test_small_functions(spark):
     assert get(T.name_uuid(F.lit("dom:Täst"))) == str(uuid.uuid5(space, "dom:Täst"))
     assert get(T.jaccard(F.array().cast("array<string>"), F.array().cast("array<string>"))) == 0.0
     assert get(T.ngrams(F.array(*map(F.lit, "abcd")))) == []
-    assert get(T.question_id_parts(F.lit("QZ-BPSY-D7-PHY-058-M-01"))).asDict() == {"domain": "BPSY", "anchor": "D7-PHY-058", "tier_letter": "M"}
+    assert get(T.question_id_parts(F.lit("QZ-PMET-AP-D1-RMS-01-1-H-01"))).asDict() == {"domain": "PMET", "anchor": "D1-RMS-01-1", "tier_letter": "H", "tier": 3}
+    assert get(T.question_id_parts(F.lit("QZ-M"))).asDict() == {"domain": "?", "anchor": None, "tier_letter": "QZ", "tier": 0}
     assert get(planning.longest_prefix(one, "id", {}, F.lit("x"))) == "x"
     assert get(T.strip_fence(F.lit('```json\n{"a": 1}\n```'))) == '{"a": 1}'
     assert udfs.last_json_object('x {"a": "}"} y {"b": 1} {') == '{"b": 1}'
     assert get(T.repair_mojibake(F.lit("itâ€™s"))) == "it’s"
+    for good in "—–’‘“\xa0":
+        assert get(T.repair_mojibake(F.lit(good.encode().decode("cp1252")))) == good
 
 
 def test_attributions(spark):
