@@ -55,6 +55,8 @@ from quillmill.llm.durable import durable
 
 #: The largest bit maps have this power of two of bits (128 MB each).
 MAP_BITS = 30
+#: Bytes of the maps that one job brings to the driver.
+PART_BYTES = 1 << 24
 #: Elements in more sets than this are frequent.
 FREQUENT = 24
 #: Longer lists give stars; members of a block when a long list is checked whole.
@@ -239,7 +241,8 @@ def frequency_maps(sets: DataFrame, ranges: Ranges, bits: int) -> tuple[Maps, fl
 
     counted = sets.mapInArrow(gather, "r int, blob binary").groupBy("r").applyInPandas(count, "r int, repeated binary, frequent binary, total double, squares double")
     total = squares = 0.0
-    for row in counted.toLocalIterator():  # slices of maps of bounded size
+    # Slices of maps of bounded size, PART_BYTES a job; written first, so that few jobs don't mean few tasks.
+    for row in durable(counted).coalesce(1 + (2 << bits) // 8 // PART_BYTES).toLocalIterator():
         for name in ("repeated", "frequent"):
             if row[name] is not None:
                 part = np.frombuffer(row[name], np.uint8)
@@ -373,7 +376,7 @@ def node_map(nodes: DataFrame, bits: int) -> np.ndarray:
 
     cells = nodes.select(cell.alias("c")).distinct().select(F.shiftright("c", step).alias("high"), F.col("c").bitwiseAND((1 << step) - 1).alias("low"))
     out = np.zeros((1 << bits) // 8, np.uint8)
-    for row in cells.groupBy("high").applyInPandas(mark, "high bigint, marks binary").toLocalIterator():
+    for row in cells.groupBy("high").applyInPandas(mark, "high bigint, marks binary").collect():  # at most 2 ** 26 bits, 8 MB
         part = np.frombuffer(row["marks"], np.uint8)
         out[row["high"] * len(part) : (row["high"] + 1) * len(part)] = part
     return out
