@@ -46,3 +46,13 @@ def numbered_words(texts: pa.Array, lines: bool = False) -> tuple[list[str], np.
     coded = split.values.dictionary_encode()
     first = split.offsets[0].as_py()
     return coded.dictionary.to_pylist(), np.asarray(coded.indices), np.asarray(split.offsets) - first
+
+
+def differs(column: pa.Array) -> np.ndarray:
+    """Whether each value differs from the one before it; the first one does."""
+    out = np.ones(len(column), bool)
+    if len(column) > 1:
+        a, b = column.slice(1), column.slice(0, len(column) - 1)
+        equal = pc.or_kleene(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+        out[1:] = ~np.asarray(equal)
+    return out

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, over whole tables."""
+"""The registered queries of operators 1 to 10, over whole tables, and those of `more_queries`."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmill.llm import more_queries
 from quillmill.llm.bpe import encode_documents
 from quillmill.llm.chat import expand_targets, read_loss, read_turns
 from quillmill.llm.jaccard import similarity_classes
@@ -154,8 +155,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op2_jaccard": op2_jaccard, "op3_chat": op3_chat, "op4_licences": op4_licences, "op5_toxicity": op5_toxicity, "op6_privacy": op6_privacy, "op7_quality": op7_quality, "op8_top_k": op8_top_k, "op9_vector_dedup": op9_vector_dedup, "op10_bpe": op10_bpe}
+    return {"op1_packing": op1_packing, "op2_jaccard": op2_jaccard, "op3_chat": op3_chat, "op4_licences": op4_licences, "op5_toxicity": op5_toxicity, "op6_privacy": op6_privacy, "op7_quality": op7_quality, "op8_top_k": op8_top_k, "op9_vector_dedup": op9_vector_dedup, "op10_bpe": op10_bpe} | more_queries.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat": OP3_SQL, "op8_top_k": OP8_SQL, "op9_vector_dedup": OP9_SQL}
+    return {"op3_chat": OP3_SQL, "op8_top_k": OP8_SQL, "op9_vector_dedup": OP9_SQL} | more_queries.oracle_sql()
