@@ -13,6 +13,21 @@ DESCRIPTION_STOP = "this that these those with from have been system process app
 GROUNDING_STOP = "with from this that these those their have been were will would could should system process approach concept general such some many more most other another each every also into onto upon when where what which while".split()
 ALTERNATIVE_STOP = "the a an and or but is are was were be been being have has had do does did will would could should may might must shall to of in on at by for with from as this that these those it its they them their there which what who whom whose where when why how all any some no not only if then than so such more most less least very much many few same different other another between among into through during before after under over above below out off".split()
 
+# Topic keywords: words that are none, and terms that count more.
+KEYWORD_STOP = (
+    "the a an is are was were be been being have has had do does did will would could should may might shall can must need and but or nor not so yet both either neither "
+    "each every all any few more most other some such no only own same than too very just because as until while of at by for with about against between through during before after "
+    "above below to from up down in out on off over under again further then once here there when where why how this that these those it its they them their we our he his she her me my "
+    "which who whom what also however although including within many often well much one two three like new used first even way called known refers involves specific related different "
+    "important example include includes typically common based associated"
+).split()
+KEYWORD_BOOST = (
+    "conditioning reinforcement extinction memory cognition attachment development disorder therapy assessment intelligence personality motivation emotion perception "
+    "neurotransmitter syndrome psychotherapy diagnostic validity reliability correlation regression hypothesis variable stimulus response behavior learning consciousness "
+    "anxiety depression schizophrenia bipolar trauma neuropsychological cognitive behavioral psychodynamic humanistic biological cortex hippocampus amygdala "
+    "serotonin dopamine norepinephrine acetylcholine"
+).split()
+
 # Quantifiers and opposed terms.
 QUANTIFIERS = "all every always never throughout entire any none no".split()
 LABEL_QUANTIFIERS = "all every throughout entire any always never".split()

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from quillmill.functions import refdata as R
 from quillmill.functions import text as T
 from quillmill.operators import corpus as C
+from quillmill.operators import ordinals
 from quillmill.operators import planning as P
 from quillmill.plans.views import sql_jaccard, sql_list, sql_set, sql_tokens, table
 
@@ -239,8 +240,7 @@ def first_seen_canonical(spark, d):
 
 @query("WITH s AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS a FROM supplier), g AS (SELECT s_suppkey, a, unnest([1, 2, 3, 4]) AS tier FROM s), v AS (SELECT *, unnest(range(1, 6)) AS variant FROM g) SELECT s_suppkey, tier, variant::INTEGER AS variant, substring('BCADCADBCADACBDCBDAB', ((a * 20 + (tier - 1) * 5 + variant - 1) % 20 + 1)::INTEGER, 1) AS letter FROM v")
 def position_cycle(spark, d):
-    # suppliers are the anchors: their order is global, and there are few of them
-    s = table(spark, d, "supplier").select("s_suppkey", P.ordinal(F.col("s_suppkey")).alias("a"))
+    s = ordinals.with_ordinal(table(spark, d, "supplier").select("s_suppkey"), "s_suppkey", name="a")
     return P.task_grid(s, 5).select("s_suppkey", "tier", "variant", P.answer_position(F.col("a"), F.col("tier"), F.col("variant")).alias("letter"))
 
 
