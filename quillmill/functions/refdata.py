@@ -65,6 +65,12 @@ PAIR_PATTERNS = {
     "distinguish_x_from_y": r"(?i)\bdistinguish\s+([a-z][a-z0-9_-]+)\s+from\s+([a-z][a-z0-9_-]+)\b",
     "between_x_and_y": r"(?i)\bbetween\s+([a-z][a-z0-9_-]+)\s+and\s+([a-z][a-z0-9_-]+)\b",
 }
+#: Terms that make no pair: directions and sizes, and words too general.
+DIRECTIONAL_NOISE = "more less higher lower greater smaller increase decrease increased decreased rise fall rises falls rising falling elevated reduced above below before after early late first second best worst good bad better worse".split()
+GENERIC_NOISE = (
+    "this that these those the a an one two many few all some none any every such other another not no yes if when where why how "
+    "type kind form way method approach person people patient client subject is be have do can will may should are was were been being"
+).split()
 ELABORATION = {"parens": r"\([^)]+\)", "semicolons": ";", "dashes": "—|--", "ie_eg": r"(?i)\b(?:i\.?e\.?|e\.?g\.?)\b"}
 
 # Verbs.

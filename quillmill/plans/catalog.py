@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.plans import authoring, flows, items, more, relational
+from quillmill.plans import authoring, flows, items, more, records, relational
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return relational.QUERIES | items.QUERIES | more.QUERIES | authoring.QUERIES | flows.QUERIES
+    return relational.QUERIES | items.QUERIES | more.QUERIES | authoring.QUERIES | flows.QUERIES | records.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return relational.ORACLES | items.ORACLES | more.ORACLES | authoring.ORACLES | flows.ORACLES
+    return relational.ORACLES | items.ORACLES | more.ORACLES | authoring.ORACLES | flows.ORACLES | records.ORACLES

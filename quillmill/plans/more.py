@@ -89,9 +89,7 @@ def stream_latest_event(spark, d):
         files.append_events(log.where(F.col("event_id") % 2 == half).coalesce(1), f"{path}/log")
     stream = streams.read_log(spark, f"{path}/log", log.schema, 1)
     streams.keep_latest(stream, ["user_id"], "event_id", f"{path}/table", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
-    versions = spark.read.parquet(f"{path}/table")
-    last = versions.agg(F.max("version")).first()[0]
-    return versions.where(F.col("version") == last).select("user_id", "event", "event_id")
+    return streams.latest(spark, f"{path}/table", log.schema)
 
 
 @query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
+from pyspark.sql.window import Window
 
 from quillmill.functions import refdata as R
 
@@ -35,13 +36,55 @@ def scan_csv(spark: SparkSession, path: str, schema: t.StructType, key: str | No
     return placed.groupBy(key).agg(F.max_by(F.struct(*rest), "__at").alias("r")).select(key, "r.*").select(*rows.columns)
 
 
-def scan_positional(spark: SparkSession, path: str, preamble: int, least_fields: int, ordinals: dict[str, int]) -> DataFrame:
-    """CSV by position: the first lines of each file are skipped, short rows dropped, values trimmed."""
-    schema = t.StructType([t.StructField(f"c{i}", t.StringType()) for i in range(max(least_fields, max(ordinals.values()) + 1))])
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("at", "line")).where(F.col("at") >= preamble)
-    fields = F.from_csv("line", schema.simpleString()[7:-1].replace(":", " ").replace(",", ", "), {"mode": "PERMISSIVE"})
-    wide = lines.select("at", F.size(F.split(F.regexp_replace("line", '"[^"]*"', "x"), ",")).alias("n"), fields.alias("r")).where(F.col("n") >= least_fields)
-    return wide.select("at", *(F.trim(F.col(f"r.c{i}")).alias(name) for name, i in ordinals.items()))
+def scan_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file_path, at (the line's number in its file, from 0), line.
+
+    Files are split as Spark likes.  A line's number is its place in its split plus the lines of the file's splits
+    before; what meets in one place is a count for each split."""
+    raw = spark.read.text(path).select("value", "_metadata.file_path", F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"))
+    splits = raw.groupBy("file_path", "start").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy("file_path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("file_path", "start", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    return raw.join(offsets, ["file_path", "start"]).select("file_path", (F.col("id") + F.col("shift")).alias("at"), F.col("value").alias("line"))
+
+
+def scan_positional(spark: SparkSession, path: str, preamble: int, least_fields: int, ordinals: dict[str, int], with_file: bool = False) -> DataFrame:
+    """at and the named fields (and file_path) of CSV by position: the first lines of each file are skipped, short rows dropped,
+    values trimmed (S03, S04).  A row is a line: quoted fields hold no line feed."""
+    schema = ", ".join(f"c{i} string" for i in range(max(least_fields, max(ordinals.values()) + 1)))
+    lines = scan_lines(spark, path).where(F.col("at") >= preamble)
+    wide = lines.withColumn("n", F.size(F.split(F.regexp_replace("line", '"[^"]*"', "x"), ","))).where(F.col("n") >= least_fields).withColumn("r", F.from_csv("line", schema, {"mode": "PERMISSIVE"}))
+    return wide.select(*["file_path"] * with_file, "at", *(F.trim(F.col(f"r.c{i}")).alias(name) for name, i in ordinals.items()))
+
+
+def grouped_chapters(anchors: DataFrame, keys: list[str], title: str, fields: list[str]) -> DataFrame:
+    """A row for each chapter: its anchors in the order of files and lines, their number, and the title on its last line."""
+    place = F.struct("file_path", "at")
+    told = anchors.groupBy(*keys).agg(F.max_by(title, place).alias(title), F.count("*").alias("n_anchors"), F.array_sort(F.collect_list(F.struct(place.alias("place"), *fields))).alias("anchors"))
+    return told.withColumn("anchors", F.transform("anchors", lambda a: a.dropFields("place")))
+
+
+def scan_questions(spark: SparkSession, path: str, schema: t.StructType, sidecars: tuple[str, ...] = R.COVERAGE_SIDECARS, glob: str = "*.json") -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine) of JSON files (S06-S09): a list of questions, {"questions": list}, or a mapping whose
+    values are questions.
+
+    rows: file_path, at, key (of a mapping, whose entries come in the order of their keys; else null) and the schema's fields; a field of
+    another type is null.  quarantine: file_path, at, reason: unreadable (no JSON), shape (neither list nor
+    mapping), not_a_question (an entry that is no object, at its place).  Sidecars are not read.  A file is one row
+    while it is parsed, so it has to fit one.
+    """
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob).select("value", "_metadata.file_path")
+    name = F.lower(F.element_at(F.split("file_path", "/"), -1))
+    kept = files.where(~name.rlike("|".join(sidecars))) if sidecars else files
+    parsed = kept.select("file_path", F.try_parse_json("value").alias("v"))
+    inner = F.try_variant_get("v", "$.questions", "variant")
+    kind = lambda v: F.substring_index(F.schema_of_variant(v), "<", 1)
+    listed = parsed.withColumn("v", F.when((kind(F.col("v")) == "OBJECT") & (kind(inner) == "ARRAY"), inner).otherwise(F.col("v"))).withColumn("kind", kind(F.col("v")))
+    readable = listed.where(F.col("kind").isin("ARRAY", "OBJECT"))
+    entries = readable.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select("file_path", F.col("pos").alias("at"), "key", F.col("value").alias("q")).withColumn("is_object", F.coalesce(kind(F.col("q")) == "OBJECT", F.lit(False)))
+    rows = entries.where("is_object").select("file_path", "at", "key", *(F.try_variant_get("q", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields))
+    broken = listed.where(~F.coalesce(F.col("kind").isin("ARRAY", "OBJECT"), F.lit(False))).select("file_path", F.lit(None).cast("int").alias("at"), F.when(F.col("v").isNull(), "unreadable").otherwise("shape").alias("reason"))
+    return rows, broken.unionByName(entries.where("not is_object").select("file_path", "at", F.lit("not_a_question").alias("reason")))
 
 
 def scan_json_documents(spark: SparkSession, path: str, schema: t.StructType, sidecars: tuple[str, ...] = R.COVERAGE_SIDECARS) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import types as t
 from pyspark.sql.streaming import DataStreamWriter
 
 from quillmill.operators.corpus import last_event
+from quillmill.sources.versions import Versions
 
 
 def read_log(spark: SparkSession, path: str, schema: t.StructType, files_per_trigger: int = 100) -> DataFrame:
@@ -17,22 +18,40 @@ def read_log(spark: SparkSession, path: str, schema: t.StructType, files_per_tri
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(path)
 
 
-def keep_latest(stream: DataFrame, keys: list[str], ord_col: str, table: str, checkpoint: str) -> DataStreamWriter:
-    """The last event of each key in a Parquet table, merged batch by batch (R2).
+def keep_latest(stream: DataFrame, keys: list[str], ord_col: str, table: str, checkpoint: str, buckets: int = 64) -> DataStreamWriter:
+    """The last event of each key in a table, merged batch by batch (R2); read it by `latest`.
 
-    Each batch writes a new version beside the old one and then names it, so a
-    batch that is run again gives the same table.
+    Keys are hashed to buckets.  A batch rewrites the buckets that it has rows for and no others; a
+    manifest, a row for each bucket, names the version in which each was written last.  Version n is made from version n - 1, so
+    a batch that is run again gives the same table, and a missing version is an error, not a new beginning.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        spark, rows = batch.sparkSession, batch
-        if number and _exists(spark, f"{table}/version={number - 1}"):
-            rows = rows.unionByName(spark.read.parquet(f"{table}/version={number - 1}"))
-        last_event(rows, keys, ord_col).write.mode("overwrite").parquet(f"{table}/version={number}")
+        spark = batch.sparkSession
+        manifest, data = Versions(spark, f"{table}/manifest"), f"{table}/data"
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        rows = new = last_event(batch, keys, ord_col).select(*batch.columns).withColumn("bucket", bucket).persist()  # read for its buckets and for its rows
+        held = manifest.read(number - 1) if number else spark.createDataFrame([], "bucket int, version int")
+        touched = {r["bucket"] for r in rows.select("bucket").distinct().collect()}  # at most `buckets` numbers
+        paths = [f"{data}/version={r['version']}/bucket={r['bucket']}" for r in held.collect() if r["bucket"] in touched]
+        if paths:
+            old = spark.read.schema(batch.schema).parquet(*paths).withColumn("bucket", bucket)
+            rows = last_event(rows.unionByName(old), [*keys, "bucket"], ord_col).select(*rows.columns)
+        rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{data}/version={number}")
+        new.unpersist()
+        told = spark.createDataFrame([(b, number) for b in sorted(touched)], "bucket int, version int")
+        manifest.replace(number, held.where(~F.col("bucket").isin(*touched) if touched else F.lit(True)).unionByName(told).coalesce(1))
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
 
 
+def latest(spark: SparkSession, table: str, schema: t.StructType) -> DataFrame:
+    """What `keep_latest` has kept: of each bucket the version that the newest manifest names."""
+    manifest = Versions(spark, f"{table}/manifest").current()
+    paths = [] if manifest is None else [f"{table}/data/version={r['version']}/bucket={r['bucket']}" for r in manifest.collect()]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
