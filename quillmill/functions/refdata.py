@@ -103,6 +103,11 @@ KEYWORD_LIMIT = {1: 5, 2: 4, 3: 3, 4: 3}
 REALM_GAP = {1: 0.5, 2: 0.4, 3: 0.3, 4: 0.25}
 OVERRIDE_THRESHOLD = {1: 0.75, 2: 0.75, 3: 0.85, 4: 0.95}
 
+# What a record's fields may hold: kinds of misconceptions, the levels of a tier's distractors, terms too general to be technical.
+MISCONCEPTION_TYPES = "similar_name similar_property similar_store opposite_direction overgeneralization partial_understanding".split()
+DISTRACTOR_MIX = {1: (1, 2, 3), 2: (1, 2, 3), 3: (2, 3, 4), 4: (3, 4, 4)}
+GENERAL_TERMS = "system process concept general model theory approach method function factor".split()
+
 # Instruments and the ages they cover, in years.
 INSTRUMENT_AGES = {"wppsi-iv": (2.5, 7.58), "wppsi": (2.5, 7.58), "wisc-v": (6.0, 16.92), "wisc": (6.0, 16.92), "wais-iv": (16.0, 90.92), "wais": (16.0, 90.92), "wiat-iii": (4.0, 50.92), "wiat": (4.0, 50.92)}
 

@@ -125,24 +125,30 @@ def originality(source: Column) -> Gate:
     return verdict(F.coalesce(share, F.lit(0.0)) >= 0.5, "originality: copied", share)
 
 
-def topic_realm() -> Gate:
-    """The answer shares far more words with the stem than the distractors do."""
-    realm = T.token_set(F.col("question_stem"), 4, R.FULL_STOP)
-    share = lambda t: F.size(F.array_intersect(T.token_set(t, 4, R.FULL_STOP), realm)) / F.size(T.token_set(t, 4, R.FULL_STOP))
-    valid = F.filter(distractors(), lambda t: F.size(T.token_set(t, 4, R.FULL_STOP)) >= 5)
-    mean = F.aggregate(F.transform(valid, share), F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(valid), F.lit(0))
-    usable = (F.size(realm) >= 3) & (F.size(T.token_set(correct(), 4, R.FULL_STOP)) >= 5) & (F.size(valid) >= 3) & ~F.col("question_stem").rlike(R.EXCEPT_GATE)
-    gap = F.when(usable, share(correct()) - mean)
-    return verdict((mean < 0.5) & (gap >= by_tier(R.REALM_GAP, 0.25)), "topic_realm: gap", gap)
-
-
-def stem_keywords() -> Gate:
-    """Stem words that only the correct option repeats."""
+def topic_realm(terms: Column | None = None) -> Gate:
+    """The answer shares far more words with the stem, and with the brief's lower-case terms, than the distractors do."""
+    words = lambda t: T.token_set(t, 4, R.FULL_STOP)
+    sets = F.struct((words(F.col("question_stem")) if terms is None else F.array_union(terms, words(F.col("question_stem")))).alias("realm"), words(correct()).alias("own"), F.filter(F.transform(distractors(), words), lambda s: F.size(s) >= 5).alias("valid"))
+
+    def of(x: Column) -> Gate:
+        share = lambda s: F.size(F.array_intersect(s, x.realm)) / F.nullif(F.size(s), F.lit(0))
+        mean = F.aggregate(F.transform(x.valid, share), F.lit(0.0), lambda a, y: a + y) / F.nullif(F.size(x.valid), F.lit(0))
+        usable = (F.size(x.realm) >= 3) & (F.size(x.own) >= 5) & (F.size(x.valid) >= 3) & ~F.col("question_stem").rlike(R.EXCEPT_GATE)
+        return T.bound(F.struct(mean.alias("mean"), F.when(usable, share(x.own) - mean).alias("gap")), lambda m: verdict((m.mean < 0.5) & (m.gap >= by_tier(R.REALM_GAP, 0.25)), "topic_realm: gap", m.gap))
+
+    return T.bound(sets, of)
+
+
+def stem_keywords(canonical: Column | None = None) -> Gate:
+    """Stem words that only the correct option repeats; from tier 3 on only those of the
+    canonical terms, if there are any (G17)."""
     floor = by_tier(R.STEM_KEYWORD_FLOOR, 7)
     texts = F.transform(distractors(), F.lower)
     own = F.filter(T.token_set(F.col("question_stem"), 5, R.FULL_STOP), lambda w: (F.length(w) >= floor) & F.contains(F.lower(correct()), w) & ~T.appears_in(w, texts))
-    own = F.when(F.col("difficulty_tier") >= 3, F.filter(own, lambda w: ~w.isin(*R.GENERIC_WORDS))).otherwise(own)
-    return verdict((F.size(own) >= by_tier(R.STEM_KEYWORD_LIMIT, 2)) & ~F.col("question_stem").rlike(R.EXCEPT_GATE), "stem_keyword_distribution: only in correct", F.size(own))
+    strict = F.filter(own, lambda w: ~w.isin(*R.GENERIC_WORDS))
+    strict = strict if canonical is None else T.bound(canonical, lambda c: F.when(F.size(c) > 0, F.array_intersect(strict, c)).otherwise(strict))
+    own = F.when(F.col("difficulty_tier") >= 3, strict).otherwise(own)
+    return T.bound(own, lambda k: verdict((F.size(k) >= by_tier(R.STEM_KEYWORD_LIMIT, 2)) & ~F.col("question_stem").rlike(R.EXCEPT_GATE), "stem_keyword_distribution: only in correct", F.size(k)))
 
 
 def answer_keywords() -> Gate:
