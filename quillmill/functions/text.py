@@ -211,6 +211,8 @@ def specific_case(stem: Column) -> Column:
 
 
 def replace_word(text: Column, old: str, new: str) -> Column:
-    """Whole words, an initial capital kept."""
-    capital = F.regexp_replace(text, rf"\b{old[0].upper()}\Q{old[1:]}\E\b", new[0].upper() + new[1:])
-    return F.regexp_replace(capital, rf"(?i)\b\Q{old}\E\b", new)
+    """Whole words in any case; where the first letter is a capital, the new word's is too."""
+    word = lambda first: rf"\b{first}(?i:\Q{old[1:]}\E)\b" if len(old) > 1 else rf"\b{first}\b"
+    if not old[0].isalpha():
+        return F.regexp_replace(text, rf"(?i)\b\Q{old}\E\b", new)
+    return F.regexp_replace(F.regexp_replace(text, word(old[0].upper()), new[0].upper() + new[1:]), word(old[0].lower()), new)

@@ -78,3 +78,58 @@ def truncated(text: Column, most: int, head: int, tail: int) -> Column:
 def rendered(options: str = "options") -> Column:
     """Options as lines of a prompt."""
     return F.array_join(F.transform(options, lambda o: F.concat(o.letter, F.lit(") "), o.text)), "\n")
+
+
+# The columns of the export, in order.
+EXPORT_COLUMNS = (
+    "question_id question_type domain_code domain_id domain_name chapter_num chapter_title chapter_file section_title chapter_uuid anchor_uuid anchor_label "
+    "difficulty_tier difficulty_label blooms_primary blooms_secondary stem_pattern source_type variant question_stem option_a option_b option_c option_d correct_answer "
+    "explanation_a explanation_b explanation_c explanation_d tested_concept_id tested_concept_label knowledge_tested anchor_uid anchor_point_id_v2 anchor_content_summary "
+    "flashcard_concept_front flashcard_concept_back flashcard_comparison_front flashcard_comparison_back flashcard_nuance_front flashcard_nuance_back "
+    "distractor_1_letter distractor_1_level distractor_1_misconception_type distractor_2_letter distractor_2_level distractor_2_misconception_type "
+    "distractor_3_letter distractor_3_level distractor_3_misconception_type distractor_1_concept_id distractor_1_misconception_id distractor_1_confused_with "
+    "distractor_2_concept_id distractor_2_misconception_id distractor_2_confused_with distractor_3_concept_id distractor_3_misconception_id distractor_3_confused_with "
+    "generation_batch generated_by testable_fact"
+).split()
+#: Columns that a record has under their own names.
+PLAIN_COLUMNS = (
+    "question_id domain_code domain_name chapter_title chapter_file section_title chapter_uuid anchor_uuid anchor_label difficulty_tier difficulty_label "
+    "blooms_primary blooms_secondary stem_pattern source_type variant question_stem generation_batch generated_by"
+).split()
+
+
+def wide_export(records: DataFrame, anchors: DataFrame, domain_ids: dict[str, int] | None = None) -> DataFrame:
+    """A record as 62 columns of text, missing values empty.
+
+    records: the plain columns, question_type, correct_answer_letter, options (letter, text, is_correct, explanation, distractor_level,
+    misconception_type, concept_id, misconception_id, confused_with), tested_concept, anchor_uids, anchor_point_ids_v2,
+    anchor_content_summaries (arrays; the first counts), flashcard_seeds (a map of front and back).  anchors: uid,
+    chapter_num, testable_fact, one row for each uid; they come from here, not from the record (J2).  Columns that a record lacks are empty.
+    """
+    known = set(records.columns)
+    text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    plain = lambda name: text(F.col(name)) if name in known else F.lit("")
+    head = lambda name: text(F.get(name, F.lit(0))) if name in known else F.lit("")
+    wrong = F.filter("options", lambda o: ~F.coalesce(o.is_correct, F.lit(False)))
+    first = records.withColumn("__uid", head("anchor_uids"))
+    joined = first.join(anchors.select(F.col("uid").alias("__uid"), F.col("chapter_num").alias("__chapter"), F.col("testable_fact").alias("__fact")), "__uid", "left")
+    ids = F.create_map(*(F.lit(x) for pair in (domain_ids or {"": ""}).items() for x in map(str, pair)))
+    columns = {name: plain(name) for name in PLAIN_COLUMNS} | {
+        "question_type": F.coalesce("question_type", F.lit("single_choice")) if "question_type" in known else F.lit("single_choice"), "domain_id": text(F.try_element_at(ids, plain("domain_code"))),
+        "correct_answer": plain("correct_answer_letter"), "chapter_num": text(F.col("__chapter")), "testable_fact": text(F.col("__fact")), "anchor_uid": F.col("__uid"),
+        "anchor_point_id_v2": head("anchor_point_ids_v2"), "anchor_content_summary": head("anchor_content_summaries"),
+        "tested_concept_id": text(F.col("tested_concept.concept_id")), "tested_concept_label": text(F.col("tested_concept.concept_label")), "knowledge_tested": text(F.col("tested_concept.knowledge_tested")),
+    }
+    for letter in "ABCD":
+        columns |= {f"option_{letter.lower()}": by_letter(letter, "text"), f"explanation_{letter.lower()}": by_letter(letter, "explanation")}
+    for kind in ("concept", "comparison", "nuance"):
+        columns |= {f"flashcard_{kind}_{side}": text(F.try_element_at("flashcard_seeds", F.lit(kind))[side]) for side in ("front", "back")}
+    for i in range(3):
+        own = F.get(wrong, F.lit(i))
+        columns |= {f"distractor_{i + 1}_{name}": text(own[field]) for name, field in (("letter", "letter"), ("level", "distractor_level"), ("misconception_type", "misconception_type"), ("concept_id", "concept_id"), ("misconception_id", "misconception_id"), ("confused_with", "confused_with"))}
+    return joined.select(*(columns[name].alias(name) for name in EXPORT_COLUMNS))
+
+
+def appended(existing: DataFrame, new: DataFrame) -> DataFrame:
+    """The rows that are there and the new ones whose id is not (S16): earlier rows are never changed."""
+    return existing.select(*EXPORT_COLUMNS).unionByName(new.join(existing.select("question_id").distinct(), "question_id", "left_anti").select(*EXPORT_COLUMNS))
