@@ -501,13 +501,15 @@ def similarity_classes(docs: DataFrame, *, n: int = 5, percent: int = 75, id_col
 def keep_one_of_each_class(docs: DataFrame, *, n: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs whose id is the smallest of its class, all their columns.
 
-    Of rows with the same id one stays.  Rows with a null id, which no class can
-    be named after, stay.
+    Of rows with the same id one stays, that whose columns as JSON come first.
+    Rows with a null id, which no class can be named after, stay.
     """
     classes = durable(similarity_classes(docs, n=n, percent=percent, id_col=id_col, text_col=text_col))
     gone = classes.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
-    if classes.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty():
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    kept = docs.join(gone, id_col, "left_anti").select(*names)
+    twice = classes.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
+    if twice.isEmpty():
         return kept
-    nulls = kept.where(F.col(id_col).isNull())
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(nulls)
+    one = kept.join(twice, id_col, "left_semi").groupBy(id_col).agg(F.min_by(F.struct(*names), F.to_json(F.struct(*names))).alias("row")).select("row.*")
+    return kept.join(twice, id_col, "left_anti").select(*names).unionByName(one.select(*names))

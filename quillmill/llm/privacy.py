@@ -307,8 +307,9 @@ def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """docs with the spans of :func:`find_private` replaced in the text; every
     row and column stays, a null text too."""
     found = find_private(docs, id_col=id_col, text_col=text_col, **thresholds).where(F.size("spans") > 0)
-    plans = found.groupBy("text_key").agg(F.first("spans").alias("__spans"))  # equal texts have equal spans
-    keyed = docs.withColumn("__key", text_key(text_col))
+    key, known, spans = (unlike(name, docs.columns) for name in ("key", "known", "spans"))
+    plans = found.groupBy(F.col("text_key").alias(known)).agg(F.first("spans").alias(spans))  # equal texts have equal spans
+    keyed = docs.withColumn(key, text_key(text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -319,9 +320,15 @@ def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             columns[at] = pa.array(new, pa.string())
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
-    schema = docs.schema
-    joined = keyed.join(plans, keyed["__key"] == plans["text_key"], "left").drop("__key", "text_key")
-    return joined.select(*docs.columns, "__spans").mapInArrow(run, schema)
+    joined = keyed.join(plans, F.col(key) == F.col(known), "left")
+    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), spans).mapInArrow(run, docs.schema)
+
+
+def unlike(name: str, taken: list[str]) -> str:
+    """name, with underscores before it until no column is called so."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = f"_{name}"
+    return name
 
 
 def text_key(text_col: str) -> Column:
