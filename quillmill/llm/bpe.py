@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quillmill.llm.arrow_text import text_slices
+from quillmill.llm.arrow_text import text_slices, tidy
 
 #: Entries after which the memo is emptied; one takes about 200 bytes.
 WORD_MEMO = 300_000
@@ -257,9 +257,13 @@ class TextEncoder:
         bounds = np.concatenate([[0], until])[ends] * 4
         return [flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
+    def forget(self) -> None:
+        """Drops the words that are remembered; a worker's next task may be of another kind."""
+        self.memo = {"": b""}
+
     def encode(self, texts: pa.Array) -> list[bytes]:
         if len(self.memo) > WORD_MEMO:
-            self.memo = {"": b""}
+            self.forget()
         texts = texts.fill_null("")
         odd = pc.match_substring_regex(texts, _WIDE)
         if self.special_lead is not None:
@@ -339,5 +343,6 @@ def encode_documents(docs: DataFrame, path: str, *, id_col: str = "doc_id", text
                 decoded = pa.array(decoder.decode(packed), pa.binary()).cast(pa.string())
                 counts = pa.array([len(p) // 4 for p in packed], pa.int64())
                 yield pa.RecordBatch.from_arrays([ids, counts, pa.array(packed, pa.binary()), decoded], [id_col, "n_tokens", "ids", "decoded"])
+        encoder.forget()
 
-    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(run, f"`{id_col}` {kind}, n_tokens bigint, ids binary, decoded string")
+    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(tidy(run), f"`{id_col}` {kind}, n_tokens bigint, ids binary, decoded string")

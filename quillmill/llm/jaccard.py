@@ -49,7 +49,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.arrow_text import text_slices
+from quillmill.llm.arrow_text import text_slices, tidy
 from quillmill.llm.components import connected_components
 from quillmill.llm.durable import durable
 
@@ -63,8 +63,8 @@ FREQUENT = 24
 STAR = 3
 LIST_BLOCK = 256
 #: Hashes that a task gathers before it sends them, and about how many a hash range holds.
-GATHERED = 3_000_000
-RANGE = 8_000_000
+GATHERED = 2_000_000
+RANGE = 3_000_000
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
 
@@ -239,7 +239,7 @@ def frequency_maps(sets: DataFrame, ranges: Ranges, bits: int) -> tuple[Maps, fl
         rest = times[times <= FREQUENT].astype(np.float64)
         return pd.DataFrame({"r": [group["r"].iloc[0]], "repeated": [marked(every[edges[times > 1]])], "frequent": [marked(every[edges[times > FREQUENT]])], "total": [rest.sum()], "squares": [(rest**2).sum()]})
 
-    counted = sets.mapInArrow(gather, "r int, blob binary").groupBy("r").applyInPandas(count, "r int, repeated binary, frequent binary, total double, squares double")
+    counted = sets.mapInArrow(tidy(gather), "r int, blob binary").groupBy("r").applyInPandas(count, "r int, repeated binary, frequent binary, total double, squares double")
     total = squares = 0.0
     # Slices of maps of bounded size, PART_BYTES a job; written first, so that few jobs don't mean few tasks.
     for row in durable(counted).coalesce(1 + (2 << bits) // 8 // PART_BYTES).toLocalIterator():
@@ -360,7 +360,7 @@ def candidates(sets: DataFrame, percent: int, maps: Broadcast, small: int, range
         out = [pd.DataFrame({"list": pd.array([None] * pairs.shape[1], "Int64"), "a": pairs[0], "b": pairs[1], "size": 0, "at": 0}), *long_rows]
         return pd.concat(out, ignore_index=True).astype({"list": "Int64"})
 
-    blobs = sets.mapInArrow(send, "r int, places binary, nodes binary, sizes binary, ats binary")
+    blobs = sets.mapInArrow(tidy(send), "r int, places binary, nodes binary, sizes binary, ats binary")
     return blobs.groupBy("r").applyInPandas(match, "list bigint, a bigint, b bigint, size bigint, at bigint")
 
 
@@ -400,7 +400,7 @@ def node_sets(sets: DataFrame, wanted: DataFrame, maps: Broadcast) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["node", "size", "elements"])
 
-    return sets.mapInArrow(send, "node bigint, size bigint, elements binary").groupBy("node").agg(F.first("size").alias("size"), F.first("elements").alias("elements"))
+    return sets.mapInArrow(tidy(send), "node bigint, size bigint, elements binary").groupBy("node").agg(F.first("size").alias("size"), F.first("elements").alias("elements"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -417,7 +417,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     first = pairs.join(sets.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("elements").alias("eb")), "b")
     both = first.join(sets.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("elements").alias("ea")), "a")
-    return both.select("a", "b", "ea", "eb", (F.col("na") + F.col("nb")).alias("total")).mapInArrow(check, "a bigint, b bigint")
+    return both.select("a", "b", "ea", "eb", (F.col("na") + F.col("nb")).alias("total")).mapInArrow(tidy(check), "a bigint, b bigint")
 
 
 def hashed_sets(texts: DataFrame, id_type: str, n: int) -> DataFrame:
@@ -430,7 +430,7 @@ def hashed_sets(texts: DataFrame, id_type: str, n: int) -> DataFrame:
                 columns = [ids, pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "node", "n_shingles", "elements"])
 
-    return texts.mapInArrow(tell, f"id {id_type}, node bigint, n_shingles bigint, elements binary")
+    return texts.mapInArrow(tidy(tell), f"id {id_type}, node bigint, n_shingles bigint, elements binary")
 
 
 def pairs_of_lists(rows: DataFrame, percent: int) -> DataFrame:

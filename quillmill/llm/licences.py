@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.arrow_text import text_slices
+from quillmill.llm.arrow_text import text_slices, tidy
 
 # The phrases whose places are counted, with their labels.
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -215,4 +215,4 @@ def scan_licences(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                 yield pa.RecordBatch.from_arrays([ids, words, pa.array(spans, pa.list_(span)), pa.array(scores, pa.float64()), pa.array(permissive, pa.float64())], [id_col, "n_words", "spans", "score", "permissive"])
 
     out = f"`{id_col}` {kind}, n_words bigint, spans array<struct<kind:string,label:string,first_word:bigint,last_word:bigint>>, score double, permissive double"
-    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(run, out)
+    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(tidy(run), out)

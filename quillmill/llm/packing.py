@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.arrow_text import text_slices
+from quillmill.llm.arrow_text import text_slices, tidy
 from quillmill.llm.bpe import text_encoder
 
 #: Ids (4 bytes each) that wait in a task before its buffer is packed.
@@ -172,5 +172,6 @@ def pack_documents(docs: DataFrame, path: str, *, capacity: int = 2048, end_id:
         packer.finish()
         if arrow_kind is not None:
             yield from packer.taken(names, arrow_kind)
+        encoder.forget()
 
-    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(run, f"`{id_col}` {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")
+    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(tidy(run), f"`{id_col}` {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.arrow_text import numbered_words, text_slices
+from quillmill.llm.arrow_text import numbered_words, text_slices, tidy
 from quillmill.llm.durable import durable
 from quillmill.llm.jaccard import Maps, node_map
 
@@ -156,7 +156,7 @@ def detect(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
                 columns = [ids, pa.array(keys, pa.int64()), pa.array(spans, span), pa.array(classes, classed), pa.array(terms, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(columns, [id_col, "text_key", "spans", "classes", "terms"])
 
-    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(run, f"`{id_col}` {kind}, text_key bigint, spans {_SPAN}, classes {_CLASS}, terms array<string>")
+    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(tidy(run), f"`{id_col}` {kind}, text_key bigint, spans {_SPAN}, classes {_CLASS}, terms array<string>")
 
 
 def marked(keys: DataFrame):
@@ -211,8 +211,8 @@ def term_documents(docs: DataFrame, detected: DataFrame, *, text_col: str = "tex
 
         return run
 
-    met = texts.mapInArrow(gather, "a bigint, text string").dropDuplicates(["a"])
-    found = texts.mapInArrow(counting(True), "term string, df bigint").unionByName(met.mapInArrow(counting(False), "term string, df bigint"))
+    met = texts.mapInArrow(tidy(gather), "a bigint, text string").dropDuplicates(["a"])
+    found = texts.mapInArrow(tidy(counting(True)), "term string, df bigint").unionByName(met.mapInArrow(tidy(counting(False)), "term string, df bigint"))
     return found.groupBy("term").agg(F.sum("df").alias("df"))
 
 
@@ -261,7 +261,7 @@ def mentions(docs: DataFrame, terms: DataFrame, *, text_col: str = "text") -> Da
                 columns = [keys.take(pa.array(doc[at], pa.int64())), pa.array([names[k] for k in term[at].tolist()], pa.string()), pa.array(start[at], pa.int64()), pa.array(stop[at], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["text_key", "term", "start", "stop"])
 
-    return docs.select(text_key(text_col), F.coalesce(F.col(text_col).cast("string"), F.lit(""))).mapInArrow(run, "text_key bigint, term string, start bigint, stop bigint")
+    return docs.select(text_key(text_col), F.coalesce(F.col(text_col).cast("string"), F.lit(""))).mapInArrow(tidy(run), "text_key bigint, term string, start bigint, stop bigint")
 
 
 def find_private(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **thresholds) -> DataFrame:
@@ -321,7 +321,7 @@ def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
     joined = keyed.join(plans, F.col(key) == F.col(known), "left")
-    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), spans).mapInArrow(run, docs.schema)
+    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), spans).mapInArrow(tidy(run), docs.schema)
 
 
 def unlike(name: str, taken: list[str]) -> str:

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.arrow_text import slices, text_slices
+from quillmill.llm.arrow_text import slices, text_slices, tidy
 from quillmill.llm.labelled import labelled_sample, unique_texts
 
 #: Labelled texts used for fitting at most.
@@ -224,7 +224,7 @@ def score_quality(docs: DataFrame, model: GatedAttention, *, id_col: str = "doc_
             for ids, texts in text_slices(batch):
                 yield pa.RecordBatch.from_arrays([ids, pa.array(shared.value.score(texts.fill_null("")), pa.float64())], [id_col, "score"])
 
-    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(run, f"`{id_col}` {kind}, score double")
+    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(tidy(run), f"`{id_col}` {kind}, score double")
 
 
 def keep_good(docs: DataFrame, model: GatedAttention, *, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
@@ -240,4 +240,4 @@ def keep_good(docs: DataFrame, model: GatedAttention, *, threshold: float = 0.7,
                 yield batch.slice(done, len(rows)).filter(pa.array(scores >= threshold))
                 done += len(rows)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

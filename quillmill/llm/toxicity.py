@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.arrow_text import numbered_words, slices, text_slices
+from quillmill.llm.arrow_text import numbered_words, slices, text_slices, tidy
 from quillmill.llm.labelled import labelled_sample, unique_texts
 
 #: Labelled texts used for fitting at most, and lexicon entries kept at most.
@@ -404,7 +404,7 @@ def score_toxicity(docs: DataFrame, grammar: Grammar, *, id_col: str = "doc_id",
             for ids, texts in text_slices(batch):
                 yield pa.RecordBatch.from_arrays([ids, pa.array(shared.value.score_slice(texts.fill_null("")), pa.float64())], [id_col, "score"])
 
-    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(run, f"`{id_col}` {kind}, score double")
+    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(tidy(run), f"`{id_col}` {kind}, score double")
 
 
 def keep_clean(docs: DataFrame, grammar: Grammar, *, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
@@ -420,4 +420,4 @@ def keep_clean(docs: DataFrame, grammar: Grammar, *, threshold: float = 0.5, tex
                 yield batch.slice(done, len(rows)).filter(pa.array(scores < threshold))
                 done += len(rows)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
