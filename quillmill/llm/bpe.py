@@ -343,6 +343,5 @@ def encode_documents(docs: DataFrame, path: str, *, id_col: str = "doc_id", text
                 decoded = pa.array(decoder.decode(packed), pa.binary()).cast(pa.string())
                 counts = pa.array([len(p) // 4 for p in packed], pa.int64())
                 yield pa.RecordBatch.from_arrays([ids, counts, pa.array(packed, pa.binary()), decoded], [id_col, "n_tokens", "ids", "decoded"])
-        encoder.forget()
 
     return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(tidy(run), f"`{id_col}` {kind}, n_tokens bigint, ids binary, decoded string")
