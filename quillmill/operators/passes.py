@@ -140,3 +140,34 @@ def with_empty(chapters: DataFrame, known: DataFrame) -> DataFrame:
     all_of_them = known.select("chapter").distinct().join(chapters, "chapter", "left")
     zeros = {c: F.coalesce(c, F.lit(0)) for c in ("n_questions", "caught", "remaining", "n_soft", "fixes_applied", "fixes_failed", "parse_errors")}
     return all_of_them.withColumns({"status": F.coalesce("status", F.lit("empty"))} | zeros)
+
+
+#: Counts of a manifest's chapters: column, name of its sum, name of the number of chapters that have any (if that is told).
+SUMMED = [
+    ("caught", "english_gap_caught", None), ("remaining", "english_gap_remaining", None), ("n_soft", "soft_flag_total", "chapters_with_soft_flag"), ("schema_overrides", "schema_labeling_overrides_total", "chapters_with_schema_labeling_override"),
+    ("gap_overrides", "english_gap_overrides_total", "chapters_with_english_gap_override"), ("scanner_flags", "scanner_flags_total", "chapters_with_scanner_flag"), ("scanner_disagreements", "scanner_audit_disagreement_total", None),
+    ("fixes_applied", "fixes_applied", None), ("fixes_failed", "fixes_failed", None), ("editorial_clean", "editorial_total_clean", None), ("editorial_minor", "editorial_total_minor", None),
+    ("editorial_major", "editorial_total_major", "chapters_with_editorial_major"), ("editorial_errors", "editorial_total_errors", None), ("cross_model_disagreements", "cross_model_disagreement_total", "chapters_with_cross_model_disagreement"),
+]
+
+
+def manifest_sums(manifest: DataFrame) -> DataFrame:
+    """One row: chapters by status, those skipped, and the sums of a manifest.
+
+    manifest: a row for each chapter with status, skipped (its row was used again) and any of the counts in SUMMED, and
+    audit_usd, fix_usd, editorial_usd.  Missing values count as 0; sums of editorial or cross-model counts
+    that no chapter tells are null.
+    """
+    optional = ("editorial_", "cross_model_")
+    columns = set(manifest.columns)
+    of = lambda c: F.col(c) if c in columns else F.lit(None).cast("long")
+    told = [F.count("*").alias("chapters_total"), *(F.count_if(F.col("status") == s).alias(f"chapters_{s}") for s in ("ready", "review", "empty")), F.count_if(F.coalesce(of("skipped").cast("boolean"), F.lit(False))).alias("chapters_skipped_unchanged")]
+    for column, total, chapters in SUMMED:
+        value = F.sum(of(column))
+        told.append((value if column.startswith(optional) else F.coalesce(value, F.lit(0))).cast("long").alias(total))
+        if chapters:
+            some = F.count_if(F.coalesce(of(column), F.lit(0)) > 0)
+            told.append((F.when(F.count(of(column)) > 0, some) if column.startswith(optional) else some).alias(chapters))
+    usd = lambda c: F.coalesce(of(c).cast("double"), F.lit(0.0))
+    told += [F.round(F.coalesce(F.sum(usd("audit_usd") + usd("fix_usd") + usd("editorial_usd")), F.lit(0.0)), 4).alias("total_cost_usd"), F.when(F.count(of("editorial_clean")) > 0, F.round(F.sum(usd("editorial_usd")), 4)).alias("editorial_cost_usd")]
+    return manifest.agg(*told)

@@ -284,3 +284,36 @@ def rescued_stems(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {SQL_QUESTIONS}, {_RESCUE} SELECT chapter, count(*) AS n_questions, count(*) FILTER (outcome = 'no_english_gap') AS no_english_gap, count(*) FILTER (outcome = 'no_template_for_cell') AS no_template_for_cell, count(*) FILTER (outcome = 'rewrote_stem') AS rewrote_stem, count(*) FILTER (outcome = 'stem_then_distractor_fix') AS stem_then_distractor_fix, count(*) FILTER (outcome = 'did_not_converge') AS did_not_converge, round(sum(cost), 4) AS cost FROM ro GROUP BY chapter")
 def rescued_chapters(spark: SparkSession, d: str) -> DataFrame:
     return rescue.rescued_chapters(_rescued(spark, d))
+
+
+# --- manifest
+
+_COUNTED = ["n_soft", "schema_overrides", "gap_overrides", "scanner_flags", "scanner_disagreements", "editorial_clean", "editorial_minor", "editorial_major", "editorial_errors"]
+
+
+def _sql_manifest() -> str:
+    counts = ", ".join(f"CASE WHEN h_{c} % 5 = 0 THEN NULL ELSE h_{c} % 3 END AS {c}" for c in _COUNTED)
+    hashes = ", ".join(f"{sql_drawn('doc_id', repr(c))} AS h_{c}" for c in _COUNTED)
+    sums = []
+    for column, total, chapters in passes.SUMMED:
+        if column == "cross_model_disagreements":
+            sums += [f"NULL::BIGINT AS {total}", f"NULL::BIGINT AS {chapters}"]
+            continue
+        sums.append(f"sum({column})::BIGINT AS {total}")
+        if chapters:
+            sums.append(f"count(*) FILTER ({column} > 0) AS {chapters}")
+    return f"""WITH h AS (SELECT doc_id, n_chars, {hashes} FROM documents),
+m AS (SELECT doc_id, ['ready', 'review', 'empty'][n_chars % 3 + 1] AS status, n_chars % 4 = 0 AS skipped, n_chars % 5 AS caught, n_chars % 2 AS remaining, n_chars % 7 AS fixes_applied, 1 AS fixes_failed, {counts}, 0.01 AS audit_usd, CASE WHEN n_chars % 2 = 0 THEN 0.005 END AS fix_usd, 0.25 AS editorial_usd FROM h)
+SELECT count(*) AS chapters_total, count(*) FILTER (status = 'ready') AS chapters_ready, count(*) FILTER (status = 'review') AS chapters_review, count(*) FILTER (status = 'empty') AS chapters_empty, count(*) FILTER (skipped) AS chapters_skipped_unchanged,
+  {", ".join(sums)}, round(sum(audit_usd + coalesce(fix_usd, 0) + editorial_usd)::DOUBLE, 4) AS total_cost_usd, round(sum(editorial_usd)::DOUBLE, 4) AS editorial_cost_usd FROM m"""
+
+
+@query(_sql_manifest())
+def manifest_sums(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("n_chars")
+    counts = {c: F.when(drawn(F.col("doc_id"), c) % 5 > 0, drawn(F.col("doc_id"), c) % 3) for c in _COUNTED}
+    status = F.element_at(F.array(*map(F.lit, ("ready", "review", "empty"))), (n % 3 + 1).cast("int"))
+    manifest = table(spark, d, "documents").select("doc_id", "n_chars").withColumns(
+        {"status": status, "skipped": n % 4 == 0, "caught": n % 5, "remaining": n % 2, "fixes_applied": n % 7, "fixes_failed": F.lit(1), "audit_usd": F.lit(0.01), "fix_usd": F.when(n % 2 == 0, 0.005), "editorial_usd": F.lit(0.25)} | counts
+    )
+    return passes.manifest_sums(manifest)

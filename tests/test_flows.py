@@ -192,3 +192,17 @@ def test_the_first_template_that_passes_wins(spark):
         "fallback": ("stem_then_distractor_fix", None, 3, "B!", "mended", 1.75), "stuck": ("did_not_converge", None, 3, "stem stuck", "text C", 0.5), "early": ("rewrote_stem", "a", 1, "A!", "text C", 0.5),
     }
     assert rescue.rescued_chapters(told).first()["n_questions"] == 6
+
+
+# --- manifest
+
+
+def test_sums_of_a_manifest(spark):
+    rows = [("ready", False, 2, 0, 1, 3, 0.5), ("review", True, None, 1, 0, None, None), ("empty", None, 0, 0, 0, None, 0.25)]
+    manifest = spark.createDataFrame(rows, "status string, skipped boolean, caught int, remaining int, n_soft int, editorial_major int, audit_usd double")
+    told = passes.manifest_sums(manifest).first().asDict()
+    assert (told["chapters_total"], told["chapters_ready"], told["chapters_review"], told["chapters_empty"], told["chapters_skipped_unchanged"]) == (3, 1, 1, 1, 1)
+    assert (told["english_gap_caught"], told["english_gap_remaining"], told["soft_flag_total"], told["chapters_with_soft_flag"], told["total_cost_usd"]) == (2, 1, 1, 1, 0.75)
+    assert (told["editorial_total_major"], told["chapters_with_editorial_major"], told["editorial_total_clean"], told["cross_model_disagreement_total"], told["chapters_with_cross_model_disagreement"], told["fixes_applied"]) == (3, 1, None, None, None, 0)
+    nothing = passes.manifest_sums(manifest.limit(0)).first().asDict()
+    assert nothing["chapters_total"] == 0 and nothing["english_gap_caught"] == 0 and nothing["total_cost_usd"] == 0.0
