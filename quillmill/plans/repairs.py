@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.functions import refdata as R
-from quillmill.operators import judges, publish, routing
+from quillmill.operators import judges, publish, routing, tells
 from quillmill.plans.flows import _chapter_questions, _wrong_letters, drawn, sql_drawn
 from quillmill.plans.more import _folder
 from quillmill.plans.views import SQL_QUESTIONS, questions, sql_list, table
@@ -200,3 +200,40 @@ def export_rows(spark: SparkSession, d: str) -> DataFrame:
     read = lambda name: spark.read.schema(schema).csv(f"{path}/{name}", header=True, multiLine=True, escape='"').na.fill("")
     files.write_csv(publish.appended(read("first"), wide), f"{path}/second", publish.EXPORT_COLUMNS)
     return read("second")
+
+
+# --- tells
+
+
+@query("""
+SELECT count(*) AS n, round(avg(r), 6) AS mean_ratio, round(median(r), 6) AS median_ratio, round(max(r), 6) AS max_ratio, count(*) FILTER (r > 1.3) AS over_1_3, count(*) FILTER (r > 1.5) AS over_1_5, count(*) FILTER (r > 1.8) AS over_1_8, count(*) FILTER (r > 2.0) AS over_2_0,
+  count(*) FILTER (length(correct) = longest) AS correct_longest, count(*) FILTER (length(correct) > other * 1.2) AS correct_much_longer, round(avg(length(correct) / mean), 6) AS mean_to_distractors
+FROM (SELECT *, list_max(list_transform(texts, lambda t: length(t))) AS longest, list_max(list_transform(wrong, lambda t: length(t))) AS other, list_avg(list_transform(wrong, lambda t: length(t))) AS mean, list_max(list_transform(texts, lambda t: length(t))) / list_min(list_transform(texts, lambda t: length(t)))::DOUBLE AS r FROM q)""")
+def length_tells(spark: SparkSession, d: str) -> DataFrame:
+    told = tells.length_summary(tells.length_ratios(questions(spark, d)))
+    return told.select(*(F.round(c, 6).alias(c) if dict(told.dtypes)[c] == "double" else c for c in told.columns))
+
+
+_MARKED = ["", " (so it is)", "; and more", " — that", " -- or this", " e.g. one", " (one); (two)", " i.e. this"]
+_COUNT = lambda t, p: f"len(regexp_extract_all({t}, '{p}'))"
+_MARKS_SQL = f""",
+u AS (SELECT *, list_transform([1, 2, 3, 4], lambda i: texts[i] || {sql_list(_MARKED)}[CASE WHEN {sql_drawn("question_id", "substring('ABCD', i, 1)", "'many'")} < 150 THEN 0 ELSE {sql_drawn("question_id", "substring('ABCD', i, 1)", "'mark'")} % 8 END + 1]) AS t FROM q),
+c AS (SELECT *, list_transform(t, lambda x: [{", ".join(_COUNT(_CLEAN("x"), p) for p in R.ELABORATION.values())}]) AS m FROM u),
+k AS (SELECT question_id, list_sum(m[pos]) AS total, list_transform(list_filter(m, lambda x, i: i <> pos), lambda x: list_sum(x)) AS rest, m[pos] AS own, list_filter(m, lambda x, i: i <> pos) AS others FROM c),
+w AS (SELECT question_id, total::INTEGER AS total, list_max(rest)::INTEGER AS most, round(list_avg(rest), 6) AS mean, total > list_max(rest) AS over_most, total > list_avg(rest) AS over_mean,
+  list_filter([1, 2, 3], lambda i: own[i] >= 1 AND list_max(list_transform(others, lambda x: x[i])) = 0) AS alone, total >= 2 AND list_max(rest) = 0 AS strict FROM k)"""
+
+
+def _marked(spark: SparkSession, d: str) -> DataFrame:
+    end = lambda o: F.element_at(F.array(*map(F.lit, _MARKED)), F.when(drawn(F.col("question_id"), o.letter, "many") < 150, 0).otherwise(drawn(F.col("question_id"), o.letter, "mark") % 8) + 1)
+    return tells.marked_options(questions(spark, d).withColumn("options", F.transform("options", lambda o: o.withField("text", F.concat(o.text, end(o))))))
+
+
+@query(f"{_MARKS_SQL} SELECT question_id, total, most, mean, over_most, over_mean, array_to_string(list_transform(alone, lambda i: {sql_list(list(R.ELABORATION)[:3])}[i]), ',') AS alone, strict FROM w")
+def marked_options(spark: SparkSession, d: str) -> DataFrame:
+    return _marked(spark, d).withColumn("alone", F.array_join("only", ",")).drop("only").withColumn("mean", F.round("mean", 6))
+
+
+@query(f"{_MARKS_SQL} SELECT count(*) AS n, count(*) FILTER (over_most) AS over_most, count(*) FILTER (over_mean) AS over_mean, count(*) FILTER (list_contains(alone, 1)) AS parens_only_correct, count(*) FILTER (list_contains(alone, 2)) AS semicolons_only_correct, count(*) FILTER (list_contains(alone, 3)) AS dashes_only_correct, count(*) FILTER (strict) AS strict FROM w")
+def marks_summary(spark: SparkSession, d: str) -> DataFrame:
+    return tells.marks_summary(_marked(spark, d))

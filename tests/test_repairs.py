@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillmill.functions import text as T
-from quillmill.operators import judges, publish, routing
+from quillmill.operators import judges, publish, routing, tells
 
 OPTIONS = "array<struct<letter:string,text:string,is_correct:boolean,explanation:string>>"
 
@@ -110,3 +110,19 @@ def test_the_export_has_62_columns_and_grows(spark):
     }
     old = wide.where("question_id = 'q1'").withColumn("domain_code", F.lit("kept"))
     assert sorted((r["question_id"], r["domain_code"]) for r in publish.appended(old, wide).collect()) == [("q1", "kept"), ("q2", "")]
+
+
+def test_lengths_and_marks_that_tell(spark):
+    rows = [
+        ("even", [("A", "aaaa", True, ""), ("B", "bbbb", False, ""), ("C", "cccc", False, "")]), ("long", [("A", "a" * 13, True, ""), ("B", "b" * 10, False, ""), ("C", "c" * 5, False, "")]),
+        ("marks", [("A", "one (two); e.g. three", True, ""), ("B", "plain", False, ""), ("C", "plain", False, "")]), ("both", [("A", "x -- y", True, ""), ("B", "(b)", False, ""), ("C", None, False, "")]),
+    ]
+    q = spark.createDataFrame(rows, f"question_id string, options {OPTIONS}")
+    ratios = {r["question_id"]: (r["ratio"], round(r["to_mean"], 3), r["longest"], r["much_longer"]) for r in tells.length_ratios(q).collect()}
+    assert ratios["even"] == (1.0, 1.0, True, False) and ratios["long"] == (2.6, 1.733, True, True) and ratios["both"][0] == float("inf")
+    told = {r["question_id"]: (r["total"], r["most"], r["mean"], r["over_most"], r["over_mean"], r["only"], r["strict"]) for r in tells.marked_options(q).collect()}
+    assert told == {
+        "even": (0, 0, 0.0, False, False, [], False), "long": (0, 0, 0.0, False, False, [], False), "marks": (3, 0, 0.0, True, True, ["parens", "semicolons"], True), "both": (1, 1, 0.5, False, True, ["dashes"], False),
+    }
+    assert tuple(tells.marks_summary(tells.marked_options(q)).first()) == (4, 1, 2, 1, 1, 1, 1)
+    assert tells.length_summary(tells.length_ratios(q.where("question_id <> 'both'"))).first()["over_2_0"] == 2
