@@ -1,23 +1,28 @@
 """Toxicity by a weighted finite-state pattern grammar (operator 5).
 
-A text is read as symbols: a lexicon writes each word's class (insult, learned
-from labelled texts as whole words and word beginnings with their log odds; the
-second word of a threat, learned as pairs of neighbouring words; target,
-negation and reporting words from fixed lists), and quotation marks, stops and
-line ends are symbols of their own.  Four transducers, given as tables of arcs
-(state, symbol) -> (state, symbol, factor), read these symbols in turn:
-
+A text is read as symbols: a lexicon writes each word's class (learned, from
+labelled texts as whole words and word beginnings with their log odds; paired,
+the second word of a learned pair of neighbours; intent, harm, target, negation,
+reporting and strengthening words from fixed lists), and quotation marks, stops
+and line ends are symbols of their own.  Six transducers, given as tables of
+arcs (state, symbol) -> (state, symbol, factor), read these symbols in turn:
+
+* insult makes learned words insults, stronger ones behind a strengthening word;
+* threat makes paired words threats, and the last word of an intent, a harm and
+  a target (or an intent, a target and a harm) in one clause;
 * negation turns the insults and threats among the next few words over;
 * reported speech does so up to the end of a clause, or inside quotation marks;
 * target tells which of the others a clause aims at somebody;
 * the clause machine marks where a clause with a match ends.
 
 :func:`compose` multiplies them into one machine when the grammar is built; only
-the product runs over texts.  A text is scored by its matched clauses: the sums
-per output symbol, the strongest clause, and how many words there are to each.
-A logistic function of these, fitted on the part of the labelled sample that the
-lexicon has not seen, gives the score.  The model is a few thousand entries,
-bounded by a parameter.
+the product runs over texts.  A text is scored by its matched clauses: what they
+hold by kind, the strongest, and how much of the text they are.  A logistic
+function of these, fitted on the part of the labelled sample that the lexicon has
+not seen, gives the score.  Its weights can't be negative and every feature grows
+with its matches, so the grammar's order stands whatever the labels say: a match
+never lowers a score, and negated or reported matches never raise it as much as
+plain ones.  The model is a few thousand entries, bounded by a parameter.
 
 Defined results: null and empty texts match no clause and get the score of a
 text without any; repeated rows get equal scores; extra columns are ignored; an
@@ -30,7 +35,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,13 +52,19 @@ LEXICON = 4_000
 BEGINNINGS = (4, 5, 6, 7, 8, 9)
 #: Share of the toxic texts that a pair must stand in: fewer are turns of phrase of near copies.
 PAIR_SHARE = 0.01
-#: Words that a negation reaches.
+#: Words that a negation reaches, and words from one part of a threat to the next.
 REACH = 5
+SPAN = 4
+#: Log odds of a threat that the fixed lists tell, as learned words have theirs.
+THREAT_WEIGHT = 3.0
 
 # Words of the transducers that are not learned.
 TARGETS = frozenset("you your yours u he she they him her them this that these those people du dich dir ihr euch sie er tu te toi vous il elle ils usted tú ti él ella ellos".split())
 NEGATIONS = frozenset("not no never nor without n't don't isn't aren't nicht kein keine keinen nie niemals ohne pas jamais aucun sans nunca jamás sin ni".split())
 REPORTS = frozenset("said says say told wrote called calls quoted claims claimed sagt sagte meinte schrieb nannte dit disait écrit appelle dijo dice escribió llamó".split())
+INTENTS = frozenset("will shall must gonna going want werde werden wird wollen soll muss vais va vas allons veux voy va vamos quiero".split())
+HARMS = frozenset("kill hurt destroy beat shoot burn hang stab strangle punch töten umbringen schlagen verbrennen erschießen zerstören tuer frapper brûler détruire matar golpear quemar destruir".split())
+STRONG_WORDS = frozenset("so such very total totally complete completely utter utterly absolute absolutely sehr völlig très tellement muy tan".split())
 _STRIP = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~«»„“”‘’…–—¡¿"
 _QUOTES, _STOPS = frozenset("\"«»„“”"), frozenset(".!?;|…")
 
@@ -61,12 +72,15 @@ _QUOTES, _STOPS = frozenset("\"«»„“”"), frozenset(".!?;|…")
 WHOLE, BETWEEN = "\n", " "
 
 # Symbols: first those that the lexicon writes, then those that the transducers add.
-OTHER, TARGET, NEGATION, REPORT, QUOTE, STOP, LINE, INSULT, THREAT = range(9)
-NEGATED_INSULT, NEGATED_THREAT, REPORTED_INSULT, REPORTED_THREAT, AIMED_INSULT, AIMED_THREAT, LATE_TARGET, CLAUSE = range(9, 17)
-SYMBOLS = 17
+OTHER, TARGET, NEGATION, REPORT, QUOTE, STOP, LINE, INTENT, HARM, STRONG, LEARNED, PAIRED = range(12)
+INSULT, THREAT, NEGATED_INSULT, NEGATED_THREAT, REPORTED_INSULT, REPORTED_THREAT, AIMED_INSULT, AIMED_THREAT, LATE_TARGET, CLAUSE = range(12, 22)
+SYMBOLS = 22
 HITS = (INSULT, THREAT, NEGATED_INSULT, NEGATED_THREAT, REPORTED_INSULT, REPORTED_THREAT, AIMED_INSULT, AIMED_THREAT)
 OUTRIGHT = (INSULT, THREAT, AIMED_INSULT, AIMED_THREAT)
-N_FEATURES = len(HITS) + 5
+INSULTS, THREATS, AIMED = (INSULT, AIMED_INSULT), (THREAT, AIMED_THREAT), (AIMED_INSULT, AIMED_THREAT)
+#: Symbols that single words can be, once insults and threats are told.
+WORDS = (OTHER, TARGET, REPORT, INTENT, HARM, STRONG, INSULT, THREAT)
+N_FEATURES = 8
 
 Arcs = dict[tuple[int, int], tuple[int, int, float]]
 
@@ -105,6 +119,35 @@ def compose(first: Transducer, second: Transducer) -> Transducer:
     return Transducer(len(queue), arcs)
 
 
+def insult() -> Transducer:
+    """States: nothing, a strengthening word just before."""
+    arcs: Arcs = {(1, s): (0, s, 1.0) for s in (OTHER, TARGET, NEGATION, REPORT, STOP, LINE, INTENT, HARM, PAIRED)}
+    for state, factor in ((0, 1.0), (1, 1.25)):
+        arcs[state, STRONG] = 1, STRONG, 1.0
+        arcs[state, LEARNED] = 0, INSULT, factor
+    return Transducer(2, arcs)
+
+
+def threat() -> Transducer:
+    """States: nothing; an intent, an intent and a harm, or an intent and a target,
+    each with the number of words in which the next part has to come."""
+    intent, harm, meant = (lambda left, row=row: row * SPAN + left if left else 0 for row in range(3))
+    arcs: Arcs = {}
+    for state in range(3 * SPAN + 1):
+        for s in (OTHER, TARGET, NEGATION, REPORT, HARM, STRONG, INSULT):
+            row, left = divmod(max(0, state - 1), SPAN)
+            arcs[state, s] = (intent, harm, meant)[row](left), s, 1.0
+        for end in (STOP, LINE):
+            arcs[state, end] = 0, end, 1.0
+        arcs[state, INTENT] = intent(SPAN), INTENT, 1.0
+        arcs[state, PAIRED] = 0, THREAT, 1.0
+    for left in range(1, SPAN + 1):
+        arcs[intent(left), HARM] = arcs[harm(left), HARM] = harm(SPAN), HARM, 1.0
+        arcs[intent(left), TARGET] = arcs[meant(left), TARGET] = meant(SPAN), TARGET, 1.0
+        arcs[harm(left), TARGET] = arcs[meant(left), HARM] = 0, THREAT, 1.0
+    return Transducer(3 * SPAN + 1, arcs)
+
+
 def negation() -> Transducer:
     """States: how many of the next words are still negated."""
     arcs: Arcs = {}
@@ -113,7 +156,7 @@ def negation() -> Transducer:
         arcs[left, NEGATION] = REACH, NEGATION, 1.0
         for end in (STOP, LINE):
             arcs[left, end] = 0, end, 1.0
-        for word in (OTHER, TARGET, REPORT, INSULT, THREAT):
+        for word in WORDS:
             arcs[left, word] = max(0, left - 1), turned.get(word, word) if left else word, 0.25 if left and word in turned else 1.0
     return Transducer(REACH + 1, arcs)
 
@@ -173,8 +216,13 @@ class Machine:
         return places, kinds, factors
 
 
+def parts() -> list[Transducer]:
+    return [insult(), threat(), negation(), reported_speech(), target(), clause()]
+
+
+@cache
 def composed() -> Machine:
-    return Machine(reduce(compose, [negation(), reported_speech(), target(), clause()]))
+    return Machine(reduce(compose, parts()))
 
 
 @dataclass
@@ -194,19 +242,25 @@ class Grammar:
         self.pair_weights = np.array([w for _, w in known])
 
     def word(self, core: str) -> tuple[int, float]:
-        """The class and weight of one word."""
+        """The class and weight of one word; targets and harms have that of a threat they may end."""
         if core in NEGATIONS or core.endswith("n't"):
             return NEGATION, 0.0
         if core in REPORTS:
             return REPORT, 0.0
         if core in self.words:
-            return INSULT, self.words[core]
+            return LEARNED, self.words[core]
         for n in BEGINNINGS:
             if n > len(core):
                 break
             if core[:n] in self.beginnings:
-                return INSULT, self.beginnings[core[:n]]
-        return (TARGET if core in TARGETS else OTHER), 0.0
+                return LEARNED, self.beginnings[core[:n]]
+        if core in TARGETS:
+            return TARGET, THREAT_WEIGHT
+        if core in HARMS:
+            return HARM, THREAT_WEIGHT
+        if core in INTENTS or core.endswith("'ll"):
+            return INTENT, 0.0
+        return (STRONG if core in STRONG_WORDS else OTHER), 0.0
 
     def read(self, piece: str) -> tuple[list[int], int, float]:
         """A piece's symbols, the word's place among them (-1: no word), its weight."""
@@ -222,20 +276,18 @@ class Grammar:
         return [*lead, kind, *marks], len(lead), weight
 
     def features(self, symbols: list[int], weights: np.ndarray, words: int) -> np.ndarray:
+        """What the matched clauses hold of outright insults, of threats, of aimed ones, of
+        all with those turned over, their late targets and their number, each against the
+        square root of the text's length; the strongest clause; the strength a word."""
         places, kinds, factors = self.machine.matches(symbols)
         out = np.zeros(N_FEATURES)
         if kinds:
-            kind, weight = np.array(kinds), weights[places]
+            kind, weight = np.array(kinds), weights[places] * np.array(factors)
             sums = np.bincount(kind, weight, SYMBOLS)
-            strength = np.where(np.isin(kind, OUTRIGHT), weight * np.array(factors), 0.0)
-            each = np.bincount(np.cumsum(kind == CLAUSE), strength)
-            out[: len(HITS)] = sums[list(HITS)]
-            out[-5] = np.count_nonzero(kind == LATE_TARGET)
-            out[-4] = each.max()
-            out[-3] = np.count_nonzero(kind == CLAUSE) + (kinds[-1] != CLAUSE)
-            out[:-2] = np.minimum(out[:-2], 40)
-            total = strength.sum()
-            out[-2], out[-1] = total / np.sqrt(words + 20), np.log1p(total)
+            each = np.bincount(np.cumsum(kind == CLAUSE), np.where(np.isin(kind, OUTRIGHT), weight, 0.0))
+            held = [sums[list(ks)].sum() for ks in (INSULTS, THREATS, AIMED, HITS)]
+            out[:6] = np.array([*held, np.count_nonzero(kind == LATE_TARGET), np.count_nonzero(each)]) / np.sqrt(words + 20)
+            out[6:] = np.log1p(each.max()), each.sum() / (words + 20)
         return out
 
     def probability(self, features: np.ndarray) -> np.ndarray:
@@ -257,11 +309,11 @@ class Grammar:
             at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
             hit = self.pair_keys[at] == key
             hit[bounds[1:-1][(bounds[1:-1] > 0) & (bounds[1:-1] < len(index))] - 1] = False  # not across texts
-            hit &= kind[1:] != INSULT
-            kind[1:][hit] = THREAT
+            hit &= kind[1:] != LEARNED
+            kind[1:][hit] = PAIRED
             weights[1:][hit] = self.pair_weights[at[hit]]
         wordy = np.concatenate([[0], np.cumsum(places[index] >= 0)]) if len(names) else np.zeros(1, np.int64)
-        hot = np.concatenate([[0], np.cumsum((kind == INSULT) | (kind == THREAT))])
+        hot = np.concatenate([[0], np.cumsum(np.isin(kind, (LEARNED, PAIRED, HARM)))])
         features = np.zeros((len(texts), N_FEATURES))
         for i in np.flatnonzero(hot[bounds[1:]] > hot[bounds[:-1]]).tolist():
             a, b = int(bounds[i]), int(bounds[i + 1])
@@ -334,17 +386,20 @@ def learn_lexicon(texts: list[str], labels: list[int], most: int) -> tuple[dict[
         if any(beginnings.get(name[:n], -1.0) >= 0.8 * beginnings[name] for n in BEGINNINGS if n < len(name)):
             del beginnings[name]
     alone = Grammar(words, beginnings)
-    pairs = {k: w for k, w in pairs.items() if all(alone.word(h)[0] != INSULT for h in k.split(BETWEEN))}
+    pairs = {k: w for k, w in pairs.items() if all(alone.word(h)[0] != LEARNED for h in k.split(BETWEEN))}
     return words, beginnings, pairs
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, sample_weight: np.ndarray, penalty: float = 0.02) -> np.ndarray:
-    """Newton's method with a ridge on scaled features; each step is halved until the
-    loss falls, so separable data converge too.  The last weight is the constant."""
+    """Projected Newton steps with a ridge on scaled features: weights below 0 become 0,
+    and those at 0 that the gradient would push below it rest; each step is halved until
+    the loss falls, so separable data converge too.  The last weight is the constant,
+    of any sign."""
     scale = x.std(0) + 1e-9
     x = np.hstack([x / scale, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
     ridge = np.append(np.full(x.shape[1] - 1, penalty), 1e-6)
+    least = np.append(np.zeros(x.shape[1] - 1), -np.inf)
 
     def loss(w: np.ndarray) -> float:
         z = x @ w
@@ -353,15 +408,18 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, sample_weight: np.ndarray, penalt
     now = loss(w)
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (sample_weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge + 1e-9)
-        step = np.linalg.solve(h, x.T @ (sample_weight * (y - p)) - ridge * w)
+        uphill = x.T @ (sample_weight * (y - p)) - ridge * w
+        free = (w > least) | (uphill > 0)
+        h = (x[:, free] * (sample_weight * p * (1 - p))[:, None]).T @ x[:, free] + np.diag(ridge[free] + 1e-9)
+        step = np.zeros(len(w))
+        step[free] = np.linalg.solve(h, uphill[free])
         for _ in range(40):
-            if (following := loss(w + step)) <= now:
+            if (following := loss(ahead := np.maximum(least, w + step))) <= now:
                 break
             step /= 2
         else:
             break
-        w, gain, now = w + step, now - following, following
+        w, gain, now = ahead, now - following, following
         if gain < 1e-9 * max(1.0, now):
             break
     return np.append(w[:-1] / scale, w[-1])

@@ -8,13 +8,13 @@ import pyarrow as pa
 import pytest
 
 from quillmill.llm import labelled, licences, quality, toxicity
-from quillmill.llm.toxicity import AIMED_INSULT, CLAUSE, HITS, INSULT, LATE_TARGET, LINE, NEGATED_INSULT, OUTRIGHT, QUOTE, REPORTED_INSULT, STOP, THREAT
+from quillmill.llm.toxicity import AIMED, AIMED_INSULT, AIMED_THREAT, CLAUSE, HITS, INSULT, INSULTS, LATE_TARGET, LEARNED, LINE, NEGATED_INSULT, NEGATED_THREAT, OUTRIGHT, PAIRED, QUOTE, REPORTED_INSULT, REPORTED_THREAT, STOP, THREAT, THREATS
 
 
 def test_composition_equals_running_the_parts_in_turn():
-    rng, parts, machine = random.Random(1), [toxicity.negation(), toxicity.reported_speech(), toxicity.target(), toxicity.clause()], toxicity.composed()
+    rng, parts, machine = random.Random(1), toxicity.parts(), toxicity.composed()
     for _ in range(300):
-        symbols = [rng.choice([0, 0, 0, *range(9)]) for _ in range(rng.randint(0, 40))]
+        symbols = [rng.choice([0, 0, 0, *range(12)]) for _ in range(rng.randint(0, 40))]
         stream, factors = symbols, np.ones(len(symbols))
         for t in parts:
             out = t.run(stream)
@@ -42,6 +42,39 @@ def test_what_the_machine_writes():
     assert kinds("it said blorg. snark") == [REPORTED_INSULT, CLAUSE, INSULT]
     assert kinds('words "blorg. snark" grub') == [REPORTED_INSULT, CLAUSE, REPORTED_INSULT, INSULT]
     assert kinds('open " never closed\nblorg') == [INSULT]
+    assert [GRAMMAR.machine.matches(m)[1] for m in ([PAIRED], [toxicity.TARGET, PAIRED])] == [[THREAT], [AIMED_THREAT]]
+    assert kinds("we will hurt all of them.") == [THREAT, CLAUSE]
+    assert kinds("ich werde dich töten") == [AIMED_THREAT]  # the target came first
+    assert kinds("kill you") == kinds("will. kill you") == kinds("will go one two three kill you") == []  # no intent in reach
+    assert kinds("we will not hurt you") == [NEGATED_THREAT] and kinds('"we will hurt you"') == [REPORTED_THREAT]
+    plain, strong = (GRAMMAR.slice_features(pa.array([t])) for t in ("my blorg", "so blorg"))
+    assert strong[0, 0] == pytest.approx(1.25 * plain[0, 0]) and (strong >= plain).all()
+
+
+def threats_by_rule(text):
+    """Places where an intent, a harm and a target (in this order, or the last two
+    turned) end, each at most SPAN words behind the one before; words only, no stops."""
+    kinds = [GRAMMAR.word(w)[0] for w in text.split()]
+    found, intent, harm, meant = [], -99, -99, -99
+    for i, k in enumerate(kinds):
+        if k == toxicity.INTENT:
+            intent, harm, meant = i, -99, -99
+        elif k == toxicity.HARM and i - meant <= toxicity.SPAN or k == toxicity.TARGET and i - harm <= toxicity.SPAN:
+            found.append(i)
+            intent = harm = meant = -99
+        elif k == toxicity.HARM and (i - intent <= toxicity.SPAN or i - harm <= toxicity.SPAN):
+            intent, harm, meant = -99, i, -99
+        elif k == toxicity.TARGET and (i - intent <= toxicity.SPAN or i - meant <= toxicity.SPAN):
+            intent, harm, meant = -99, -99, i
+    return found
+
+
+def test_threats_against_a_plain_rule():
+    rng, machine = random.Random(7), toxicity.threat()
+    for _ in range(500):
+        text = " ".join(rng.choice(["will", "kill", "you", "hurt", "them", "x", "y", "z", "said", "so", "not"]) for _ in range(rng.randint(0, 25)))
+        out = machine.run([GRAMMAR.word(w)[0] for w in text.split()])
+        assert [i for i, (s, _) in enumerate(out) if s == THREAT] == threats_by_rule(text), text
 
 
 def brute_features(text):
@@ -59,33 +92,31 @@ def brute_features(text):
             elif part:
                 words += 1
                 kind, w = GRAMMAR.word(part)
-                if before + " " + part in GRAMMAR.pairs and not m[1] and kind != INSULT:
-                    kind, w = THREAT, GRAMMAR.pairs[before + " " + part]
+                if before + " " + part in GRAMMAR.pairs and not m[1] and kind != LEARNED:
+                    kind, w = PAIRED, GRAMMAR.pairs[before + " " + part]
                 symbols, weights = [*symbols, kind], [*weights, w]
         before = m[2] if not m[3] else ""
     stream = [(s, 1.0) for s in symbols]
-    for t in (toxicity.negation(), toxicity.reported_speech(), toxicity.target(), toxicity.clause()):
+    for t in toxicity.parts():
         stream = [(s, f * g) for (s, g), (_, f) in zip(t.run([s for s, _ in stream]), stream, strict=True)]
-    sums, clauses, now, open_ = dict.fromkeys(HITS, 0.0), [], 0.0, False
+    sums, clauses, now = dict.fromkeys(HITS, 0.0), [], 0.0
     late = 0
     for (s, f), w in zip(stream, weights, strict=True):
         if s in sums:
-            sums[s] += w
+            sums[s] += w * f
             now += w * f if s in OUTRIGHT else 0.0
-            open_ = True
         late += s == LATE_TARGET
         if s == CLAUSE:
             clauses.append(now)
-            now, open_ = 0.0, False
-    if open_:
-        clauses.append(now)
-    total = sum(clauses)
-    return [*(min(40, sums[h]) for h in HITS), late, min(40, max(clauses, default=0)), len(clauses), total / np.sqrt(words + 20) if clauses else 0, np.log1p(total)]
+            now = 0.0
+    clauses.append(now)
+    held = [*(sum(sums[h] for h in hs) for hs in (INSULTS, THREATS, AIMED, HITS)), late, sum(c > 0 for c in clauses)]
+    return [*(h / np.sqrt(words + 20) for h in held), np.log1p(max(clauses)), sum(clauses) / (words + 20)]
 
 
 def test_features_against_brute_force():
     rng = random.Random(2)
-    pool = ["blorg", "snark.", "grubs,", "you", "not", "said", "burn", "soon", "soon!", '"burn', 'soon"', '"blorg"', "\n", "\n", "word", "word", "x.", "...", "", "isn't", "them;", "«snark»"]
+    pool = ["blorg", "snark.", "grubs,", "you", "not", "said", "burn", "soon", "soon!", '"burn', 'soon"', '"blorg"', "\n", "\n", "word", "word", "x.", "...", "", "isn't", "them;", "«snark»", "will", "kill", "so", "we'll"]
     texts = [" ".join(rng.choice(pool) for _ in range(rng.randint(0, 60))) for _ in range(400)]
     found = GRAMMAR.slice_features(pa.array(texts))
     for text, row in zip(texts, found, strict=True):
@@ -93,7 +124,35 @@ def test_features_against_brute_force():
     assert found[:, HITS.index(THREAT)].max() > 0
 
 
-def test_fixed_lists_hold_no_threats_and_pairs_are_learned():
+def test_weights_keep_the_order_of_the_grammar():
+    """Whatever the labels say: matches never lower a score, turned over they raise it less."""
+    rng = random.Random(6)
+    texts, labels = [], []
+    for i in range(900):
+        words = [rng.choice("lorem ipsum dolor sit amet nulla".split()) + str(rng.randint(0, 40)) for _ in range(50)]
+        if i % 3 == 0:  # negations stand in toxic texts only, and threats in clean ones
+            words[10:10] = ["you", "not", "blorgface"] if i % 2 else ["you", "blorgface", "blorgface"]
+        elif i % 5 == 0:
+            words[10:10] = ["we", "will", "hurt", "you"]
+        texts.append(" ".join(words))
+        labels.append(int(i % 3 == 0))
+    g = toxicity.fit(texts, labels)
+    assert (g.weights[:-1] >= 0).all() and g.weights[:-1].any() and "blorgface" in g.words
+    for filler in ("", "lorem1 " * 30, "lorem1 ipsum2. " * 200):
+        score = lambda t, filler=filler: float(g.score_slice(pa.array([filler + t]))[0])
+        empty, plain, turned, said = map(score, ("", "you are blorgface", "you are not blorgface", "they said you are blorgface"))
+        assert empty <= turned < plain and empty <= said < plain
+        assert plain <= score("you are so blorgface") and empty < score("we will hurt you")
+        assert score("we will not hurt you") < score("we will hurt you")
+
+
+def test_long_clean_texts_are_not_toxic_by_length():
+    g = toxicity.Grammar({"blorg": 2.0})
+    one = g.slice_features(pa.array(["you blorg. " + "word " * 100]))
+    assert (g.slice_features(pa.array(["you blorg. " + "word " * 50_000])) <= one).all()
+
+
+def test_fixed_lists_hold_no_pairs_and_pairs_are_learned():
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("bdfgklmn") + rng.choice("aeiou") for _ in range(3))
     pool = [word() for _ in range(200)] + ["will", "burn", "soon"] * 4
