@@ -128,3 +128,45 @@ def latency_ms(start: Column, end: Column) -> Column:
 def known(cls: Column, classes: list[str]) -> Column:
     """Whether a class belongs to a taxonomy; null does not."""
     return F.coalesce(cls.isin(*classes), F.lit(False))
+
+
+def question_record(parts: DataFrame) -> DataFrame:
+    """question_id, error, options, tested_concept, flashcard_seeds, topic_keywords, book_reference (P11, all but the plain fields of metadata()).
+
+    parts: question_id, chapter_title, section_title, anchor_label, target_position, correct (text, explanation),
+    distractors (array of text, explanation, concept_id, concept_label, misconception_id, misconception_label, misconception_type),
+    slots (array of distractor_level and the same three of a misconception), pre_tested and tested_concept (concept_id, concept_label,
+    knowledge_tested), flashcard_seeds (a map of front, back), flashcard_fronts (as flashcard_fronts() gives), topic_keywords, own_keywords.
+
+    The concept planned beforehand goes before the one written, but what is tested of it is always as written.  A slot's
+    misconception goes before the written one; a written front and written keywords before those of the templates.  error
+    tells, in this order, a missing concept and too few wrong options or slots; such rows have no options.
+    """
+    planned = F.coalesce(F.col("pre_tested.concept_id"), F.lit("")) != ""
+    pick = lambda f: F.when(planned, F.col(f"pre_tested.{f}")).otherwise(F.col(f"tested_concept.{f}")).alias(f)
+    concept = F.struct(pick("concept_id"), pick("concept_label"), F.coalesce("tested_concept.knowledge_tested", F.lit("")).alias("knowledge_tested"))
+    at = F.array_position(F.array(*map(F.lit, LETTERS)), F.col("target_position")).cast("int") - 1
+    filled = lambda c: F.nullif(c, F.lit(""))
+
+    def option(i: int) -> Column:
+        k = F.when(F.lit(i) > at, i - 1).otherwise(i)
+        right, wrong, slot = at == i, F.get("distractors", k), F.get("slots", k)
+        only = lambda c: F.when(~right, c)
+        both = lambda f: F.when(right, F.col(f"correct.{f}")).otherwise(wrong[f])
+        return F.struct(
+            F.lit(LETTERS[i]).alias("letter"), both("text").alias("text"), right.alias("is_correct"), F.coalesce(both("explanation"), F.lit("")).alias("explanation"),
+            *(F.when(right, F.col(f"__concept.{f}")).otherwise(wrong[f]).alias(f) for f in ("concept_id", "concept_label")), only(slot.distractor_level).alias("distractor_level"), only(F.col("__concept.concept_id")).alias("confused_with"),
+            *(only(F.coalesce(filled(slot[f]), wrong[f])).alias(f) for f in ("misconception_id", "misconception_label", "misconception_type")),
+        )
+
+    few = F.coalesce(F.least(F.size("distractors"), F.size("slots")), F.lit(0)) < 3
+    error = F.when(F.coalesce(F.col("__concept.concept_id"), F.lit("")) == "", "missing tested_concept").when(few, "distractor count mismatch")
+    seed = lambda kind, side: filled(F.try_element_at("flashcard_seeds", F.lit(kind))[side])
+    cards = F.create_map(*(x for kind in ("concept", "comparison", "nuance") for x in (F.lit(kind), F.struct(F.coalesce(seed(kind, "front"), F.col(f"flashcard_fronts.{kind}_front"), F.lit("")).alias("front"), F.coalesce(seed(kind, "back"), F.lit("")).alias("back")))))
+    words = F.when(F.size(F.coalesce("topic_keywords", F.array().cast("array<string>"))) > 0, F.col("topic_keywords")).otherwise(F.col("own_keywords"))
+    book = F.struct(F.col("chapter_title").alias("chapter"), F.coalesce(filled(F.col("section_title")), F.col("chapter_title")).alias("section"), F.coalesce("anchor_label", F.lit("")).alias("anchor"))
+    told = parts.withColumn("__concept", concept).withColumn("__error", error)
+    return told.select(
+        "question_id", F.col("__error").alias("error"), F.when(F.col("__error").isNull(), F.array(*map(option, range(4)))).alias("options"), F.col("__concept").alias("tested_concept"), cards.alias("flashcard_seeds"),
+        F.coalesce(words, F.array().cast("array<string>")).alias("topic_keywords"), book.alias("book_reference"),
+    )

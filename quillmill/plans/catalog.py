@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.plans import authoring, flows, items, more, records, records_chain, relational, repairs
+from quillmill.plans import authoring, flows, items, more, patching, records, records_chain, relational, repairs
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return relational.QUERIES | items.QUERIES | more.QUERIES | authoring.QUERIES | flows.QUERIES | records.QUERIES | records_chain.QUERIES | repairs.QUERIES
+    return relational.QUERIES | items.QUERIES | more.QUERIES | authoring.QUERIES | flows.QUERIES | records.QUERIES | records_chain.QUERIES | repairs.QUERIES | patching.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return relational.ORACLES | items.ORACLES | more.ORACLES | authoring.ORACLES | flows.ORACLES | records.ORACLES | records_chain.ORACLES | repairs.ORACLES
+    return relational.ORACLES | items.ORACLES | more.ORACLES | authoring.ORACLES | flows.ORACLES | records.ORACLES | records_chain.ORACLES | repairs.ORACLES | patching.ORACLES

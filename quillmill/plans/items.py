@@ -96,10 +96,10 @@ def gate_anchor_grounding(spark, d):
 
 @query("SELECT question_id, NOT (a OR b OR c) AS ok, (a::INTEGER + b::INTEGER + 2 * c::INTEGER)::DOUBLE AS metric FROM (SELECT question_id, doc_id % 3 = 0 AS a, doc_id % 5 = 0 AS b, doc_id % 7 = 0 AS c FROM q)")
 def gate_attribution(spark, d):
-    """Citations written into stem and explanations: a strange one, one on the list, two kinds at once."""
+    """Citations written into whole stems and explanations: a strange one, one on the list, two kinds at once."""
     cited = F.concat(F.when(F.col("doc_id") % 3 == 0, "Squire (2004) found it. ").otherwise("Piaget (1936) found it. "), F.col("question_stem"), F.when(F.col("doc_id") % 5 == 0, ". Per Smith it did.").otherwise(""))
-    told = F.transform("options", lambda o: o.withField("explanation", F.when((o.letter == "C") & (F.col("doc_id") % 7 == 0), "so Weber's theory held, and Jones et al. agreed").otherwise("")).withField("text", F.lower(o.text)))
-    rows = questions(spark, d).withColumn("question_stem", F.regexp_replace(cited, "^((?:Squire|Piaget) .1?[0-9]+.) found it[.] .*?((?:[.] Per Smith it did[.])?)$", "$1 found it$2")).withColumn("options", told)
+    told = F.transform("options", lambda o: o.withField("explanation", F.concat(o.explanation, F.when((o.letter == "C") & (F.col("doc_id") % 7 == 0), ", so Weber's theory held, and Jones et al. agreed").otherwise(""))))
+    rows = questions(spark, d).withColumn("question_stem", cited).withColumn("options", told)
     return rows.select("question_id", gates.attribution(["Piaget"]).alias("g")).select("question_id", "g.ok", "g.metric")
 
 

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from quillmill.operators import patches
+from quillmill.operators import assembly, patches, sweeps
 
 OPTIONS = "array<struct<letter:string,text:string,is_correct:boolean,explanation:string>>"
 FOUR = [(x, f"text {x}", x == "B", f"why {x}") for x in "ABCD"]
@@ -112,3 +112,42 @@ def test_empty_tables(spark):
     rows = spark.createDataFrame([], f"question_id string, chapter string, question_stem string, gate string, options {OPTIONS}, flagged array<string>")
     answers = spark.createDataFrame([], ANSWERS)
     assert patches.self_critique(rows, answers).count() == patches.rescue_by_gate(rows, answers).count() == patches.rubric_verdicts(rows, answers, "c", ("x",)).count() == 0
+
+
+def test_name_sweep(spark):
+    rows = spark.createDataFrame([("a", "As Freud & Jung, Adler (1911) said. Freud's theory. Freud et al. left"), ("b", "According to Jung it is so"), ("b", None), ("c", "Per Jung no"), ("a", "nobody here")], "src string, x string")
+    names = sweeps.swept_names(sweeps.name_hits(rows, F.col("x"), F.col("src")), ["a", "b"], ["Jung"])
+    got = {r["name"]: (r["total"], r["in_a"], r["in_b"], r["as_year"], r["as_et_al"], r["as_according_to"], r["as_possessive"], r["whitelisted"]) for r in names.collect()}
+    assert got == {"Freud": (3, 3, 0, 1, 1, 0, 1, False), "Jung": (3, 1, 1, 1, 0, 2, 0, True), "Adler": (1, 1, 0, 1, 0, 0, 0, False)}
+    assert tuple(sweeps.sweep_summary(names).first()) == (7, 3, 1, 3, 42.9, 2, 4, 57.1)
+    assert [tuple(r)[:2] for r in sweeps.top_names(names, 2).collect()] == [("Freud", 3), ("Jung", 3)] and [r["name"] for r in sweeps.top_names(names, 5, True).collect()] == ["Freud", "Adler"]
+    assert tuple(sweeps.sweep_summary(names.where("false")).first()) == (0, 0, 0, 0, 0.0, 0, 0, 0.0)
+
+
+WRONG = "array<struct<text:string,explanation:string,concept_id:string,concept_label:string,misconception_id:string,misconception_label:string,misconception_type:string>>"
+SLOTS = "array<struct<distractor_level:int,misconception_id:string,misconception_label:string,misconception_type:string>>"
+CONCEPT = "struct<concept_id:string,concept_label:string,knowledge_tested:string>"
+PARTS = f"question_id string, chapter_title string, section_title string, anchor_label string, target_position string, correct struct<text:string,explanation:string>, distractors {WRONG}, slots {SLOTS}, pre_tested {CONCEPT}, tested_concept {CONCEPT}, flashcard_seeds map<string,struct<front:string,back:string>>, flashcard_fronts struct<concept_front:string,comparison_front:string,nuance_front:string>, topic_keywords array<string>, own_keywords array<string>"
+
+
+def test_question_record(spark):
+    wrong = [(f"w{i}", None, f"c{i}", f"C{i}", f"m{i}", None, "kind") for i in range(3)]
+    slots = [(1, "s0", "S0", None), (2, "", None, "other"), (3, None, None, None), (4, "unused", None, None)]
+    fronts, whole = ("cf", "pf", None), ("t", "e")
+    rows = [
+        ("full", "Ch", "Sec", "L", "B", whole, wrong, slots, ("p", "P", "ignored"), ("t", "T", "knows"), {"concept": ("f", "b"), "comparison": ("", "b2")}, fronts, ["k"], ["own"]),
+        ("bare", "Ch", None, None, "D", whole, wrong, slots, None, ("t", "T", None), None, None, [], None),
+        ("few", "Ch", "", "", "A", whole, wrong[:2], slots, None, ("t", "T", None), {}, fronts, None, ["own"]),
+        ("none", "Ch", "", "", "A", whole, None, None, ("", "P", None), None, None, fronts, None, None),
+    ]
+    got = {r["question_id"]: r.asDict(recursive=True) for r in assembly.question_record(spark.createDataFrame(rows, PARTS)).collect()}
+    assert {q: r["error"] for q, r in got.items()} == {"full": None, "bare": None, "few": "distractor count mismatch", "none": "missing tested_concept"}
+    full = got["full"]
+    assert [tuple(o.values()) for o in full["options"]] == [
+        ("A", "w0", False, "", "c0", "C0", 1, "p", "s0", "S0", "kind"), ("B", "t", True, "e", "p", "P", None, None, None, None, None),
+        ("C", "w1", False, "", "c1", "C1", 2, "p", "m1", None, "other"), ("D", "w2", False, "", "c2", "C2", 3, "p", "m2", None, "kind"),
+    ]
+    assert full["tested_concept"] == {"concept_id": "p", "concept_label": "P", "knowledge_tested": "knows"} and full["topic_keywords"] == ["k"] and full["book_reference"] == {"chapter": "Ch", "section": "Sec", "anchor": "L"}
+    assert full["flashcard_seeds"] == {"concept": {"front": "f", "back": "b"}, "comparison": {"front": "pf", "back": "b2"}, "nuance": {"front": "", "back": ""}}
+    assert [o["letter"] for o in got["bare"]["options"] if o["is_correct"]] == ["D"] and got["bare"]["book_reference"] == {"chapter": "Ch", "section": "Ch", "anchor": ""} and got["bare"]["topic_keywords"] == []
+    assert got["few"]["options"] is None and got["few"]["topic_keywords"] == ["own"]
