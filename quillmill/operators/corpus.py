@@ -53,28 +53,63 @@ def _pair(name: str, pattern: str):
     return lambda m: F.struct(F.lit(name).alias("pattern"), F.lower(F.regexp_extract(m, pattern, 1)).alias("a"), F.lower(F.regexp_extract(m, pattern, 2)).alias("b"))
 
 
-def similar_pairs(rows: DataFrame, id_col: str, slug: Column, label: Column, description: Column, threshold: float = 0.7) -> DataFrame:
-    """Pairs whose weighted similarity reaches the threshold; told rounded to 3.
+#: Classes that meet on one token in one task: longer lists are cut into blocks.
+LIST_BLOCK = 4096
+_SETS = ("slug", "label", "description")
+
+
+def similarity_classes(rows: DataFrame, id_col: str, slug: Column, label: Column, description: Column) -> tuple[DataFrame, DataFrame]:
+    """(classes, members) of rows whose three token sets are the same: class (the smallest id), slug, label, description, n; and id, class.
+
+    A null set is an empty one.  Rows are counted before they are shuffled, and members find their class by a join, so
+    no class meets in one task.  Ids are unique.
+    """
+    empty = F.array().cast("array<string>")
+    sets = rows.select(F.col(id_col).alias("id"), *(F.array_sort(F.coalesce(c, empty)).alias(name) for name, c in zip(_SETS, (slug, label, description))))
+    classes = sets.groupBy(*_SETS).agg(F.min("id").alias("class"), F.count("*").alias("n"))
+    return classes, sets.join(classes.drop("n"), [*_SETS]).select("id", "class")
+
+
+def similar_classes(classes: DataFrame, threshold: float = 0.7, block: int = LIST_BLOCK) -> DataFrame:
+    """class_a <= class_b, score: pairs of classes whose weighted similarity reaches the threshold, told rounded to 3; a class
+    with itself where its members are so similar to each other (J8).
 
     The description gives at most 0.2, so in a pair that reaches the threshold the
     slugs' or the labels' similarity is at least s = (threshold - 0.2) / 0.8.  Two
     sets so similar share one of the n - ceil(s n) + 1 rarest tokens of each:
-    candidates meet on these only, rare ones first, and the score is then exact.
+    candidates meet on these only, rare ones first, where sizes and places still allow s, and
+    the score is then exact.  A token of many classes has its list cut into blocks, each of which meets all of it
+    in a task of its own.
     """
     if threshold <= 0.2:
         raise ValueError("below 0.2 a description alone could make a pair")
     least = (threshold - 0.2) / 0.8
-    sets = rows.select(F.col(id_col).alias("id"), slug.alias("slug"), label.alias("label"), description.alias("description"))
-    named = sets.select("id", F.explode(F.array(*(F.struct(F.lit(c).alias("side"), F.col(c).alias("tokens")) for c in ("slug", "label")))).alias("s")).select("id", "s.side", F.explode("s.tokens").alias("token"))
+    named = classes.select("class", F.explode(F.array(*(F.struct(F.lit(c).alias("side"), F.col(c).alias("tokens")) for c in ("slug", "label")))).alias("s")).select("class", "s.side", F.explode("s.tokens").alias("token"))
     frequency = named.groupBy("side", "token").agg(F.count("*").alias("df"))
-    ranked = named.join(frequency, ["side", "token"]).groupBy("id", "side").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))  # the tokens of one row
-    n = F.size("t")
-    index = ranked.select("id", "side", F.explode(F.transform(F.slice("t", F.lit(1), n - F.ceil(n * least - 1e-9).cast("int") + 1), lambda x: x.token)).alias("token"))
-    pairs = index.alias("a").join(index.alias("b"), ["side", "token"]).where("a.id < b.id").select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
-    side = lambda p: sets.select(F.col("id").alias(p), *(F.col(c).alias(f"{p}_{c}") for c in ("slug", "label", "description")))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    score = T.weighted_similarity(*({c: F.col(f"{p}_{c}") for c in ("slug", "label", "description")} for p in ("a", "b")))
-    return both.withColumn("score", score).where(F.col("score") >= threshold - 1e-12).select("a", "b", F.round("score", 3).alias("score"))
+    ranked = named.join(frequency, ["side", "token"]).groupBy("class", "side").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))  # the tokens of one class
+    size = F.size("t")
+    prefix = F.slice("t", F.lit(1), size - F.ceil(size * least - 1e-9).cast("int") + 1)
+    index = ranked.select("class", "side", size.alias("size"), F.posexplode(prefix).alias("at", "x")).select("class", "side", "size", "at", "x.token", F.ceil(F.col("x.df") / block).cast("int").alias("blocks"))
+    left = index.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")).alias("l")
+    right = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("r")
+    rest = F.least(F.col("l.size") - F.col("l.at"), F.col("r.size") - F.col("r.at"))  # of the first token they share, that one included
+    possible = rest >= F.ceil((F.col("l.size") + F.col("r.size")) * (least / (1 + least)) - 1e-9)
+    first = left.join(right, (F.col("l.side") == F.col("r.side")) & (F.col("l.token") == F.col("r.token")) & (F.col("l.block") == F.col("r.block")) & (F.col("l.class") < F.col("r.class")) & possible)
+    pairs = first.select(F.col("l.class").alias("class_a"), F.col("r.class").alias("class_b")).distinct()
+    side = lambda p: classes.select(F.col("class").alias(f"class_{p}"), *(F.col(c).alias(f"{p}_{c}") for c in _SETS))
+    score = lambda *sides: T.weighted_similarity(*({c: F.col(p + c) for c in _SETS} for p in sides))
+    both = pairs.join(side("a"), "class_a").join(side("b"), "class_b").select("class_a", "class_b", score("a_", "b_").alias("score"))
+    own = classes.where("n > 1").select(F.col("class").alias("class_a"), F.col("class").alias("class_b"), score("", "").alias("score"))
+    return both.unionByName(own).where(F.col("score") >= threshold - 1e-12).withColumn("score", F.round("score", 3))
+
+
+def similar_pairs(rows: DataFrame, id_col: str, slug: Column, label: Column, description: Column, threshold: float = 0.7) -> DataFrame:
+    """a < b, score: the pairs of classes told for all their members.  The output grows with the square of a class:
+    where classes are large, take similarity_classes and similar_classes, which lose nothing."""
+    classes, members = similarity_classes(rows, id_col, slug, label, description)
+    of = lambda p: members.select(F.col("id").alias(p), F.col("class").alias(f"class_{p}"))
+    told = similar_classes(classes, threshold).join(of("a"), "class_a").join(of("b"), "class_b").where("class_a < class_b or a < b")
+    return told.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "score")
 
 
 def ngram_overlap(docs: DataFrame, items: DataFrame, n: int = 5) -> DataFrame:

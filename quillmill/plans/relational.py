@@ -262,13 +262,31 @@ def ngram_overlap_benchmark(spark, d):
     return C.ngram_overlap(table(spark, d, "documents"), table(spark, d, "benchmark")).withColumn("share", F.round("share", 6))
 
 
-_J = lambda p: {"slug": f"{p}.slug", "label": f"{p}.label", "description": f"{p}.description"}
+_CLASSES = f"""WITH s AS (SELECT p_partkey AS id, list_sort(list_distinct(list_filter(string_split(lower(replace(p_name, ' ', '-')), '-'), lambda t: length(t) >= 3))) AS slug, list_sort({sql_set('p_name', 3)}) AS label, list_sort({sql_set('p_type', 4)}) AS description FROM part),
+c AS (SELECT slug, label, description, min(id) AS class, count(*) AS n FROM s GROUP BY ALL), m AS (SELECT id, class FROM s JOIN c USING (slug, label, description)),
+p AS (SELECT a.class AS class_a, b.class AS class_b, a.n AS n_a, b.n AS n_b, 0.5::DOUBLE * {sql_jaccard('a.slug', 'b.slug')} + 0.3::DOUBLE * {sql_jaccard('a.label', 'b.label')} + 0.2::DOUBLE * {sql_jaccard('a.description', 'b.description')} AS score FROM c a JOIN c b ON a.class < b.class OR (a.class = b.class AND a.n > 1))"""
 
 
-@query()
+def _part_sets(spark, d):
+    return table(spark, d, "part"), "p_partkey", T.slug_tokens(F.replace("p_name", F.lit(" "), F.lit("-"))), T.token_set(F.col("p_name"), 3), T.token_set(F.col("p_type"), 4)
+
+
+@query(f"{_CLASSES} SELECT least(x.id, y.id) AS a, greatest(x.id, y.id) AS b, round(score, 3) AS score FROM p JOIN m x ON x.class = class_a JOIN m y ON y.class = class_b WHERE score >= 0.7 - 1e-12 AND (class_a < class_b OR x.id < y.id)")
 def merge_candidates(spark, d):
-    """Against brute force in tests/test_operators.py: DuckDB would have to compare all pairs of parts."""
-    return C.similar_pairs(table(spark, d, "part"), "p_partkey", T.slug_tokens(F.replace("p_name", F.lit(" "), F.lit("-"))), T.token_set(F.col("p_name"), 3), T.token_set(F.col("p_type"), 4))
+    return C.similar_pairs(*_part_sets(spark, d))
+
+
+@query(f"{_CLASSES} SELECT class_a, class_b, n_a, n_b, round(score, 3) AS score FROM p WHERE score >= 0.7 - 1e-12")
+def merge_classes(spark, d):
+    """Pairs of classes of equal parts, with their sizes: what merge_candidates tells, without its square."""
+    classes, _ = C.similarity_classes(*_part_sets(spark, d))
+    size = lambda p: classes.select(F.col("class").alias(f"class_{p}"), F.col("n").alias(f"n_{p}"))
+    return C.similar_classes(classes).join(size("a"), "class_a").join(size("b"), "class_b").select("class_a", "class_b", "n_a", "n_b", "score")
+
+
+@query(f"{_CLASSES} SELECT id, class FROM m")
+def merge_members(spark, d):
+    return C.similarity_classes(*_part_sets(spark, d))[1]
 
 
 @query(f"SELECT doc_id, round(CASE WHEN len(k) = 0 THEN 1.0 ELSE len(list_filter(k, lambda w: contains(low, w))) / len(k)::DOUBLE END, 6) AS coverage FROM (SELECT d.doc_id, lower(d.text) AS low, {sql_set('b.text', 4, R.GROUNDING_STOP)} AS k FROM documents d JOIN benchmark b ON b.item_id = d.doc_id % 40)")

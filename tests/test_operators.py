@@ -256,6 +256,21 @@ def test_similar_pairs_against_brute_force(spark):
         assert {(r["a"], r["b"]) for r in found} == want and want
 
 
+def test_similar_classes_of_repeated_rows_nulls_and_blocks(spark):
+    rows = [(i, "red-hot-iron" if i % 3 else "red-hot-gear", "red hot", "large") for i in range(60)] + [(100, None, None, None), (101, None, None, None), (102, "", "", ""), (103, "red-hot-iron", "red hot", "small")]
+    df = spark.createDataFrame(rows, "id int, slug string, label string, d string")
+    sets = (T.slug_tokens(F.col("slug")), T.token_set(F.col("label"), 3), T.token_set(F.col("d"), 4))
+    classes, members = corpus.similarity_classes(df, "id", *sets)
+    want = {i: 0 if i % 3 == 0 else 1 for i in range(60)} | {100: 100, 101: 100, 102: 100, 103: 103}
+    assert {r["id"]: r["class"] for r in members.collect()} == want
+    for block in (1, 2, 4096):
+        found = {(r["class_a"], r["class_b"]): r["score"] for r in corpus.similar_classes(classes, 0.5, block).collect()}
+        assert found == {(0, 0): 1.0, (1, 1): 1.0, (0, 1): 0.75, (0, 103): 0.55, (1, 103): 0.8}
+    pairs = {(r["a"], r["b"]) for r in corpus.similar_pairs(df, "id", *sets, 0.76).collect()}
+    assert pairs == {(a, b) for a, x in want.items() for b, y in want.items() if a < b and (x == y != 100 or {x, y} == {1, 103})}
+    assert corpus.similar_classes(classes.where("false")).count() == 0
+
+
 def test_empty_source_is_refused(spark):
     import pytest
 
