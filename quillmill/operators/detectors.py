@@ -53,7 +53,8 @@ def laterality_signature(stem: Column, text: Column) -> Column:
     found = F.lit(None).cast("string")
     for a, b in reversed(R.LATERAL_PAIRS):
         for x, y in ((b, a), (a, b)):
-            found = F.when(clean.rlike(_whole(x)) & text.rlike(_whole(y)), f"laterality:'{x}'(stem)_vs_'{y}'(distractor)").otherwise(found)
+            # The distractor first: it is short and seldom has a side, so the stem is seldom read.
+            found = F.when(text.rlike(_whole(y)) & clean.rlike(_whole(x)), f"laterality:'{x}'(stem)_vs_'{y}'(distractor)").otherwise(found)
     return found
 
 
@@ -67,7 +68,7 @@ def stage_signature(stem: Column, text: Column) -> Column:
     """The stem's stage against the later one, in this direction only."""
     found = F.lit(None).cast("string")
     for a, b in reversed(R.STAGE_PAIRS):
-        found = F.when(stem.rlike(_whole(a)) & text.rlike(_whole(b)) & ~stem.rlike(_whole(b)), f"stage_timing:'{a}'(stem)_vs_'{b}'(distractor)").otherwise(found)
+        found = F.when(text.rlike(_whole(b)) & stem.rlike(_whole(a)) & ~stem.rlike(_whole(b)), f"stage_timing:'{a}'(stem)_vs_'{b}'(distractor)").otherwise(found)
     return found
 
 
@@ -96,35 +97,44 @@ def english_gap() -> Column:
     return F.transform(wrong, one)
 
 
-def label_pair(stem: Column, text: Column, brief_pairs: list[tuple[str, str]] = ()) -> Column:
-    """struct(pair, confidence, blocked): brief pairs first, then the fixed pairs, then
-    the upper-case ones, case-sensitive; the first that matches decides (D16).
-
-    A pair matches when both labels begin in the stem within 200 characters of each
-    other and the distractor has one of them.
-    """
-    blocked = text.rlike(_words(R.LABEL_QUANTIFIERS))
-    kind = "struct<pair:string,confidence:double,blocked:boolean>"
-    found = []
+def stem_pairs(stem: Column, brief_pairs: list[tuple[str, str]] = ()) -> Column:
+    """array of (pair, confidence, pattern): the label pairs that begin in the stem within 200 characters of each other, in the
+    order in which they decide: brief pairs, the fixed ones, the upper-case ones, which are case-sensitive.  pattern finds one
+    of the two in a distractor."""
     tiers = [(list(brief_pairs), 1.0, "(?i)"), (R.LABEL_PAIRS, 0.5, "(?i)"), (R.UPPERCASE_PAIRS, 0.5, "")]
-    for pairs, confidence, flag in tiers:
-        for a, b in pairs:
-            near = T.begin_within(rf"\Q{a}\E", rf"\Q{b}\E", 200, flag)
-            both = F.contains(F.lower(stem), F.lit(a.lower())) & F.contains(F.lower(stem), F.lit(b.lower()))  # cheaper than the pattern
-            hit = both & stem.rlike(near) & (text.rlike(rf"{flag}\b\Q{a}\E\b") | text.rlike(rf"{flag}\b\Q{b}\E\b"))
-            found.append(F.when(hit, F.struct(F.lit(f"{a}|{b}").alias("pair"), F.lit(confidence).alias("confidence"), blocked.alias("blocked"))))
-    return F.coalesce(*found, F.lit(None).cast(kind))
+
+    def near(low: Column) -> Column:
+        found = []
+        for pairs, confidence, flag in tiers:
+            for a, b in pairs:
+                both = F.contains(low, F.lit(a.lower())) & F.contains(low, F.lit(b.lower()))  # cheaper than the pattern
+                told = F.struct(F.lit(f"{a}|{b}").alias("pair"), F.lit(confidence).alias("confidence"), F.lit(rf"{flag}\b(?:\Q{a}\E|\Q{b}\E)\b").alias("pattern"))
+                found.append(F.when(both & stem.rlike(T.begin_within(rf"\Q{a}\E", rf"\Q{b}\E", 200, flag)), told))
+        return F.filter(F.array(*found), lambda x: x.isNotNull())
+
+    return T.bound(F.lower(stem), near)
+
+
+def first_pair(near: Column, text: Column) -> Column:
+    """struct(pair, confidence, blocked) of the first of stem_pairs() of which the distractor has a label."""
+    own = F.get(F.filter(near, lambda x: F.regexp_like(text, x.pattern)), F.lit(0))
+    return T.bound(own, lambda x: F.when(x.isNotNull(), F.struct(x.pair.alias("pair"), x.confidence.alias("confidence"), text.rlike(_words(R.LABEL_QUANTIFIERS)).alias("blocked"))))
+
+
+def label_pair(stem: Column, text: Column, brief_pairs: list[tuple[str, str]] = ()) -> Column:
+    """first_pair() for one distractor."""
+    return T.bound(stem_pairs(stem, brief_pairs), lambda near: first_pair(near, text))
 
 
 def schema_labeling(brief_pairs: list[tuple[str, str]] = ()) -> Column:
     """Override to content_gap on a label pair, unless a quantifier blocks it."""
     wrong = F.filter("options", lambda o: ~F.coalesce(o.is_correct, F.lit(False)))
 
-    def one(o: Column) -> Column:
-        found = label_pair(F.col("question_stem"), o.text, brief_pairs)
-        return T.bound(found, lambda s: signal("schema_labeling", o.letter, s.isNotNull() & ~s.blocked, s.confidence, "schema_labeling", "override_to", "content_gap", s.pair))
+    def one(near: Column, o: Column) -> Column:
+        return T.bound(first_pair(near, o.text), lambda s: signal("schema_labeling", o.letter, s.isNotNull() & ~s.blocked, s.confidence, "schema_labeling", "override_to", "content_gap", s.pair))
 
-    return F.transform(wrong, one)
+    # The stem's pairs are looked for once a question, and few stems have any.
+    return T.bound(stem_pairs(F.col("question_stem"), brief_pairs), lambda near: F.transform(wrong, lambda o: one(near, o)))
 
 
 def from_gate(name: str, gate: Column, confidence: float) -> Column:
@@ -136,9 +146,11 @@ def numeric_overlap() -> Column:
     """Two options name instruments whose age ranges cover an age of the stem."""
     years = T.ages(F.col("question_stem"))
     table = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(a).alias("low"), F.lit(b).alias("high")) for n, (a, b) in R.INSTRUMENT_AGES.items()))
-    covered = F.filter("options", lambda o: F.exists(table, lambda r: F.regexp_like(F.lower(o.text), F.concat(F.lit(r"\b\Q"), r["name"], F.lit(r"\E\b"))) & F.exists(years, lambda y: y.between(r.low, r.high))))
+    # Instruments of the stem's ages once a question: most stems have none, so no option is read.
+    live = T.bound(years, lambda ys: F.filter(table, lambda r: F.exists(ys, lambda y: y.between(r.low, r.high))))
+    covered = T.bound(live, lambda rs: F.filter("options", lambda o: F.exists(rs, lambda r: F.regexp_like(F.lower(o.text), F.concat(F.lit(r"\b\Q"), r["name"], F.lit(r"\E\b"))))))
     action = F.when(F.col("difficulty_tier") == 4, "advisory").otherwise("block")
-    return F.array(signal("numeric_overlap", F.lit(None).cast("string"), F.size(covered) >= 2, 0.9, "numeric_overlap", action, None, F.array_join(F.transform(covered, lambda o: o.letter), ",")))
+    return T.bound(F.transform(covered, lambda o: o.letter), lambda x: F.array(signal("numeric_overlap", F.lit(None).cast("string"), F.size(x) >= 2, 0.9, "numeric_overlap", action, None, F.array_join(x, ","))))
 
 
 def imperative_lead() -> Column:

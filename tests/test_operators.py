@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quillmill.functions import attribution, refdata, udfs
 from quillmill.functions import text as T
-from quillmill.operators import corpus, detectors, fixers, gates, planning, policy, publish, verdicts
+from quillmill.operators import audits, corpus, detectors, fixers, gates, planning, policy, publish, verdicts
 from quillmill.operators.questions import OPTION
 from quillmill.plans import more
 from quillmill.sources import files
@@ -340,3 +340,19 @@ def test_match_distances_beyond_fifty_matches(spark, tmp_path):
     spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
     found = more.match_distances(spark, str(tmp_path)).collect()
     assert {r["doc_id"]: (r["n_a"], r["distance"]) for r in found} == {0: (60, 4), 1: (70, 6), 2: (2, None), 3: (0, None), 4: (0, None)}
+
+
+def test_vocabulary_signals_and_rewrites(spark):
+    words = lambda *xs: F.array(*map(F.lit, xs)).cast("array<string>")
+    get = lambda c: spark.range(1).select(c.alias("x")).first()["x"]
+    groups = [words("ab", "abcd", "abc", "wxyz"), words("abc", "q"), words()]
+    assert get(planning.vocabulary(groups, 3, 12)) == ["abcd", "wxyz", "abc", "q"] and get(planning.vocabulary(groups, 3, 2)) == ["abcd", "wxyz"]
+    assert [get(audits.rewrite_stem(F.lit(a), F.lit(b))) for a, b in ((1, 3), (2, 3), (1, 2), (0, 0), (None, 3))] == [False, True, True, False, False]
+    rows = spark.createDataFrame(
+        [("a", "d1", True, "block", None, 1.0, "r1"), ("b", "d1", False, "block", None, 0.0, "r2"), ("c", "d2", True, "override_to", "english_gap", 0.5, "r3"), ("d", "d2", True, "advisory", None, 0.5, "r4"), ("e", "d2", True, "override_to", None, 0.5, "r5"), ("f", "d3", True, "block", None, 1.5, "r6"), ("g", "d3", True, "shout", None, 0.5, "r7")],
+        "question_id string, detector_id string, fired boolean, verdict_action string, proposed_class string, confidence double, reason string",
+    )
+    valid = rows.select("question_id", detectors.valid_signal(F.struct("*")).alias("ok"))
+    assert {r["question_id"] for r in valid.collect() if r["ok"]} == {"a", "b", "c", "d"}
+    failed = {tuple(r) for r in detectors.blocking(rows.where("question_id < 'e'")).collect()}
+    assert failed == {("a", "detector:d1", "r1"), ("c", "detector:d2", "r3")}
