@@ -61,8 +61,8 @@ def differs(column: pa.Array) -> np.ndarray:
 
 
 def released() -> None:
-    """Gives memory that this worker holds but does not use back to the machine: workers are used again by later
-    tasks, and what each kind of task has once needed would add up."""
+    """Gives memory that this process holds but does not use back to the machine: workers are used again by later
+    tasks, and what each kind of task has once needed would add up; so would what the driver has once fitted."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

@@ -382,10 +382,11 @@ def node_map(nodes: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def node_sets(sets: DataFrame, wanted: DataFrame, maps: Broadcast) -> DataFrame:
+def node_sets(sets: DataFrame, wanted: DataFrame, maps: Broadcast, bits: int) -> DataFrame:
     """node, size, elements binary: the repeated elements of (at least) the wanted nodes.
-    The others are in no other set, so they add to no intersection."""
-    shared = sets.sparkSession.sparkContext.broadcast(node_map(wanted, min(26, maps.value.bits)))
+    The others are in no other set, so they add to no intersection.  bits: of the maps,
+    which are not to be read on the driver."""
+    shared = sets.sparkSession.sparkContext.broadcast(node_map(wanted, min(26, bits)))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -461,12 +462,13 @@ def link_components(sets: DataFrame, percent: int, ranges: Ranges, bits: int) ->
     """node, root over all nodes that have a link.  sets: node, elements."""
     found_maps, mean_list = frequency_maps(sets, ranges, bits)
     maps = sets.sparkSession.sparkContext.broadcast(found_maps)  # at most 2 ** MAP_BITS bits each
+    del found_maps  # the driver keeps no copy
     found = durable(candidates(sets, percent, maps, boundary(mean_list, percent), ranges))
     pairs = found.where("list is null").select("a", "b").distinct()
     long_lists = found.where("list is not null").select("list", "a", "size", "at")
     # One node may recur in very many pairs (a hub): it goes into column a.
     often = pairs.select("a").union(pairs.select("b")).groupBy("a").count()
-    checked = node_sets(sets, often.select("a"), maps)
+    checked = node_sets(sets, often.select("a"), maps, bits)
     times = lambda c: often.select(F.col("a").alias(c), F.col("count").alias(f"n_{c}"))
     turned = pairs.join(times("a"), "a").join(times("b"), "b").select(F.when(F.col("n_a") >= F.col("n_b"), F.col("a")).otherwise(F.col("b")).alias("a"), F.when(F.col("n_a") >= F.col("n_b"), F.col("b")).otherwise(F.col("a")).alias("b"))
     links = durable(verified(turned, checked, percent))
@@ -476,7 +478,7 @@ def link_components(sets: DataFrame, percent: int, ranges: Ranges, bits: int) ->
         rest = durable(pairs_of_lists(placed, percent).join(pairs, ["a", "b"], "left_anti"))
         if not rest.isEmpty():
             ends = rest.select("a").union(rest.select("b"))
-            more = durable(verified(rest, node_sets(sets, ends, maps), percent))
+            more = durable(verified(rest, node_sets(sets, ends, maps, bits), percent))
             roots = connected_components(links.union(more))
     return roots
 

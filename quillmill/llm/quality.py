@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.arrow_text import slices, text_slices, tidy
+from quillmill.llm.arrow_text import released, slices, text_slices, tidy
 from quillmill.llm.labelled import labelled_sample, unique_texts
 
 #: Labelled texts used for fitting at most.
@@ -194,7 +194,9 @@ class GatedAttention:
 def fit_quality(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", folds: int = 4, held_out: int = 2, most: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> GatedAttention:
     """Fitted on a bounded sample of the labels outside the held-out fold; without
     labels, texts or one of the two labels the score is constant."""
-    return fit(*labelled_sample(docs, labels, label_col, folds=folds, held_out=held_out, most=most, text_col=text_col, id_col=id_col))
+    model = fit(*labelled_sample(docs, labels, label_col, folds=folds, held_out=held_out, most=most, text_col=text_col, id_col=id_col))
+    released()
+    return model
 
 
 def fit(texts: list[str], labels: list[int], prior: float | None = None) -> GatedAttention:

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.arrow_text import numbered_words, slices, text_slices, tidy
+from quillmill.llm.arrow_text import numbered_words, released, slices, text_slices, tidy
 from quillmill.llm.labelled import labelled_sample, unique_texts
 
 #: Labelled texts used for fitting at most, and lexicon entries kept at most.
@@ -449,7 +449,9 @@ def fit(texts: list[str], labels: list[int], prior: float | None = None, most: i
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", folds: int = 5, held_out: int = 0, most: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Grammar:
     """Fitted on a bounded sample of the labels outside the held-out fold."""
-    return fit(*labelled_sample(docs, labels, label_col, folds=folds, held_out=held_out, most=most, text_col=text_col, id_col=id_col))
+    grammar = fit(*labelled_sample(docs, labels, label_col, folds=folds, held_out=held_out, most=most, text_col=text_col, id_col=id_col))
+    released()
+    return grammar
 
 
 def score_toxicity(docs: DataFrame, grammar: Grammar, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,9 +1,13 @@
 """Stages of the pipeline on odd tables: nulls, repeated rows, long texts, empty tables, columns with clashing names."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from quillmill.llm import durable as durable_module
+from quillmill.llm.durable import durable
 from quillmill.llm.jaccard import keep_one_of_each_class
 from quillmill.llm.privacy import sanitise
 
@@ -49,3 +53,20 @@ def test_stage(spark, name, empty):
     else:
         assert {r["doc_id"] for r in rows} <= {None, *range(9)}
         assert {r["doc_id"] for r in docs.where(F.col("text").isNull()).collect()} <= {r["doc_id"] for r in rows} or name in ("quality", "toxicity")
+
+
+def test_the_drivers_garbage_goes_when_a_result_is_written(spark, monkeypatch):
+    jvm = spark.sparkContext._jvm
+    monkeypatch.setattr(durable_module, "_collected", -1e9, raising=False)
+    unused = jvm.java.lang.ref.WeakReference(jvm.java.lang.Object())
+    time.sleep(3)  # Python tells the JVM what it has let go a moment later
+    assert durable(spark.range(3)).count() == 3
+    assert unused.get() is None
+
+
+def test_the_driver_keeps_no_bit_maps(spark, monkeypatch):
+    told = []
+    real = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: told.append(real(self, value)) or told[-1])
+    keep_one_of_each_class(odd(spark)).count()
+    assert told and not any(hasattr(b, "_value") for b in told)  # it is there once the driver reads it back
