@@ -1,7 +1,5 @@
 """Stages of the pipeline on odd tables: nulls, repeated rows, long texts, empty tables, columns with clashing names."""
 
-import time
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,12 +54,13 @@ def test_stage(spark, name, empty):
 
 
 def test_the_drivers_garbage_goes_when_a_result_is_written(spark, monkeypatch):
-    jvm = spark.sparkContext._jvm
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    whole = lambda: sum(b.getCollectionCount() for b in beans if "Old Generation" in b.getName() or "MarkSweep" in b.getName())
+    durable(spark.range(3))  # what starting up collects is over
     monkeypatch.setattr(durable_module, "_collected", -1e9, raising=False)
-    unused = jvm.java.lang.ref.WeakReference(jvm.java.lang.Object())
-    time.sleep(3)  # Python tells the JVM what it has let go a moment later
+    before = whole()
     assert durable(spark.range(3)).count() == 3
-    assert unused.get() is None
+    assert whole() > before
 
 
 def test_the_driver_keeps_no_bit_maps(spark, monkeypatch):
