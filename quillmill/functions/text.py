@@ -33,6 +33,11 @@ def tokens(text: Column, least: int = 4, stop: Iterable[str] = ()) -> Column:
     return F.filter(found, lambda w: ~w.isin(*stop)) if stop else found
 
 
+def folded(text: Column) -> Column:
+    """Every character from À to ɏ as an x, a letter like the others."""
+    return F.regexp_replace(text, "[\u00c0-\u024f]", "x")
+
+
 def token_set(text: Column, least: int = 4, stop: Iterable[str] = ()) -> Column:
     return F.array_distinct(tokens(text, least, stop))
 

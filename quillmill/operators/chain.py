@@ -119,14 +119,14 @@ def distractor_mix() -> Column:
     return G.verdict(F.lit(False), "")
 
 
-def chain(whitelist: Iterable[str] = ()) -> list[tuple[str, Column, bool]]:
-    """Name, gate and whether a failure stops the chain, in order."""
+def chain(whitelist: Iterable[str] = (), fold: bool = False) -> list[tuple[str, Column, bool]]:
+    """Name, gate and whether a failure stops the chain, in order.  fold: see apply_identity."""
     brief_ids, labels = F.coalesce("brief_ids", F.array().cast(WORDS)), F.coalesce("brief_labels", F.expr(G.NO_LABELS))
     return [
         ("structure", structure(), True), ("content_quality", content_quality(), True), ("consistency", consistency(), True),
         ("anchor_grounding", G.anchor_grounding(F.coalesce("tested_concept.concept_id", F.lit("")), brief_ids), False), ("attribution", G.attribution(whitelist, F.col("tested_concept.knowledge_tested")), False),
         ("option_length_balance", G.length_balance(), False), ("blooms_cognitive_level", G.apply_level(brief_ids, labels), False), ("remember_identity", G.remember_identity(), False),
-        ("understand_identity", G.understand_identity(), False), ("apply_identity", G.apply_identity(), False), ("evaluate_identity", G.evaluate_identity(), False), ("domain_expertise", domain_expertise(), False),
+        ("understand_identity", G.understand_identity(), False), ("apply_identity", G.apply_identity(fold), False), ("evaluate_identity", G.evaluate_identity(), False), ("domain_expertise", domain_expertise(), False),
         ("scope_match", G.scope_match(F.coalesce("stem_pattern", F.lit("")), labels), False), ("option_claim", G.option_claim(), False), ("originality", G.originality(F.coalesce(F.nullif("source", F.lit("")), "testable_fact", F.lit(""))), False),
         ("topic_realm", _not_listing(G.topic_realm(F.transform(F.coalesce("brief_terms", F.array().cast(WORDS)), F.lower))), False), ("stem_keyword_distribution", _not_listing(G.stem_keywords(canonical_terms())), False),
         ("laterality_integrity", G.laterality(), False), ("universal_denial", G.universal_denial(), False), ("stem_eliminable_distractor", stem_eliminable(), False), ("distractor_mix", distractor_mix(), False),
@@ -138,13 +138,14 @@ def _named(name: str, first: bool) -> Callable[[Column], Column]:
     return lambda g: F.struct(F.lit(name).alias("gate"), g.ok.alias("ok"), g.reason.alias("reason"), g.metric.alias("metric"), F.lit(first).alias("first"))
 
 
-def check_records(records: DataFrame, whitelist: Iterable[str] = (), only: Callable[[str], bool] | None = None) -> DataFrame:
+def check_records(records: DataFrame, whitelist: Iterable[str] = (), only: Callable[[str], bool] | None = None, fold: bool = False) -> DataFrame:
     """question_id, failures (gate, reason) in order, cut after the first failing prerequisite, and
     warnings: tier 2 answers with few terms, a third to a half of the source repeated, an odd mix of levels (G12, G15, G21, G24).
 
     Each gate is computed once a record, whatever reads its parts.  only: which gates take part, by name.
+    fold: see apply_identity.
     """
-    gates = [g for g in chain(whitelist) if only is None or only(g[0])]
+    gates = [g for g in chain(whitelist, fold) if only is None or only(g[0])]
     told = F.array(*(T.bound(gate, _named(name, first)) for name, gate, first in gates))
     checked = records.select("question_id", "difficulty_tier", F.transform(_wrong(), lambda o: o.distractor_level).alias("levels"), F.explode(F.array(told)).alias("told"))  # the generator keeps the gates from being computed again by each reader
     failed = F.filter("told", lambda g: ~g.ok)

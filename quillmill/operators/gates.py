@@ -83,14 +83,19 @@ def understand_identity() -> Gate:
     return verdict((F.col("difficulty_tier") == 2) & ((F.length("question_stem") > 280) | (words > 40) | framed), "understand_identity: long or evaluative", words)
 
 
-def apply_identity() -> Gate:
-    """Tier 3: a scenario, an application verb with four content words after it, a mechanism."""
-    scenario = F.col("question_stem").rlike(R.SCENARIO_CASED) | F.col("question_stem").rlike(R.APPLY_SCENARIO)
+def apply_identity(fold: bool = False) -> Gate:
+    """Tier 3: a scenario, an application verb with four content words after it, a mechanism.
+
+    The words are those of `text.tokens`, so one with an ß or a letter of Latin Extended is none.  fold: letters
+    from À to ɏ count as any other letter does.
+    """
+    plain = T.folded if fold else lambda t: t
+    scenario = F.col("question_stem").rlike(R.SCENARIO_CASED) | plain(F.col("question_stem")).rlike(R.APPLY_SCENARIO)
     # each occurrence of a verb counts with what follows it
-    parts = F.split(F.lower(correct()), r"\b(?:" + "|".join(R.APPLICATION_VERBS) + r")\b")
+    parts = F.split(plain(F.lower(correct())), r"\b(?:" + "|".join(R.APPLICATION_VERBS) + r")\b")
     after = F.transform(F.sequence(F.lit(2), F.greatest(F.size(parts), F.lit(2))), lambda i: F.size(T.tokens(F.array_join(F.slice(parts, i, 1000), " "), 5, R.FULL_STOP)))
     most = F.when(F.size(parts) > 1, F.array_max(after)).otherwise(-1)
-    mechanism = correct().rlike(R.MECHANISM)
+    mechanism = plain(correct()).rlike(R.MECHANISM)
     reason = F.when(~scenario, "apply_identity: no scenario").when(most < 4, "apply_identity: bare label").when(~mechanism, "apply_identity: no mechanism")
     return verdict((F.col("difficulty_tier") == 3) & reason.isNotNull(), reason, most)
 

@@ -98,3 +98,11 @@ def test_nulls_crash_no_gate(spark):
     empty = {k: None for k in record()} | {"question_id": "null"}
     row = spark.createDataFrame([empty], SCHEMA)
     assert [f["gate"] for f in chain.check_records(row).select(F.col("failures")).first()[0]] == ["structure"]
+
+
+def test_words_with_letters_beyond_the_word_list_count_where_folded(spark):
+    """Four words follow the verb, one of them with an ß, as the SQL of gate_chain counts them."""
+    rows = [record(name, four("A", text=text), difficulty_tier=3, question_stem="A patient presents.") for name, text in (("sharp s", "Predict antagonist from chßber cheinver enheitie"), ("three words", "Predict antagonist from cheinver enheitie"), ("participle", "Predict antagonist cheinver enheitie lichkeit by chüing"))]
+    got = lambda fold: {r["question_id"]: [f["reason"] for f in r["failures"]] for r in chain.check_records(spark.createDataFrame(rows, SCHEMA), only=lambda n: n == "apply_identity", fold=fold).collect()}
+    assert got(True) == {"sharp s": [], "three words": ["apply_identity: bare label"], "participle": []}
+    assert got(False)["sharp s"] == ["apply_identity: bare label"]
