@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.functions.text import strip_fence
@@ -54,7 +54,7 @@ class Batch:
 
     def submit(self, send: Callable[[DataFrame, int], str]) -> int:
         """Sends each chunk that was not sent and returns how many were; send(requests, chunk) gives the
-        id of what it has sent or raises, and what was sent before stays sent.  A version for each chunk, so nothing is sent twice."""
+        id of what it has sent or raises, and what was sent before stays sent.  A version for each chunk, so nothing is sent twice; for many chunks take submit_whole."""
         if self.phase() not in (PREPARED, SUBMITTED):
             raise RuntimeError(f"phase {self.phase()}, not {PREPARED}")
         sent = 0
@@ -67,6 +67,21 @@ class Batch:
             sent += 1
         return sent
 
+    def submit_whole(self, send: Callable[[DataFrame], Column]) -> int:
+        """The same for a service that takes many chunks at once: send(requests) gets all that were not sent, and gives
+        each chunk's id as a column of `chunk`, or raises.  One job and one version, however many chunks there are; after
+        a send that failed none of its chunks counts as sent."""
+        if self.phase() not in (PREPARED, SUBMITTED):
+            raise RuntimeError(f"phase {self.phase()}, not {PREPARED}")
+        at = self.manifest.latest()
+        manifest = self.manifest.read(at)
+        open_ = manifest.where("batch_id is null").select("chunk")
+        sent = open_.count()
+        if sent:
+            name = send(self.tasks().join(open_, "chunk", "left_semi"))
+            self.manifest.commit(at, manifest.withColumns({"batch_id": F.coalesce("batch_id", name), "phase": F.lit(SUBMITTED)}))
+        return sent
+
     def collect(self, results: DataFrame, ended: DataFrame, schema: str, key: str = "question_id") -> bool:
         """Answers joined to their tasks, once all chunks were sent and have ended; else False and nothing changes.
 
@@ -105,3 +120,14 @@ def outbox(folder: str) -> Callable[[DataFrame, int], str]:
         return name
 
     return send
+
+
+def whole_outbox(folder: str) -> Callable[[DataFrame], Column]:
+    """The same for all chunks in one job: folders named batch_id=..., of which those that a send writes are replaced."""
+
+    def send(requests: DataFrame) -> Column:
+        name = F.format_string("batch-%06d", F.col("chunk"))
+        requests.withColumn("batch_id", name).drop("chunk").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").json(folder)
+        return name
+
+    return send

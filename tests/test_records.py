@@ -65,6 +65,38 @@ def test_a_batch_goes_through_its_phases(spark, tmp_path):
     assert batch.phase() == "prepared" and batch.tasks().count() == 25
 
 
+def test_many_chunks_are_sent_in_one_step(spark, tmp_path):
+    tasks = spark.createDataFrame([(f"q{i:03d}", f"ask {i}") for i in range(50)], "question_id string, prompt string")
+    batch, folder = batches.Batch(spark, str(tmp_path / "b")), str(tmp_path / "out")
+    batch.prepare(tasks, ["question_id"], 2)
+
+    def breaks(requests, chunk):
+        if chunk == 2:
+            raise OSError("down")
+        return f"own-{chunk}"
+
+    def down(requests):
+        raise OSError("down")
+
+    for send, submit in ((breaks, batch.submit), (down, batch.submit_whole)):
+        with pytest.raises(OSError):
+            submit(send)
+    at = batch.manifest.latest()
+    assert batch.submit_whole(batches.whole_outbox(folder)) == 23 and batch.manifest.latest() == at + 1
+    assert batch.submit_whole(down) == 0 and batch.phase() == "submitted"  # nothing is sent twice
+    assert {r["chunk"]: r["batch_id"] for r in batch.manifest.current().collect()} == {0: "own-0", 1: "own-1"} | {k: f"batch-{k:06d}" for k in range(2, 25)}
+    out = spark.read.json(folder)
+    assert sorted((r["short_id"], r["batch_id"]) for r in out.collect()) == [(f"q{i:03d}", f"batch-{i // 2:06d}") for i in range(4, 50)]
+
+
+def test_batch_phases_takes_no_step_for_each_chunk(spark, monkeypatch):
+    from quillmill.plans.records import batch_phases
+
+    commits, commit = [], Versions.commit
+    monkeypatch.setattr(Versions, "commit", lambda self, *a: commits.append(a[0]) or commit(self, *a))
+    assert batch_phases(spark, "/root/testdata/sf0.01").select("chunk").distinct().count() == 2 and len(commits) == 3  # prepared, submitted, complete
+
+
 def test_pairs_with_reasons_and_snippets(spark):
     texts = [
         (1, "Anode vs. cathode here. ANODE versus Cathode"), (2, "differentiate cathode from anode"), (3, "between anode and cathode"), (4, "more vs less, is vs are, ab vs cd, this vs anode, always vs anode, agonist vs antagonist, anode vs anode, iv vs dv"),
