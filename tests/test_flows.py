@@ -206,3 +206,21 @@ def test_sums_of_a_manifest(spark):
     assert (told["editorial_total_major"], told["chapters_with_editorial_major"], told["editorial_total_clean"], told["cross_model_disagreement_total"], told["chapters_with_cross_model_disagreement"], told["fixes_applied"]) == (3, 1, None, None, None, 0)
     nothing = passes.manifest_sums(manifest.limit(0)).first().asDict()
     assert nothing["chapters_total"] == 0 and nothing["english_gap_caught"] == 0 and nothing["total_cost_usd"] == 0.0
+
+
+def test_stages_of_the_passes_hold_no_whole_texts(spark, monkeypatch):
+    from quillmill.sources import stages
+
+    rows = [question(n, n) for n in ("stem", "option")]
+    qs = spark.createDataFrame(rows, f"question_id string, chapter string, question_stem string, options {OPTIONS}")
+    two, gap = {"B": "english_gap", "C": "english_gap", "D": "clean"}, {"B": "english_gap", "C": "clean", "D": "clean"}
+    v = verdicts(spark, [*three("stem", 0, two), *three("option", 0, gap), ("stem", 1, 1, gap), *three("stem", 2, gap), *three("option", 2, gap)])
+    w = spark.createDataFrame([("stem", 1, None, "new", None, None), ("stem", 2, "B", "b", None, None)], "question_id string, pass int, letter string, text string, explanation string, error string")
+    held, names = [], ("written", "stored")
+    for name in names:
+        keep = getattr(stages, name, None)
+        if keep and hasattr(passes, name):
+            monkeypatch.setattr(passes, name, lambda df, keep=keep: held.append(keep(df)) or held[-1])
+    fixed, _ = passes.fix_passes(qs, v, signals(spark), w)
+    assert {r["question_id"]: r["question_stem"] for r in fixed.collect()} == {"stem": "new", "option": "stem option"}
+    assert held and not any(t in repr(r) for df in held for r in df.collect() for t in ("text B", "stem option", "why B"))
