@@ -224,3 +224,14 @@ def test_stages_of_the_passes_hold_no_whole_texts(spark, monkeypatch):
     fixed, _ = passes.fix_passes(qs, v, signals(spark), w)
     assert {r["question_id"]: r["question_stem"] for r in fixed.collect()} == {"stem": "new", "option": "stem option"}
     assert held and not any(t in repr(r) for df in held for r in df.collect() for t in ("text B", "stem option", "why B"))
+
+
+def test_shipping_chapters_writes_no_texts_between_passes(spark, monkeypatch):
+    from quillmill.plans.flows import ship_chapters
+
+    held = []
+    for name in ("written", "stored"):
+        if keep := getattr(passes, name, None):
+            monkeypatch.setattr(passes, name, lambda df, keep=keep: held.append(df.columns) or keep(df))
+    assert ship_chapters(spark, "/root/testdata/sf0.001").where("n_questions > 0").count() > 0
+    assert len(held) == 4 and not any({"options", "question_stem"} & {*columns} for columns in held)
