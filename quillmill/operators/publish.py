@@ -98,21 +98,31 @@ PLAIN_COLUMNS = (
 ).split()
 
 
-def wide_export(records: DataFrame, anchors: DataFrame, domain_ids: dict[str, int] | None = None) -> DataFrame:
+def wide_export(records: DataFrame, anchors: DataFrame, domain_ids: dict[str, int] | None = None, existing: DataFrame | None = None) -> DataFrame:
     """A record as 62 columns of text, missing values empty.
 
     records: the plain columns, question_type, correct_answer_letter, options (letter, text, is_correct, explanation, distractor_level,
     misconception_type, concept_id, misconception_id, confused_with), tested_concept, anchor_uids, anchor_point_ids_v2,
     anchor_content_summaries (arrays; the first counts), flashcard_seeds (a map of front and back).  anchors: uid,
     chapter_num, testable_fact, one row for each uid; they come from here, not from the record (J2).  Columns that a record lacks are empty.
+    existing: question_id; records whose id is there already are left out (S16).
+
+    Ids and uids find out what is new and what its anchors say; whole records are shuffled once, to meet that.
     """
     known = set(records.columns)
     text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     plain = lambda name: text(F.col(name)) if name in known else F.lit("")
     head = lambda name: text(F.get(name, F.lit(0))) if name in known else F.lit("")
     wrong = F.filter("options", lambda o: ~F.coalesce(o.is_correct, F.lit(False)))
-    first = records.withColumn("__uid", head("anchor_uids"))
-    joined = first.join(anchors.select(F.col("uid").alias("__uid"), F.col("chapter_num").alias("__chapter"), F.col("testable_fact").alias("__fact")), "__uid", "left")
+    first = records.withColumns({"__uid": head("anchor_uids"), "__id": plain("question_id")})
+    keys = first.select("__id", "__uid")
+    if existing is not None:
+        keys = keys.join(existing.select(F.col("question_id").alias("__id")).distinct(), "__id", "left_anti")
+    # records without a uid are dealt out, and meet no anchor
+    salt = F.when(F.col("__uid") == "", F.pmod(F.xxhash64("__id"), F.lit(1024)) + 1).otherwise(F.lit(0))
+    told = anchors.select(F.col("uid").alias("__uid"), F.lit(0).cast("long").alias("__salt"), F.col("chapter_num").alias("__chapter"), F.col("testable_fact").alias("__fact"))
+    facts = keys.withColumn("__salt", salt).join(told, ["__uid", "__salt"], "left").groupBy("__id", "__uid").agg(F.first("__chapter").alias("__chapter"), F.first("__fact").alias("__fact"))
+    joined = first.join(facts, ["__id", "__uid"])
     ids = F.create_map(*(F.lit(x) for pair in (domain_ids or {"": ""}).items() for x in map(str, pair)))
     columns = {name: plain(name) for name in PLAIN_COLUMNS} | {
         "question_type": F.coalesce("question_type", F.lit("single_choice")) if "question_type" in known else F.lit("single_choice"), "domain_id": text(F.try_element_at(ids, plain("domain_code"))),
@@ -131,5 +141,6 @@ def wide_export(records: DataFrame, anchors: DataFrame, domain_ids: dict[str, in
 
 
 def appended(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """The rows that are there and the new ones whose id is not (S16): earlier rows are never changed."""
+    """The rows that are there and the new ones whose id is not (S16): earlier rows are never changed.  Where they are
+    in a file, wide_export can leave them out and the new ones be added to it."""
     return existing.select(*EXPORT_COLUMNS).unionByName(new.join(existing.select("question_id").distinct(), "question_id", "left_anti").select(*EXPORT_COLUMNS))

@@ -11,6 +11,7 @@ from quillmill.plans.flows import _chapter_questions, _wrong_letters, drawn, sql
 from quillmill.plans.more import _folder
 from quillmill.plans.views import SQL_QUESTIONS, questions, sql_list, table
 from quillmill.sources import files
+from quillmill.sources.stages import released
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -193,13 +194,14 @@ def export_rows(spark: SparkSession, d: str) -> DataFrame:
         F.create_map(F.lit("concept"), card(F.lit("front"), F.concat(F.lit("back "), F.array_position(F.transform("options", lambda o: o.letter), right.letter).cast("string"))), F.lit("nuance"), card(F.lit("n"), F.lit(None).cast("string"))).alias("flashcard_seeds"),
     )
     anchors = table(spark, d, "documents").where("doc_id % 3 > 0").select(F.col("doc_id").cast("string").alias("uid"), F.col("source").alias("chapter_num"), F.concat("lang", F.lit(', "'), "source", F.lit('"')).alias("testable_fact"))
-    wide = publish.wide_export(records, anchors, _DOMAINS)
-    path, schema = _folder(spark), ", ".join(f"{c} string" for c in publish.EXPORT_COLUMNS)
-    first = wide.where(drawn(F.col("question_id"), "old") < 100).withColumn("domain_code", F.lit("old"))  # to be seen not to change
-    files.write_csv(first, f"{path}/first", publish.EXPORT_COLUMNS)
-    read = lambda name: spark.read.schema(schema).csv(f"{path}/{name}", header=True, multiLine=True, escape='"').na.fill("")
-    files.write_csv(publish.appended(read("first"), wide), f"{path}/second", publish.EXPORT_COLUMNS)
-    return read("second")
+    path, schema = f"{_folder(spark)}/export", ", ".join(f"{c} string" for c in publish.EXPORT_COLUMNS)
+    first = publish.wide_export(records.where(drawn(F.col("question_id"), "old") < 100), anchors, _DOMAINS).withColumn("domain_code", F.lit("old"))  # to be seen not to change
+    files.write_csv(first, path, publish.EXPORT_COLUMNS, compression="gzip")
+    released(spark)
+    read = lambda: spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"').na.fill("")
+    files.write_csv(publish.wide_export(records, anchors, _DOMAINS, read()), path, publish.EXPORT_COLUMNS, mode="append", compression="gzip")
+    released(spark)
+    return read()
 
 
 # --- tells

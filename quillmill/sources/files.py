@@ -117,9 +117,9 @@ def scan_events(spark: SparkSession, path: str, schema: t.StructType, event: str
     return rows if event is None else rows.where(F.col("event") == event)
 
 
-def write_csv(rows: DataFrame, path: str, columns: list[str]) -> None:
-    """A fixed column list with header; other columns are left out."""
-    rows.select(*columns).write.mode("overwrite").csv(path, header=True, quoteAll=True, escape='"')
+def write_csv(rows: DataFrame, path: str, columns: list[str], *, mode: str = "overwrite", compression: str = "none") -> None:
+    """A fixed column list with header; other columns are left out (S16).  mode append: files beside those that are there."""
+    rows.select(*columns).write.mode(mode).csv(path, header=True, quoteAll=True, escape='"', compression=compression)
 
 
 def write_partitioned(rows: DataFrame, path: str, by: list[str], session_overwrite: str = "dynamic") -> None:

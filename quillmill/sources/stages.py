@@ -26,13 +26,18 @@ def written(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def released(spark: SparkSession) -> None:
+    """Shuffle files of what is finished are deleted when the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The same as compressed columns: a checkpoint holds its rows uncompressed.  The shuffle files that it took to
-    make them are of no more use; Spark deletes them when the driver's garbage is collected, so that is done here."""
+    make them are of no more use."""
     spark = df.sparkSession
     shared = _shared(spark)
     path = tempfile.mkdtemp(prefix="quillmill-") + "/stage" if shared is None else f"{shared.rstrip('/')}/quillmill-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    released(spark)
     return spark.read.schema(df.schema).parquet(path)

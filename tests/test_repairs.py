@@ -110,6 +110,35 @@ def test_the_export_has_62_columns_and_grows(spark):
     }
     old = wide.where("question_id = 'q1'").withColumn("domain_code", F.lit("kept"))
     assert sorted((r["question_id"], r["domain_code"]) for r in publish.appended(old, wide).collect()) == [("q1", "kept"), ("q2", "")]
+    for known, new in (("q1", ["q2"]), ("q2", ["q1"]), ("q3", ["q1", "q2"])):
+        rest = publish.wide_export(records, anchors, {"BPSY": 4}, spark.createDataFrame([(known,)], "question_id string")).collect()
+        assert sorted(r["question_id"] for r in rest) == new and all({k: v for k, v in r.asDict().items() if v} == got[r["question_id"]] for r in rest)
+
+
+def test_the_export_shuffles_whole_records_once(spark):
+    rows = [(f"q{i}", [f"u{i}"] if i % 2 else []) for i in range(20)]
+    kind = "array<struct<letter:string,text:string,is_correct:boolean,explanation:string,distractor_level:int,misconception_type:string,concept_id:string,misconception_id:string,confused_with:string>>"
+    records = spark.createDataFrame(rows, "question_id string, anchor_uids array<string>").withColumns({"options": F.expr(f"cast(array() as {kind})"), "tested_concept": F.expr("named_struct('concept_id', 'c', 'concept_label', 'l', 'knowledge_tested', 'k')"), "flashcard_seeds": F.expr("cast(map() as map<string,struct<front:string,back:string>>)"), "question_stem": F.concat(F.lit("stem of "), "question_id")})
+    anchors = spark.createDataFrame([("u1", "7", "fact")], "uid string, chapter_num string, testable_fact string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        told = publish.wide_export(records, anchors, None, records.where("question_id < 'q15'").select("question_id"))
+        plan = told._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r["question_id"], r["chapter_num"], r["question_stem"]) for r in told.collect()) == sorted((f"q{i}", "", f"stem of q{i}") for i in range(20) if f"q{i}" >= "q15")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.split("\n")
+    moved = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert sum("stem of" in lines[i + 1] for i in moved) == 1 and len(moved) > 1
+
+
+def test_all_exports_stand_in_one_folder(spark, monkeypatch):
+    from quillmill.plans import repairs
+
+    folders, csv = set(), repairs.files.write_csv
+    monkeypatch.setattr(repairs.files, "write_csv", lambda rows, path, *a, **k: folders.add(path) or csv(rows, path, *a, **k))
+    assert repairs.export_rows(spark, "/root/testdata/sf0.001").count() > 0 and len(folders) == 1  # no row is written twice
 
 
 def test_lengths_and_marks_that_tell(spark):
