@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from quillmill.functions import refdata as R
 from quillmill.operators import judges, publish, routing, tells
+from quillmill.operators.questions import from_documents
 from quillmill.plans.flows import _chapter_questions, _wrong_letters, drawn, sql_drawn
 from quillmill.plans.more import _folder
-from quillmill.plans.views import SQL_QUESTIONS, questions, sql_list, table
+from quillmill.plans.views import SQL_QUESTIONS, questions, spread, sql_list, table
 from quillmill.sources import files
-from quillmill.sources.stages import released
+from quillmill.sources.stages import released, stored
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -160,6 +161,8 @@ def gate_stem_eliminable(spark: SparkSession, d: str) -> DataFrame:
 
 
 _DOMAINS = {"en": 3, "de": 5}
+#: Parts of the documents whose questions are appended one after another.
+EXPORT_PARTS = 3
 
 
 @query(f""",
@@ -177,8 +180,24 @@ SELECT question_id, 'single_choice' AS question_type, CASE WHEN old THEN 'old' E
   '' AS generation_batch, 'quill' AS generated_by, CASE WHEN u < 200 THEN coalesce(a.fact, '') ELSE '' END AS testable_fact
 FROM r LEFT JOIN a ON a.uid = r.doc_id""")
 def export_rows(spark: SparkSession, d: str) -> DataFrame:
-    """All questions written as CSV, in two runs: the second one appends what the first one has not."""
-    rows = questions(spark, d)
+    """All questions written as CSV, in two runs: the second one appends what the first one has not.  It does so by
+    parts of the documents, as the shuffle files of a part can go before the next one begins."""
+    anchors = table(spark, d, "documents").where("doc_id % 3 > 0").select(F.col("doc_id").cast("string").alias("uid"), F.col("source").alias("chapter_num"), F.concat("lang", F.lit(', "'), "source", F.lit('"')).alias("testable_fact"))
+    path, schema = f"{_folder(spark)}/export", ", ".join(f"{c} string" for c in publish.EXPORT_COLUMNS)
+    read = lambda: spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"').na.fill("")
+    records = _export_records(questions(spark, d))
+    first = publish.wide_export(records.where(drawn(F.col("question_id"), "old") < 100), anchors, _DOMAINS).withColumn("domain_code", F.lit("old"))  # to be seen not to change
+    files.write_csv(first, path, publish.EXPORT_COLUMNS, compression="gzip")
+    there = stored(read().select("question_id"))
+    documents = table(spark, d, "documents").select("doc_id", "lang", "source", "text")
+    for part in range(EXPORT_PARTS):
+        own = documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(EXPORT_PARTS)) == part)
+        files.write_csv(publish.wide_export(_export_records(from_documents(spread(own))), anchors, _DOMAINS, there), path, publish.EXPORT_COLUMNS, mode="append", compression="gzip")
+        released(spark)
+    return read()
+
+
+def _export_records(rows: DataFrame) -> DataFrame:
     right = F.get(F.filter("options", lambda o: o.is_correct), F.lit(0))
     words = F.transform(F.split(right.text, " "), F.lower)
     wrong = F.filter("options", lambda o: ~o.is_correct)
@@ -187,21 +206,12 @@ def export_rows(spark: SparkSession, d: str) -> DataFrame:
     options = F.transform("options", lambda o: F.struct(o.letter, o.text, o.is_correct, o.explanation, only(o, level(o)).alias("distractor_level"), only(o, F.lit("similar_name")).alias("misconception_type"), F.concat(F.lit("c"), o.letter).alias("concept_id"), only(o, F.concat(F.lit("m"), o.letter)).alias("misconception_id"), F.lit(None).cast("string").alias("confused_with")))
     card = lambda f, b: F.struct(f.alias("front"), b.alias("back"))
     has = drawn(F.col("question_id"), "uid") < 200
-    records = rows.select(
+    return rows.select(
         "question_id", F.col("domain").alias("domain_code"), F.col("chapter").alias("anchor_label"), "difficulty_tier", "question_stem", F.lit("quill").alias("generated_by"), right.letter.alias("correct_answer_letter"), options.alias("options"),
         F.struct(words[0].alias("concept_id"), F.lit(None).cast("string").alias("concept_label"), F.concat(F.lit('knows, "'), words[1], F.lit('"')).alias("knowledge_tested")).alias("tested_concept"),
         F.when(has, F.array(F.col("doc_id").cast("string"), F.lit("other"))).alias("anchor_uids"), F.when(has, F.slice(words, 3, 1)).otherwise(F.array().cast("array<string>")).alias("anchor_content_summaries"),
         F.create_map(F.lit("concept"), card(F.lit("front"), F.concat(F.lit("back "), F.array_position(F.transform("options", lambda o: o.letter), right.letter).cast("string"))), F.lit("nuance"), card(F.lit("n"), F.lit(None).cast("string"))).alias("flashcard_seeds"),
     )
-    anchors = table(spark, d, "documents").where("doc_id % 3 > 0").select(F.col("doc_id").cast("string").alias("uid"), F.col("source").alias("chapter_num"), F.concat("lang", F.lit(', "'), "source", F.lit('"')).alias("testable_fact"))
-    path, schema = f"{_folder(spark)}/export", ", ".join(f"{c} string" for c in publish.EXPORT_COLUMNS)
-    first = publish.wide_export(records.where(drawn(F.col("question_id"), "old") < 100), anchors, _DOMAINS).withColumn("domain_code", F.lit("old"))  # to be seen not to change
-    files.write_csv(first, path, publish.EXPORT_COLUMNS, compression="gzip")
-    released(spark)
-    read = lambda: spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"').na.fill("")
-    files.write_csv(publish.wide_export(records, anchors, _DOMAINS, read()), path, publish.EXPORT_COLUMNS, mode="append", compression="gzip")
-    released(spark)
-    return read()
 
 
 # --- tells
